@@ -61,18 +61,24 @@ def read_csv(
     (PERMISSIVE mode) so they can be quarantined instead of lost.
     """
     r = spark.read.option("header", header)
-    if schema is not None:
-        if corrupt_column is not None:
-            st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-            schema = T.StructType(list(st.fields) + [T.StructField(corrupt_column, T.StringType(), True)])
-        r = r.schema(schema)
-    else:
+    if schema is None:
         r = r.option("inferSchema", True)
+        return r.option("mode", "DROPMALFORMED").csv(path) if drop_malformed else r.csv(path)
+    # Malformed lines are found through a corrupt-record column. Spark's CSV
+    # reader parses only the columns a query needs, so a line would count as
+    # malformed or not depending on later projections; the filter below
+    # references every field (to_json of the whole row cannot be folded
+    # away), so each line is judged against the full schema.
+    bad = corrupt_column or "_rg_corrupt_record"
+    st = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
+    full = T.StructType(list(st.fields) + [T.StructField(bad, T.StringType(), True)])
+    df = r.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad).csv(path)
+    whole_row = F.length(F.to_json(F.struct(*[col(f.name) for f in st.fields]))) >= 0
     if drop_malformed:
-        r = r.option("mode", "DROPMALFORMED")
-    elif corrupt_column is not None:
-        r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
-    return r.csv(path)
+        return df.where(F.col(bad).isNull() & whole_row).drop(bad)
+    if corrupt_column:
+        return df.where(whole_row)
+    return df.drop(bad)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
