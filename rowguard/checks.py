@@ -12,6 +12,7 @@ Any function ``df -> Column`` (a failing condition) is a check too, through
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from typing import ClassVar
@@ -58,7 +59,19 @@ class Check:
         raise NotImplementedError
 
     def message(self, tag: str) -> Column:
-        return F.lit(f"{self.function} failed on {', '.join(self.input_columns())}")
+        """Message naming the failing row's values (computed per failing row)."""
+        return F.lit(self.describe())
+
+    def describe(self) -> str:
+        """Constant message: the check and its parameters (no row values)."""
+        params = []
+        for f in dataclasses.fields(self):
+            v = getattr(self, f.name)
+            if isinstance(v, (str, int, float, bool)) or (isinstance(v, tuple) and len(v) <= 10):
+                params.append(f"{f.name}={v!r}")
+            elif isinstance(v, Column):
+                params.append(f"{f.name}={label(v)}")
+        return f"{self.function} failed: {', '.join(params)}"
 
     def helper_columns(self, tag: str) -> tuple[str, ...]:
         return ()
@@ -317,6 +330,7 @@ class Unique(Check):
 
     columns: tuple
     nulls_distinct: bool = True
+    hot_key_rows: int = K.HOT_KEY_ROWS
     function: ClassVar[str] = "is_unique"
     dataset_level: ClassVar[bool] = True
 
@@ -327,20 +341,18 @@ class Unique(Check):
         return tuple(self.columns)
 
     def prepare(self, work, source, tag):
-        names = [f"{tag}_k{i}" for i in range(len(self.columns))]
-        size = f"{tag}_n"
-        dups = K.duplicate_keys(source, self.columns, names, size, self.nulls_distinct)
-        return work.join(dups, K._match(self.columns, names, null_safe=not self.nulls_distinct), "left").drop(*names)
+        return K.mark_duplicates(work, self.columns, tag, self.nulls_distinct, source=source,
+                                 hot_key_rows=self.hot_key_rows)
 
     def helper_columns(self, tag):
-        return (f"{tag}_n",)
+        return (tag, f"{tag}_size")
 
     def condition(self, work, source, tag):
-        return F.col(f"{tag}_n").isNotNull()
+        return F.col(tag)
 
     def message(self, tag):
         return F.concat(F.lit(f"Key ({', '.join(self.columns)}) is not unique: "),
-                        F.col(f"{tag}_n").cast("string"), F.lit(" rows share it"))
+                        F.col(f"{tag}_size").cast("string"), F.lit(" rows share it"))
 
 
 @dataclass(frozen=True, eq=False)
@@ -351,6 +363,7 @@ class ForeignKey(Check):
     columns: tuple
     ref: object = field(repr=False)
     ref_columns: tuple
+    hot_key_rows: int = K.HOT_KEY_ROWS
     function: ClassVar[str] = "foreign_key"
     dataset_level: ClassVar[bool] = True
 
@@ -363,7 +376,7 @@ class ForeignKey(Check):
 
     def prepare(self, work, source, tag):
         return K.mark_unmatched(work, self.columns, _resolve(self.ref, work.sparkSession),
-                                self.ref_columns, tag)
+                                self.ref_columns, tag, source=source, hot_key_rows=self.hot_key_rows)
 
     def helper_columns(self, tag):
         return (tag,)
@@ -390,6 +403,7 @@ class AggregateBound(Check):
     limit: object
     side: str = "min"
     group_by: tuple = ()
+    hot_key_rows: int = K.HOT_KEY_ROWS
     function: ClassVar[str] = "is_aggr_bound"
     dataset_level: ClassVar[bool] = True
 
@@ -402,23 +416,23 @@ class AggregateBound(Check):
     def input_columns(self):
         return (label(self.column),) + tuple(self.group_by)
 
+    def _violated(self, v: Column) -> Column:
+        lim = P.value(self.limit)
+        return (v < lim) if self.side == "min" else (v > lim)
+
     def prepare(self, work, source, tag):
         if not self.group_by:
             return work
-        return A.with_group_aggregate(work, self.aggr_type, self.column, self.group_by, tag)
+        return A.mark_group_violations(work, source, self.aggr_type, self.column, self.group_by,
+                                       self._violated, tag, hot_key_rows=self.hot_key_rows)
 
     def helper_columns(self, tag):
-        return (tag,) if self.group_by else ()
+        return (tag, f"{tag}_v") if self.group_by else ()
 
-    def _value(self, source, tag):
+    def condition(self, work, source, tag):
         if self.group_by:
             return F.col(tag)
-        return A.scalar_aggregate(source, self.aggr_type, self.column)
-
-    def condition(self, work, source, tag):
-        v = self._value(source, tag)
-        lim = P.value(self.limit)
-        return P.never_null((v < lim) if self.side == "min" else (v > lim))
+        return P.never_null(self._violated(A.scalar_aggregate(source, self.aggr_type, self.column)))
 
     def message(self, tag):
         word = "less" if self.side == "min" else "greater"

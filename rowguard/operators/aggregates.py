@@ -12,12 +12,11 @@ joined back on the group keys.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowguard.functions.predicates import col
+from rowguard.operators import keys as K
 
 AGGREGATES = {
     "count": lambda c: F.count(c),
@@ -55,13 +54,21 @@ def scalar_aggregate(df: DataFrame, aggr_type: str, e) -> Column:
     return df.select(aggregate(aggr_type, e).alias("v")).scalar()
 
 
-def with_group_aggregate(
-    df: DataFrame, aggr_type: str, e, group_by: Sequence[str], name: str
+def mark_group_violations(
+    df: DataFrame, source: DataFrame, aggr_type: str, e, group_by: Sequence[str],
+    violated, flag: str, hot_key_rows: int = K.HOT_KEY_ROWS,
 ) -> DataFrame:
-    """Add column ``name`` = aggregate of ``e`` within the row's group."""
-    keys = [f"{name}_g{i}" for i in range(len(group_by))]
-    per_group = df.groupBy(*[col(g).alias(k) for g, k in zip(group_by, keys)]).agg(
-        aggregate(aggr_type, e).alias(name)
-    )
-    cond = reduce(lambda a, b: a & b, [col(g).eqNullSafe(F.col(k)) for g, k in zip(group_by, keys)])
-    return df.join(per_group, cond, "left").drop(*keys)
+    """Add boolean ``flag`` = the row's group aggregate violates the limit
+    (``violated``: Column -> Column) and ``{flag}_v`` = that aggregate.
+
+    One row per group (partial + final aggregate), only violating groups
+    are joined back, hot groups split (see ``keys.mark_keys``); NULL groups
+    match NULL groups.
+    """
+    names = [f"{flag}_g{i}" for i in range(len(group_by))]
+    count_name, value = f"{flag}_n", f"{flag}_v"
+    per_group = source.groupBy(*[col(g).alias(k) for g, k in zip(group_by, names)]).agg(
+        aggregate(aggr_type, e).alias(value), F.count(F.lit(1)).alias(count_name))
+    bad = per_group.where(F.coalesce(violated(F.col(value)), F.lit(False)))
+    return K.mark_keys(df, group_by, bad, names, count_name, flag, null_safe=True,
+                       hot_key_rows=hot_key_rows, extra=[value])

@@ -1,17 +1,22 @@
-"""Key-based dataset operators: foreign keys and duplicate groups.
-
-Both mark rows of a large frame by a left join against a *pre-aggregated*
-key set, never by a window over the keys:
-
-* the key set is reduced by a partial + final hash aggregate first, so a hot
-  key costs one row per map task in the shuffle, not all of its rows;
-* the join is a plain equi-join: Spark broadcasts the key set only when its
-  size is known to be under ``spark.sql.autoBroadcastJoinThreshold`` (or
-  AQE sees the shuffled size at run time), otherwise it sort-merges, and
-  AQE's skew-join handling splits a partition that holds a hot key.
+"""Key-based dataset operators: foreign keys, duplicate groups, group marks.
+
+Every row-marking dataset check follows one skew-safe pattern:
+
+1. aggregate the checked frame by key (partial + final hash aggregate: a
+   hot key costs one row per map task in the shuffle, not all its rows);
+2. keep only the *flagged* keys (duplicated, unmatched, violating), each
+   with its row count;
+3. left-join the frame to the flagged keys. Keys with more than
+   ``hot_key_rows`` rows are split: their frame rows get a random salt in
+   ``[0, buckets)`` and the flagged key is replicated once per bucket, so
+   no task receives more than about ``hot_key_rows`` rows of one key. The
+   hot keys are broadcast; there are at most ``rows / hot_key_rows`` of
+   them, which bounds the broadcast. The flagged set itself is joined by
+   Spark's size-checked strategy (broadcast when small, else sort-merge,
+   with AQE skew splitting on top).
 
 A ``Window.partitionBy(keys)`` would put every row of a hot key into one
-task, which cannot be split.
+task, which cannot be split; it is not used.
 """
 
 from __future__ import annotations
@@ -24,6 +29,9 @@ from pyspark.sql import functions as F
 
 from rowguard.functions.predicates import all_not_null, col
 
+#: rows of one key that one task may receive before the key is split
+HOT_KEY_ROWS = 1_000_000
+
 
 def _match(left: Sequence[str], right: Sequence[str], null_safe: bool = False) -> Column:
     pairs = [
@@ -46,27 +54,86 @@ def distinct_keys(ref: DataFrame, ref_columns: Sequence[str], names: Sequence[st
     )
 
 
+def key_counts(df: DataFrame, columns: Sequence[str], names: Sequence[str], count_name: str) -> DataFrame:
+    """Rows per key value (null keys form their own groups), pre-aggregated."""
+    return (
+        df.select(*[col(c).alias(n) for c, n in zip(columns, names)])
+        .groupBy(*names)
+        .agg(F.count(F.lit(1)).alias(count_name))
+    )
+
+
+def mark_keys(
+    df: DataFrame,
+    columns: Sequence[str],
+    flagged: DataFrame,
+    names: Sequence[str],
+    count_name: str,
+    flag: str,
+    null_safe: bool = False,
+    hot_key_rows: int = HOT_KEY_ROWS,
+    extra: Sequence[str] = (),
+) -> DataFrame:
+    """Add boolean ``flag`` = the row's key is in ``flagged``.
+
+    ``flagged`` has one row per key (columns ``names``) with the number of
+    ``df`` rows of that key in ``count_name``; ``extra`` columns of
+    ``flagged`` are carried over (NULL for unflagged rows).
+    """
+    if hot_key_rows < 1:
+        raise ValueError("hot_key_rows must be positive")
+    n = F.col(count_name)
+    buckets = F.when(n > hot_key_rows, F.ceil(n / F.lit(hot_key_rows))).otherwise(F.lit(1)).cast("int")
+    hot_names = [f"{flag}_h{i}" for i in range(len(names))]
+    hot = flagged.where(n > hot_key_rows).select(
+        *[F.col(k).alias(h) for k, h in zip(names, hot_names)], buckets.alias(f"{flag}_hb"))
+    salt_l, salt_r, marker = f"{flag}_sl", f"{flag}_sr", f"{flag}_m"
+    # at most rows / hot_key_rows hot keys: the broadcast is bounded
+    left = (
+        df.join(F.broadcast(hot), _match(columns, hot_names, null_safe), "left")
+        .withColumn(salt_l, F.when(F.col(f"{flag}_hb").isNull(), F.lit(0))
+                    .otherwise(F.floor(F.rand() * F.col(f"{flag}_hb")).cast("int")))
+        .drop(*hot_names, f"{flag}_hb")
+    )
+    right = flagged.select(
+        *names, *extra, F.explode(F.sequence(F.lit(0), buckets - 1)).alias(salt_r), F.lit(True).alias(marker))
+    cond = _match(columns, names, null_safe) & (F.col(salt_l) == F.col(salt_r))
+    joined = left.join(right, cond, "left")
+    return joined.withColumn(flag, F.col(marker).isNotNull()).drop(*names, salt_l, salt_r, marker)
+
+
+def unmatched_keys(
+    df: DataFrame, columns: Sequence[str], ref: DataFrame, ref_columns: Sequence[str],
+    names: Sequence[str], count_name: str,
+) -> DataFrame:
+    """Fully non-null keys of ``df`` absent from ``ref``, with their row
+    counts: distinct keys joined with distinct keys (no fact-row shuffle)."""
+    counts = key_counts(df, columns, names, count_name).where(all_not_null(names))
+    ref_names = [f"{n}_r" for n in names]
+    return counts.join(distinct_keys(ref, ref_columns, ref_names), _match(names, ref_names), "left_anti")
+
+
 def mark_unmatched(
     df: DataFrame,
     columns: Sequence[str],
     ref: DataFrame,
     ref_columns: Sequence[str],
     flag: str,
+    source: DataFrame | None = None,
+    hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """DST-4 / JON-6: add boolean ``flag`` = key fully non-null and absent in ``ref``.
 
     Rows with a null key part are skipped (flag false): only the
-    completeness checks report nulls.
+    completeness checks report nulls. Keys are counted on ``source``
+    (default ``df``, which must hold the same rows).
     """
     if len(columns) != len(ref_columns) or not columns:
         raise ValueError("columns and ref_columns must be non-empty and of equal length")
     names = [f"{flag}_k{i}" for i in range(len(columns))]
-    marker = f"{flag}_m"
-    keys = distinct_keys(ref, ref_columns, names).withColumn(marker, F.lit(True))
-    joined = df.join(keys, _match(columns, names), "left")
-    return joined.withColumn(
-        flag, all_not_null(columns) & F.col(marker).isNull()
-    ).drop(*names, marker)
+    count_name = f"{flag}_n"
+    bad = unmatched_keys(source if source is not None else df, columns, ref, ref_columns, names, count_name)
+    return mark_keys(df, columns, bad, names, count_name, flag, hot_key_rows=hot_key_rows)
 
 
 def duplicate_keys(
@@ -78,27 +145,25 @@ def duplicate_keys(
     With ``nulls_distinct`` (default) a key with any null part is never a
     duplicate.
     """
-    base = df.select(*[col(c).alias(n) for c, n in zip(columns, names)])
+    counts = key_counts(df, columns, names, count_name)
     if nulls_distinct:
-        base = base.where(all_not_null(names))
-    return (
-        base.groupBy(*names)
-        .agg(F.count(F.lit(1)).alias(count_name))
-        .where(F.col(count_name) > 1)
-    )
+        counts = counts.where(all_not_null(names))
+    return counts.where(F.col(count_name) > 1)
 
 
 def mark_duplicates(
-    df: DataFrame, columns: Sequence[str], flag: str, nulls_distinct: bool = True
+    df: DataFrame, columns: Sequence[str], flag: str, nulls_distinct: bool = True,
+    source: DataFrame | None = None, hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
-    """DST-1 / WIN-1: add boolean ``flag`` = row belongs to a key group of size > 1."""
+    """DST-1 / WIN-1: add boolean ``flag`` = row belongs to a key group of
+    size > 1, and ``{flag}_size`` = that group size."""
     if not columns:
         raise ValueError("at least one key column is required")
     names = [f"{flag}_k{i}" for i in range(len(columns))]
-    size = f"{flag}_n"
-    dups = duplicate_keys(df, columns, names, size, nulls_distinct)
-    joined = df.join(dups, _match(columns, names, null_safe=not nulls_distinct), "left")
-    return joined.withColumn(flag, F.col(size).isNotNull()).drop(*names, size)
+    count_name = f"{flag}_size"
+    dups = duplicate_keys(source if source is not None else df, columns, names, count_name, nulls_distinct)
+    return mark_keys(df, columns, dups, names, count_name, flag, null_safe=not nulls_distinct,
+                     hot_key_rows=hot_key_rows, extra=[count_name])
 
 
 def duplicate_stats(
@@ -113,19 +178,15 @@ def duplicate_stats(
     The group-by is pre-aggregated map-side, so a hot key is cheap.
     """
     names = [f"__rg_k{i}" for i in range(len(columns))]
-    keyed = df.select(*[col(c).alias(n) for c, n in zip(columns, names)])
     complete = all_not_null(names) if nulls_distinct else F.lit(True)
-    groups = (
-        keyed.groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("complete", complete)
-    )
+    groups = key_counts(df, columns, names, "n").withColumn("complete", complete)
+    dup = F.col("complete") & (F.col("n") > 1)
     return groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("row_count"),
         F.coalesce(F.sum(F.when(F.col("complete"), F.col("n"))), F.lit(0)).cast("bigint").alias("considered_rows"),
-        F.count_if(F.col("complete") & (F.col("n") > 1)).cast("bigint").alias("duplicate_groups"),
-        F.coalesce(F.sum(F.when(F.col("complete") & (F.col("n") > 1), F.col("n"))), F.lit(0)).cast("bigint").alias("duplicate_rows"),
-        F.coalesce(F.sum(F.when(F.col("complete") & (F.col("n") > 1), F.col("n") - 1)), F.lit(0)).cast("bigint").alias("excess_rows"),
+        F.count_if(dup).cast("bigint").alias("duplicate_groups"),
+        F.coalesce(F.sum(F.when(dup, F.col("n"))), F.lit(0)).cast("bigint").alias("duplicate_rows"),
+        F.coalesce(F.sum(F.when(dup, F.col("n") - 1)), F.lit(0)).cast("bigint").alias("excess_rows"),
     )
 
 
@@ -134,15 +195,29 @@ def unmatched_stats(
 ) -> DataFrame:
     """DST-15 / JON-3: one row ``row_count``, ``considered_rows`` (non-null
     keys), ``matched_rows``, ``unmatched_rows`` (null keys skipped) and
-    ``unmatched_or_null_rows`` (null keys counted as unmatched)."""
-    flagged = mark_unmatched(df.select(*[col(c) for c in columns]), columns, ref, ref_columns, "__rg_fk")
-    nonnull = all_not_null(columns)
-    return flagged.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_if(nonnull).alias("considered_rows"),
-        F.count_if(nonnull & ~F.col("__rg_fk")).alias("matched_rows"),
-        F.count_if(F.col("__rg_fk")).alias("unmatched_rows"),
-        F.count_if(~nonnull | F.col("__rg_fk")).alias("unmatched_or_null_rows"),
+    ``unmatched_or_null_rows`` (null keys counted as unmatched).
+
+    The frame is first reduced to distinct keys with row counts, so the
+    join is distinct keys against distinct reference keys: a hot key is
+    one row, and no fact row is shuffled.
+    """
+    names = [f"__rg_u{i}" for i in range(len(columns))]
+    ref_names = [f"__rg_r{i}" for i in range(len(columns))]
+    counts = key_counts(df, columns, names, "n")
+    keys = distinct_keys(ref, ref_columns, ref_names).withColumn("__rg_hit", F.lit(True))
+    j = counts.join(keys, _match(names, ref_names), "left")
+    nonnull = all_not_null(names)
+    hit = F.col("__rg_hit").isNotNull()
+
+    def total(cond):
+        return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("bigint")
+
+    return j.agg(
+        total(F.lit(True)).alias("row_count"),
+        total(nonnull).alias("considered_rows"),
+        total(nonnull & hit).alias("matched_rows"),
+        total(nonnull & ~hit).alias("unmatched_rows"),
+        total(~nonnull | ~hit).alias("unmatched_or_null_rows"),
     )
 
 
@@ -150,7 +225,6 @@ def unmatched_rows(
     df: DataFrame, columns: Sequence[str], ref: DataFrame, ref_columns: Sequence[str]
 ) -> DataFrame:
     """JON-4: rows of ``df`` whose fully non-null key is absent in ``ref``
-    (a left anti join; rows with a null key part are not returned)."""
-    names = [f"__rg_ref_k{i}" for i in range(len(columns))]
-    keys = distinct_keys(ref, ref_columns, names)
-    return df.where(all_not_null(columns)).join(keys, _match(columns, names), "left_anti")
+    (rows with a null key part are not returned)."""
+    flagged = mark_unmatched(df, columns, ref, ref_columns, "__rg_unm")
+    return flagged.where(F.col("__rg_unm")).drop("__rg_unm")

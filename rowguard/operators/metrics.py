@@ -364,7 +364,7 @@ class Duplicates(Measure):
 
     def failing_rows(self, df):
         flagged = K.mark_duplicates(df, self.columns, "__rg_dup", self.nulls_distinct)
-        return flagged.where(F.col("__rg_dup")).drop("__rg_dup")
+        return flagged.where(F.col("__rg_dup")).drop("__rg_dup", "__rg_dup_size")
 
 
 @dataclass(frozen=True, eq=False)

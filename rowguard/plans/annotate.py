@@ -37,30 +37,47 @@ ISSUES = T.ArrayType(ISSUE, False)
 _counter = itertools.count()
 
 
-def _issue(rule: Rule, cond: Column, tag: str) -> Column:
+MESSAGES = ("static", "values")
+
+
+def _issue(rule: Rule, cond: Column, tag: str, messages: str) -> Column:
+    """A one-element issue array when ``cond`` holds, else an empty array.
+
+    With ``messages='static'`` the struct is a constant per rule (folded by
+    Catalyst); ``'values'`` formats the failing row's values into the
+    message, which costs string conversions on every failing row.
+    """
     check = rule.check
-    return F.when(
-        cond,
-        F.struct(
-            F.lit(rule.name).alias("name"),
-            F.lit(check.function).alias("function"),
-            F.array(*[F.lit(c) for c in check.input_columns()]).cast(T.ArrayType(T.StringType(), False)).alias("columns"),
-            check.message(tag).alias("message"),
-        ),
+    msg = check.message(tag) if messages == "values" else F.lit(check.describe())
+    issue = F.struct(
+        F.lit(rule.name).alias("name"),
+        F.lit(check.function).alias("function"),
+        F.array(*[F.lit(c) for c in check.input_columns()]).cast(T.ArrayType(T.StringType(), False)).alias("columns"),
+        msg.alias("message"),
     )
+    return F.when(cond, F.array(issue).cast(ISSUES)).otherwise(F.array().cast(ISSUES))
 
 
 def _issue_array(items: list[Column]) -> Column:
+    # concat of per-rule one-or-zero element arrays: plain codegen'd
+    # expressions (no lambda functions), and a clean row gets an empty
+    # array, never NULL (size(NULL) is NULL and would make both the valid
+    # and the quarantine filter drop the row).
     if not items:
         return F.array().cast(ISSUES)
-    # array_compact drops the NULLs of rules that did not fire: a clean row
-    # gets an empty array, never NULL (size(NULL) is NULL and would make
-    # both the valid and the quarantine filter drop the row).
-    return F.array_compact(F.array(*items)).cast(ISSUES)
+    if len(items) == 1:
+        return items[0]
+    return F.concat(*items).cast(ISSUES)
+
 
+def annotate(df: DataFrame, rules: Sequence[Rule], messages: str = "static") -> DataFrame:
+    """The annotated frame (input columns + ``_errors`` + ``_warnings``).
 
-def annotate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """The annotated frame (input columns + ``_errors`` + ``_warnings``)."""
+    ``messages``: ``'static'`` (default; rule text, the row's values are in
+    the row itself) or ``'values'`` (the failing values in the text).
+    """
+    if messages not in MESSAGES:
+        raise ValueError(f"messages must be one of {MESSAGES}")
     rules = suite(rules)
     run = next(_counter)
     tags = [f"__rg{run}_{i}" for i in range(len(rules))]
@@ -70,16 +87,18 @@ def annotate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     errors, warnings = [], []
     for rule, tag in zip(rules, tags):
         cond = rule.check.condition(work, df, tag)
-        (errors if rule.criticality == "error" else warnings).append(_issue(rule, cond, tag))
+        (errors if rule.criticality == "error" else warnings).append(_issue(rule, cond, tag, messages))
     keep = [F.col(quote(c)) for c in df.columns]
     return work.select(*keep, _issue_array(errors).alias(ERRORS), _issue_array(warnings).alias(WARNINGS))
 
 
-def apply_checks(df: DataFrame, rules: Sequence[Rule], name: str = "dq_metrics") -> tuple[DataFrame, Observation]:
+def apply_checks(
+    df: DataFrame, rules: Sequence[Rule], name: str = "dq_metrics", messages: str = "static"
+) -> tuple[DataFrame, Observation]:
     """APP-1 + AGG-11: annotated frame with an attached ``Observation`` of
     ``input_row_count``, ``valid_row_count``, ``error_row_count``,
     ``warning_row_count`` (filled by the first action; no extra count job)."""
-    annotated = annotate(df, rules)
+    annotated = annotate(df, rules, messages)
     obs = Observation(name)
     return annotated.observe(obs, *summary_columns()), obs
 
@@ -107,8 +126,9 @@ def summary_columns() -> list[Column]:
 
 
 def issue_names(array: str = ERRORS) -> Column:
-    """The names of the issues in an array, in rule order."""
-    return F.transform(F.col(array), lambda s: s.getField("name"))
+    """The names of the issues in an array, in rule order (a struct-field
+    extraction over the array, no lambda)."""
+    return F.col(array).getField("name")
 
 
 __all__ = ["ERRORS", "WARNINGS", "ISSUE", "annotate", "apply_checks", "has_errors",

@@ -49,17 +49,17 @@ def issues(annotated: DataFrame, *keep: str) -> DataFrame:
     """APP-7 / PRJ-6 / PRJ-7 / SET-2: long table of issues, one row per
     (row, issue), with ``criticality``; optional input columns kept.
 
-    One pass: both arrays are tagged and concatenated before a single
-    explode (rows without issues produce nothing).
+    One pass: both arrays are concatenated and exploded once with their
+    positions; a position beyond the error array is a warning (rows
+    without issues produce nothing).
     """
-    def tagged(arr, crit):
-        return F.transform(F.col(arr), lambda s: F.struct(s.alias("i"), F.lit(crit).alias("criticality")))
-
-    both = F.concat(tagged(ERRORS, "error"), tagged(WARNINGS, "warning"))
-    return (
-        annotated.select(*keep, F.explode(both).alias("x"))
-        .select(*keep, F.col("x.i.*"), F.col("x.criticality"))
+    n_errors = "__rg_n_errors"
+    exploded = annotated.select(
+        *keep, F.size(ERRORS).alias(n_errors),
+        F.posexplode(F.concat(F.col(ERRORS), F.col(WARNINGS))).alias("__rg_pos", "__rg_issue"),
     )
+    crit = F.when(F.col("__rg_pos") < F.col(n_errors), F.lit("error")).otherwise(F.lit("warning"))
+    return exploded.select(*keep, F.col("__rg_issue.*"), crit.alias("criticality"))
 
 
 _RULES_SCHEMA = T.StructType([
@@ -97,8 +97,7 @@ def check_results(
     counts = [F.count(F.lit(1)).alias("row_count")]
     for i, r in enumerate(rules):
         arr = ERRORS if r.criticality == "error" else WARNINGS
-        names = F.transform(F.col(arr), lambda s: s.getField("name"))
-        counts.append(F.count_if(F.array_contains(names, r.name)).alias(f"c{i}"))
+        counts.append(F.count_if(F.array_contains(F.col(arr).getField("name"), r.name)).alias(f"c{i}"))
     one = annotated.agg(*counts)
     per_rule = one.select(
         "row_count",

@@ -74,3 +74,20 @@ def test_aggregate_bound_sql_expression(spark):
     df = spark.createDataFrame(ROWS, FACT)
     rule = rg.Rule("e", rg.AggregateBound("v / 10", "max", 6, "max"))
     assert len(flagged(rg.annotate(df, [rule]))) == 7
+
+
+def test_hot_keys_are_salted_with_same_result(spark):
+    """A key holding most rows is split into buckets; marks are unchanged."""
+    hot = [(1, "h", float(i), "x") for i in range(300)] + [(2, "c", 1000.0, "y"), (2, "c", 1001.0, "y")]
+    df = spark.createDataFrame(hot, FACT).repartition(8)
+    ref = spark.createDataFrame([(2,)], "r bigint")
+    for h in (10, 1_000_000):
+        rules = [rg.Rule("u", rg.Unique(["k1", "k2"], hot_key_rows=h)),
+                 rg.Rule("fk", rg.ForeignKey(["k1"], ref, ["r"], hot_key_rows=h), criticality="warn"),
+                 rg.Rule("g", rg.AggregateBound("v", "count", 5, "max", group_by=("g",), hot_key_rows=h))]
+        ann = rg.annotate(df, rules)
+        assert ann.count() == 302
+        res = {r.name: r.failed_rows for r in rg.check_results(ann, rules).collect()}
+        assert res == {"u": 302, "fk": 300, "g": 300}, h
+    plan = ann._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(sequence(0" in plan

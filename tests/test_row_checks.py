@@ -110,10 +110,13 @@ def test_no_rules_and_empty_frame(spark, frame):
 
 
 def test_issue_struct_fields(frame):
-    ann = rg.annotate(frame, [rg.Rule("tail", rg.RegexMatch("s", r"^N\d+$"))])
+    ann = rg.annotate(frame, [rg.Rule("tail", rg.RegexMatch("s", r"^N\d+$"))], messages="values")
     e = ann.where("k = 2").select(F.col("_errors")[0].alias("e")).first().e
     assert e.name == "tail" and e.function == "regex_match" and e.columns == ["s"]
     assert "BAD" in e.message
+    static = rg.annotate(frame, [rg.Rule("tail", rg.RegexMatch("s", r"^N\d+$"))])
+    m = static.where("k = 2").select(F.col("_errors")[0]["message"].alias("m")).first().m
+    assert m.startswith("regex_match failed:") and "regex=" in m and "BAD" not in m
 
 
 def test_case_insensitive_column_names(frame):
