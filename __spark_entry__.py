@@ -249,6 +249,12 @@ SUITE_RESULTS = " UNION ALL ".join([
 ])
 
 
+PROFILE_COLUMNS = [
+    ("o_orderkey", "bigint", True), ("o_custkey", "bigint", True), ("o_orderstatus", "string", False),
+    ("o_totalprice", "double", True), ("o_orderdate", "timestamp_ntz", False), ("o_orderpriority", "string", False),
+]
+
+
 def oracle_sql() -> dict[str, str]:
     q = {}
     q["row_regex"] = (
@@ -448,4 +454,20 @@ def oracle_sql() -> dict[str, str]:
         "ROUND(CAST(COUNT(*) FILTER (WHERE success) AS DOUBLE) * 100.0 / COUNT(*), 4) AS success_percent, "
         f"COUNT(*) FILTER (WHERE NOT success) = 0 AS success FROM ({SUITE_RESULTS})"
     )
+    q["profile_orders"] = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", '{t}' AS type, COUNT(*) AS row_count, COUNT(*) FILTER (WHERE {c} IS NULL) "
+        f"AS null_count, COUNT(DISTINCT {c}) AS distinct_count, CAST(MIN({c}) AS VARCHAR) AS min, "
+        f"CAST(MAX({c}) AS VARCHAR) AS max, "
+        f"{'ROUND(CAST(AVG(' + c + ') AS DOUBLE), 4)' if numeric else 'CAST(NULL AS DOUBLE)'} AS mean FROM orders"
+        for c, t, numeric in PROFILE_COLUMNS
+    )
+    q["row_count_compare"] = (
+        "WITH s AS (SELECT (SELECT COUNT(*) FROM orders) AS rows_a, "
+        "(SELECT COUNT(DISTINCT l_orderkey) FROM lineitem) AS rows_b) "
+        "SELECT 'orders_vs_line_orders' AS \"check\", rows_a, rows_b, "
+        "ROUND(COALESCE(CAST(ABS(rows_a - rows_b) AS DOUBLE) * 100.0 / NULLIF(rows_a, 0), "
+        "CASE WHEN rows_b = 0 THEN 0.0 ELSE 100.0 END), 4) AS diff_pct, "
+        "CASE WHEN COALESCE(CAST(ABS(rows_a - rows_b) AS DOUBLE) * 100.0 / NULLIF(rows_a, 0), "
+        "CASE WHEN rows_b = 0 THEN 0.0 ELSE 100.0 END) <= 1.0 THEN 'pass' ELSE 'fail' END AS outcome FROM s"
+    )
     return q

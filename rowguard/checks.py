@@ -364,6 +364,8 @@ class ForeignKey(Check):
     ref: object = field(repr=False)
     ref_columns: tuple
     hot_key_rows: int = K.HOT_KEY_ROWS
+    #: False: join every row against the reference keys (streams)
+    aggregate_keys: bool = True
     function: ClassVar[str] = "foreign_key"
     dataset_level: ClassVar[bool] = True
 
@@ -375,8 +377,11 @@ class ForeignKey(Check):
         return tuple(self.columns)
 
     def prepare(self, work, source, tag):
-        return K.mark_unmatched(work, self.columns, _resolve(self.ref, work.sparkSession),
-                                self.ref_columns, tag, source=source, hot_key_rows=self.hot_key_rows)
+        ref = _resolve(self.ref, work.sparkSession)
+        if not self.aggregate_keys:
+            return K.mark_unmatched_direct(work, self.columns, ref, self.ref_columns, tag)
+        return K.mark_unmatched(work, self.columns, ref, self.ref_columns, tag, source=source,
+                                hot_key_rows=self.hot_key_rows)
 
     def helper_columns(self, tag):
         return (tag,)

@@ -136,6 +136,20 @@ def mark_unmatched(
     return mark_keys(df, columns, bad, names, count_name, flag, hot_key_rows=hot_key_rows)
 
 
+def mark_unmatched_direct(
+    df: DataFrame, columns: Sequence[str], ref: DataFrame, ref_columns: Sequence[str], flag: str,
+) -> DataFrame:
+    """Stream-safe form of :func:`mark_unmatched`: a left join of every row
+    against the distinct reference keys (a stream-static join; no
+    aggregation of ``df``). Skew on the reference side cannot occur (keys
+    are distinct); Spark broadcasts the keys when their size allows."""
+    names = [f"{flag}_k{i}" for i in range(len(columns))]
+    marker = f"{flag}_m"
+    keys = distinct_keys(ref, ref_columns, names).withColumn(marker, F.lit(True))
+    joined = df.join(keys, _match(columns, names), "left")
+    return joined.withColumn(flag, all_not_null(columns) & F.col(marker).isNull()).drop(*names, marker)
+
+
 def duplicate_keys(
     df: DataFrame, columns: Sequence[str], names: Sequence[str], count_name: str,
     nulls_distinct: bool = True,

@@ -93,8 +93,13 @@ def expect_mean_between(column, min_value=None, max_value=None, name=None) -> M.
                          fail=_between(min_value, max_value) or M.when("null"))
 
 
-def expect_quantiles_between(column, quantiles, value_ranges, method="disc", name=None) -> M.MetricCheck:
-    """DST-10: each quantile within its inclusive range (``None`` = open)."""
+def expect_quantiles_between(column, quantiles, value_ranges, method="approx", name=None) -> M.MetricCheck:
+    """DST-10: each quantile within its inclusive range (``None`` = open).
+
+    ``method='approx'`` (default) is ``percentile_approx``: bounded memory
+    per task at any scale. ``'disc'`` / ``'cont'`` are exact, but Spark's
+    exact percentiles keep every distinct value in the aggregation state and
+    merge it in one task: use them for low-cardinality columns and checks."""
     return M.MetricCheck(_name(name, "quantiles_between", column),
                          M.Quantiles(column, tuple(quantiles), tuple(tuple(r) for r in value_ranges), method))
 

@@ -62,6 +62,13 @@ def issues(annotated: DataFrame, *keep: str) -> DataFrame:
     return exploded.select(*keep, F.col("__rg_issue.*"), crit.alias("criticality"))
 
 
+def issue_counts(annotated: DataFrame) -> DataFrame:
+    """AGG-2: rows per (issue name, criticality) - explode then a partial +
+    final aggregate (a check failing on every row is one row per task in
+    the shuffle)."""
+    return issues(annotated).groupBy("name", "criticality").agg(F.count(F.lit(1)).alias("count"))
+
+
 _RULES_SCHEMA = T.StructType([
     T.StructField("pos", T.IntegerType(), False),
     T.StructField("name", T.StringType(), False),

@@ -10,7 +10,7 @@ group-by/join/SQL metric, and builds samples.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -42,11 +42,17 @@ def scan(
     checks: Sequence[M.MetricCheck],
     samples_limit: int | None = 3,
     sample_order: Sequence[str] | None = None,
+    sample_sink: Callable[[DataFrame], None] | None = None,
 ) -> ScanResult:
+    """Evaluate ``checks`` on ``frames[dataset]``; ``sample_sink`` (UDX-3)
+    receives the samples DataFrame, e.g. ``writers.write_samples``."""
     register_views(frames)
     df = frames[dataset]
     results = M.evaluate(df, checks)
-    return ScanResult(results, _samples(df, checks, samples_limit, sample_order))
+    samples = _samples(df, checks, samples_limit, sample_order)
+    if sample_sink is not None and samples is not None:
+        sample_sink(samples)
+    return ScanResult(results, samples)
 
 
 # ------------------------------------------------------- check builders

@@ -17,12 +17,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rowguard.checks import AggregateBound, Rule, Unique
+from rowguard.checks import AggregateBound, ForeignKey, Rule, Unique
 from rowguard.operators.metrics import MetricCheck, evaluate
 from rowguard.plans.annotate import annotate
 from rowguard.plans.results import split
@@ -33,6 +34,9 @@ def annotate_stream(stream: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     bad = [r.name for r in rules if isinstance(r.check, (Unique, AggregateBound))]
     if bad:
         raise ValueError(f"whole-dataset checks cannot run on a stream: {bad}; use metrics_stream")
+    # foreign keys: stream-static join per row (no streaming aggregation)
+    rules = [replace(r, check=replace(r.check, aggregate_keys=False)) if isinstance(r.check, ForeignKey) else r
+             for r in rules]
     return annotate(stream, rules)
 
 
