@@ -231,20 +231,25 @@ class Quantiles(Measure):
     def metric(self):
         return f"quantile_{self.method}"
 
-    def _q(self, q):
-        c = P.col(self.column)
-        if self.method == "approx":
-            return F.percentile_approx(c, q, self.accuracy)
-        if self.method == "cont":
-            return F.percentile(c, F.lit(q))
-        name = label(self.column).replace("`", "``")
-        return F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY `{name}`)")
+    @property
+    def fusable(self):
+        # exact quantiles are found by bounded refinement (operators.quantiles),
+        # not by Spark's exact percentile whose state holds every distinct value
+        return self.method == "approx"
 
     def aggregates(self, df, p):
         out = [F.count(F.lit(1)).alias(f"{p}_rows")]
-        out += [self._q(q).cast("double").alias(f"{p}_q{i}") for i, q in enumerate(self.quantiles)]
+        out += [F.percentile_approx(P.col(self.column), q, self.accuracy).cast("double").alias(f"{p}_q{i}")
+                for i, q in enumerate(self.quantiles)]
         return out
 
+    def frame(self, df, p):
+        from rowguard.operators.quantiles import exact_quantiles
+        rows, values = exact_quantiles(df, self.column, self.quantiles, self.method)
+        schema = T.StructType([T.StructField(f"{p}_rows", T.LongType())] + [
+            T.StructField(f"{p}_q{i}", T.DoubleType()) for i in range(len(values))])
+        return df.sparkSession.createDataFrame([(rows, *values)], schema)
+
     def outputs(self, p, df=None):
         qs = [F.col(f"{p}_q{i}") for i in range(len(self.quantiles))]
         details = F.concat_ws(", ", *[
