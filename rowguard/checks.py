@@ -25,6 +25,8 @@ from rowguard.operators import aggregates as A
 from rowguard.operators import keys as K
 
 CRITICALITIES = ("error", "warn")
+#: parameters that change how a check runs, not what it checks
+_EXECUTION_KNOBS = ("hot_key_rows", "aggregate_keys")
 
 
 def label(c) -> str:
@@ -66,6 +68,8 @@ class Check:
         """Constant message: the check and its parameters (no row values)."""
         params = []
         for f in dataclasses.fields(self):
+            if f.name in _EXECUTION_KNOBS:
+                continue
             v = getattr(self, f.name)
             if isinstance(v, (str, int, float, bool)) or (isinstance(v, tuple) and len(v) <= 10):
                 params.append(f"{f.name}={v!r}")

@@ -574,6 +574,16 @@ def evaluate(df: DataFrame, checks: Sequence[MetricCheck]) -> DataFrame:
     return out
 
 
+def evaluate_many(frames: dict[str, DataFrame], checks: Sequence[MetricCheck]) -> DataFrame:
+    """EXT-4: the same checks on several datasets; results carry a
+    ``dataset`` column (one fused aggregation per dataset, unioned)."""
+    out = None
+    for name, df in frames.items():
+        part = evaluate(df, checks).select(F.lit(name).alias("dataset"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def outcome_counts(results: DataFrame) -> DataFrame:
     """VRD-9: one row with the number of checks per outcome."""
     return results.agg(

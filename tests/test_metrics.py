@@ -122,3 +122,9 @@ def test_threshold_validation():
         M.Threshold("between", 1)
     with pytest.raises(ValueError):
         M.evaluate(None, [S.row_count("a"), S.row_count("a")])
+
+
+def test_evaluate_many(spark, df):
+    res = M.evaluate_many({"a": df, "b": df.where("k < 3")}, [S.row_count("rows")])
+    got = {r.dataset: r.value for r in res.collect()}
+    assert got == {"a": 5.0, "b": 3.0}
