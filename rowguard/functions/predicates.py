@@ -41,9 +41,11 @@ def value(v) -> Column:
     if isinstance(v, Column):
         return v
     if isinstance(v, _dt.datetime):
-        # parquet timestamps are read as timestamp_ntz; an NTZ literal
-        # compares with both NTZ and LTZ columns without a zone shift.
-        return F.lit(v.replace(tzinfo=None)).cast("timestamp_ntz")
+        # parquet timestamps are read as timestamp_ntz; the literal is built
+        # from text so neither the Python nor the session time zone shifts it
+        if v.tzinfo is not None:
+            v = v.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+        return F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz")
     return F.lit(v)
 
 
