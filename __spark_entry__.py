@@ -174,7 +174,7 @@ SCAN_RESULTS = " UNION ALL ".join([
             _dups("lineitem", ["l_orderkey", "l_linenumber"], "d")),
 ])
 
-SAMPLE_ORDER = "l_orderkey, l_partkey, l_suppkey"
+SAMPLE_ORDER = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
 
 
 def _sample(name, where, n=3):
