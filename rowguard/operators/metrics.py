@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowguard.checks import Check, label
+from rowguard.checks import Check
 from rowguard.functions import predicates as P
 from rowguard.operators import aggregates as A
 from rowguard.operators import keys as K
@@ -110,9 +110,14 @@ class Measure:
         """For non-fusable measures: a one-row frame with the columns of ``outputs``."""
         raise NotImplementedError
 
-    def failing_rows(self, df: DataFrame) -> DataFrame | None:
+    def row_condition(self, df: DataFrame) -> Column | None:
+        """The failing condition when failing rows are a plain row filter."""
         return None
 
+    def failing_rows(self, df: DataFrame) -> DataFrame | None:
+        cond = self.row_condition(df)
+        return None if cond is None else df.where(cond)
+
     def extra_fail(self, p: str) -> Column | None:
         return None
 
@@ -139,8 +144,8 @@ class RowCount(Measure):
         n = F.col(f"{p}_n")
         return dict(value=n, row_count=_rows(p), considered=_rows(p), failed=n if self.where is not None else F.lit(None))
 
-    def failing_rows(self, df):
-        return None if self.where is None else df.where(self._cond())
+    def row_condition(self, df):
+        return None if self.where is None else self._cond()
 
 
 @dataclass(frozen=True, eq=False)
@@ -175,8 +180,8 @@ class FailingRows(Measure):
         value = F.coalesce(F.try_divide(failed * F.lit(100.0), _rows(p)), F.lit(0.0)) if self.percent else failed
         return dict(value=value, row_count=_rows(p), considered=F.col(f"{p}_considered"), failed=failed)
 
-    def failing_rows(self, df):
-        return df.where(self.check.condition(df, df, "__rg_s"))
+    def row_condition(self, df):
+        return self.check.condition(df, df, "__rg_s")
 
 
 @dataclass(frozen=True, eq=False)
@@ -328,8 +333,8 @@ class DistinctInSet(Measure):
         return dict(value=n_distinct, row_count=_rows(p), considered=F.col(f"{p}_considered"),
                     failed=F.col(f"{p}_failed"), details=listed)
 
-    def failing_rows(self, df):
-        return df.where(self._bad())
+    def row_condition(self, df):
+        return self._bad()
 
 
 @dataclass(frozen=True, eq=False)

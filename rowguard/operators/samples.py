@@ -2,18 +2,20 @@
 
 For every check that defines failing rows, take at most ``limit`` of them
 in a fixed order, prefixed by a ``failed_check`` column, and union the
-checks into one DataFrame. Each per-check part is an ordered ``limit``:
-Spark plans it as ``TakeOrderedAndProject`` (a top-n per task, then a merge
-of n rows per task), so a check that fails on every row stays cheap and
-no partition ever holds more than n rows per task.
+checks into one DataFrame. Checks whose failing rows are a row condition are sampled together from
+one scan with a per-check ``row_number`` limit (partial ``WindowGroupLimit``
+before the shuffle); the others each take an ordered ``limit`` (planned as
+``TakeOrderedAndProject``: a top-n per task, then a merge of n rows per
+task). Either way a check that fails on every row stays cheap.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowguard.functions.predicates import col, quote
 from rowguard.operators.metrics import MetricCheck
@@ -35,6 +37,29 @@ def failed_rows(df: DataFrame, check: MetricCheck) -> DataFrame | None:
     return check.measure.failing_rows(df)
 
 
+def _fused_samples(df: DataFrame, fused: list[tuple[str, F.Column, int | None]],
+                   order_by: Sequence[str] | None) -> DataFrame:
+    """Samples of all row-condition checks from ONE scan: each row carries
+    the names of the checks it fails, exploded to (check, row) pairs; the
+    first n per check come from ``row_number`` over the check name with a
+    literal cap, which Spark plans as a partial ``WindowGroupLimit`` before
+    the shuffle (at most n rows per check leave each task)."""
+    empty = F.array().cast(T.ArrayType(T.StringType(), False))
+    names = F.concat(*[F.when(c, F.array(F.lit(n))).otherwise(empty) for n, c, _ in fused])
+    exploded = df.select(F.explode(names).alias(FAILED_CHECK), *[F.col(quote(c)) for c in df.columns])
+    limits = [n for _, _, n in fused]
+    if all(n is None for n in limits):
+        return exploded
+    keys = [k for k in (order_by or []) if k in df.columns] or df.columns
+    w = Window.partitionBy(FAILED_CHECK).orderBy(*[col(k).asc_nulls_first() for k in keys])
+    out = exploded.withColumn("__rg_rn", F.row_number().over(w))
+    if all(n is not None for n in limits):
+        out = out.where(F.col("__rg_rn") <= F.lit(max(limits)))
+    per_check = F.create_map(*[x for name, _, n in fused
+                               for x in (F.lit(name), F.lit(n if n is not None else 2**62))])
+    return out.where(F.col("__rg_rn") <= per_check[F.col(FAILED_CHECK)]).drop("__rg_rn")
+
+
 def samples(
     df: DataFrame,
     checks: Sequence[MetricCheck],
@@ -44,19 +69,28 @@ def samples(
     """Samples of all checks: ``failed_check`` + the checked frame's columns.
 
     ``limit`` is the scan-wide default, a check's ``samples_limit`` wins.
-    A failed-rows SQL query is used as written (its own LIMIT, if any, is
-    kept); the ordered limit is applied on top. Returns ``None`` when no
-    check defines failing rows.
+    Checks whose failing rows are a row condition share one scan; the
+    others (duplicate groups, reference keys, failed-rows SQL) each take an
+    ordered limit of their own failing rows. A failed-rows SQL query is used
+    as written (its own LIMIT, if any, is kept) with the ordered limit on
+    top. Returns ``None`` when no check defines failing rows.
     """
-    parts = []
+    parts, fused = [], []
     for check in checks:
+        n = check.samples_limit if check.samples_limit is not None else limit
+        if not check.failed_rows_query:
+            cond = check.measure.row_condition(df)
+            if cond is not None:
+                fused.append((check.name, cond, n))
+                continue
         rows = failed_rows(df, check)
         if rows is None:
             continue
-        n = check.samples_limit if check.samples_limit is not None else limit
         keys = [k for k in (order_by or []) if k in rows.columns] or None
         head = _ordered_head(rows, keys, n)
         parts.append(head.select(F.lit(check.name).alias(FAILED_CHECK), *[F.col(quote(c)) for c in head.columns]))
+    if fused:
+        parts.insert(0, _fused_samples(df, fused, order_by))
     if not parts:
         return None
     out = parts[0]

@@ -49,5 +49,11 @@ def test_filter_and_columns_pushed_to_scan(spark):
 def test_samples_are_bounded_per_task(spark):
     from rowguard.operators.samples import samples
     li = spark.read.parquet(f"{SF}/lineitem.parquet")
-    p = plan(samples(li, [S.row_count("all", where="true")], limit=3, order_by=["l_orderkey"]))
+    sup = spark.read.parquet(f"{SF}/supplier.parquet")
+    checks = [S.row_count("all", where="true"), S.missing_count("m", "l_shipdate"),
+              S.reference("r", ["l_suppkey"], sup, ["s_suppkey"])]
+    p = plan(samples(li, checks, limit=3, order_by=["l_orderkey"]))
+    # row-condition checks: one scan, partial group limit before the shuffle
+    assert "WindowGroupLimit" in p and "Partial" in p
+    # other checks: ordered top-n
     assert "TakeOrderedAndProject" in p
