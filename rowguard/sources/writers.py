@@ -8,6 +8,8 @@ executors) and the outputs are read from there.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,8 +31,14 @@ def save_path(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "par
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (cuts lineage; a
-    lost executor does not force re-running the joins)."""
+    """Reliable checkpoint into the shared folder the cluster names in
+    ``spark.checkpoint.dir`` (cuts lineage; a lost executor does not force
+    re-running the joins). Without a configured folder the frame is
+    returned as is (each output then re-evaluates it; results are the
+    same) - a machine-local folder is never chosen here."""
+    if not df.sparkSession.sparkContext.getCheckpointDir():
+        warnings.warn("spark.checkpoint.dir is not set: outputs are computed without a checkpoint")
+        return df
     return df.checkpoint(eager=True)
 
 
