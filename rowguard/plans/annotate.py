@@ -40,8 +40,11 @@ _counter = itertools.count()
 MESSAGES = ("static", "values")
 
 
-def _issue(rule: Rule, cond: Column, tag: str, messages: str) -> Column:
-    """A one-element issue array when ``cond`` holds, else an empty array.
+ISSUES_DDL = "array<struct<name:string,function:string,columns:array<string>,message:string>>"
+
+
+def _issue(rule: Rule, cond: Column, tag: str, messages: str, empty: Column) -> Column:
+    """A one-element issue array when ``cond`` holds, else ``empty``.
 
     With ``messages='static'`` the struct is a constant per rule (folded by
     Catalyst); ``'values'`` formats the failing row's values into the
@@ -49,25 +52,25 @@ def _issue(rule: Rule, cond: Column, tag: str, messages: str) -> Column:
     """
     check = rule.check
     msg = check.message(tag) if messages == "values" else F.lit(check.describe())
+    cols = check.input_columns()
     issue = F.struct(
         F.lit(rule.name).alias("name"),
         F.lit(check.function).alias("function"),
-        F.array(*[F.lit(c) for c in check.input_columns()]).cast(T.ArrayType(T.StringType(), False)).alias("columns"),
-        msg.alias("message"),
+        (F.array(*[F.lit(c) for c in cols]) if cols else F.array().cast("array<string>")).alias("columns"),
+        msg.cast("string").alias("message"),
     )
-    return F.when(cond, F.array(issue).cast(ISSUES)).otherwise(F.array().cast(ISSUES))
+    return F.when(cond, F.array(issue)).otherwise(empty)
 
 
-def _issue_array(items: list[Column]) -> Column:
+def _issue_array(items: list[Column], empty: Column) -> Column:
     # concat of per-rule one-or-zero element arrays: plain codegen'd
     # expressions (no lambda functions), and a clean row gets an empty
     # array, never NULL (size(NULL) is NULL and would make both the valid
-    # and the quarantine filter drop the row).
+    # and the quarantine filter drop the row). One cast per array column
+    # fixes the element type and nullability.
     if not items:
-        return F.array().cast(ISSUES)
-    if len(items) == 1:
-        return items[0]
-    return F.concat(*items).cast(ISSUES)
+        return empty
+    return (items[0] if len(items) == 1 else F.concat(*items)).cast(ISSUES_DDL)
 
 
 def annotate(df: DataFrame, rules: Sequence[Rule], messages: str = "static") -> DataFrame:
@@ -84,12 +87,13 @@ def annotate(df: DataFrame, rules: Sequence[Rule], messages: str = "static") ->
     work = df
     for rule, tag in zip(rules, tags):
         work = rule.check.prepare(work, df, tag)
+    empty = F.array().cast(ISSUES_DDL)
     errors, warnings = [], []
     for rule, tag in zip(rules, tags):
         cond = rule.check.condition(work, df, tag)
-        (errors if rule.criticality == "error" else warnings).append(_issue(rule, cond, tag, messages))
+        (errors if rule.criticality == "error" else warnings).append(_issue(rule, cond, tag, messages, empty))
     keep = [F.col(quote(c)) for c in df.columns]
-    return work.select(*keep, _issue_array(errors).alias(ERRORS), _issue_array(warnings).alias(WARNINGS))
+    return work.select(*keep, _issue_array(errors, empty).alias(ERRORS), _issue_array(warnings, empty).alias(WARNINGS))
 
 
 def apply_checks(
