@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowguard.functions.predicates import all_not_null, col
+from rowguard.functions.predicates import all_not_null, col, quote
 
 #: rows of one key that one task may receive before the key is split
 HOT_KEY_ROWS = 1_000_000
@@ -88,18 +88,15 @@ def mark_keys(
     hot = flagged.where(n > hot_key_rows).select(
         *[F.col(k).alias(h) for k, h in zip(names, hot_names)], buckets.alias(f"{flag}_hb"))
     salt_l, salt_r, marker = f"{flag}_sl", f"{flag}_sr", f"{flag}_m"
+    keep = [F.col(quote(c)) for c in df.columns]
+    salt = F.when(F.col(f"{flag}_hb").isNull(), F.lit(0)).otherwise(F.floor(F.rand() * F.col(f"{flag}_hb")).cast("int"))
     # at most rows / hot_key_rows hot keys: the broadcast is bounded
-    left = (
-        df.join(F.broadcast(hot), _match(columns, hot_names, null_safe), "left")
-        .withColumn(salt_l, F.when(F.col(f"{flag}_hb").isNull(), F.lit(0))
-                    .otherwise(F.floor(F.rand() * F.col(f"{flag}_hb")).cast("int")))
-        .drop(*hot_names, f"{flag}_hb")
-    )
+    left = df.join(F.broadcast(hot), _match(columns, hot_names, null_safe), "left").select(*keep, salt.alias(salt_l))
     right = flagged.select(
         *names, *extra, F.explode(F.sequence(F.lit(0), buckets - 1)).alias(salt_r), F.lit(True).alias(marker))
     cond = _match(columns, names, null_safe) & (F.col(salt_l) == F.col(salt_r))
-    joined = left.join(right, cond, "left")
-    return joined.withColumn(flag, F.col(marker).isNotNull()).drop(*names, salt_l, salt_r, marker)
+    return left.join(right, cond, "left").select(
+        *keep, F.col(marker).isNotNull().alias(flag), *[F.col(e) for e in extra])
 
 
 def unmatched_keys(
