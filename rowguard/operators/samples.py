@@ -37,27 +37,25 @@ def failed_rows(df: DataFrame, check: MetricCheck) -> DataFrame | None:
     return check.measure.failing_rows(df)
 
 
-def _fused_samples(df: DataFrame, fused: list[tuple[str, F.Column, int | None]],
+def _fused_samples(df: DataFrame, fused: list[tuple[str, F.Column, int]],
                    order_by: Sequence[str] | None) -> DataFrame:
-    """Samples of all row-condition checks from ONE scan: each row carries
-    the names of the checks it fails, exploded to (check, row) pairs; the
-    first n per check come from ``row_number`` over the check name with a
-    literal cap, which Spark plans as a partial ``WindowGroupLimit`` before
-    the shuffle (at most n rows per check leave each task)."""
+    """Samples of all limited row-condition checks from ONE scan: each row
+    carries the names of the checks it fails, exploded to (check, row)
+    pairs; the first n per check come from ``row_number`` over the check
+    name with a literal cap, which Spark plans as a partial
+    ``WindowGroupLimit`` before the shuffle (at most n rows per check leave
+    each task, so the window partition of a check stays small)."""
     empty = F.array().cast(T.ArrayType(T.StringType(), False))
     names = F.concat(*[F.when(c, F.array(F.lit(n))).otherwise(empty) for n, c, _ in fused])
     exploded = df.select(F.explode(names).alias(FAILED_CHECK), *[F.col(quote(c)) for c in df.columns])
-    limits = [n for _, _, n in fused]
-    if all(n is None for n in limits):
-        return exploded
     keys = [k for k in (order_by or []) if k in df.columns] or df.columns
     w = Window.partitionBy(FAILED_CHECK).orderBy(*[col(k).asc_nulls_first() for k in keys])
-    out = exploded.withColumn("__rg_rn", F.row_number().over(w))
-    if all(n is not None for n in limits):
-        out = out.where(F.col("__rg_rn") <= F.lit(max(limits)))
-    per_check = F.create_map(*[x for name, _, n in fused
-                               for x in (F.lit(name), F.lit(n if n is not None else 2**62))])
-    return out.where(F.col("__rg_rn") <= per_check[F.col(FAILED_CHECK)]).drop("__rg_rn")
+    cap = max(n for _, _, n in fused)
+    out = exploded.withColumn("__rg_rn", F.row_number().over(w)).where(F.col("__rg_rn") <= F.lit(cap))
+    if any(n != cap for _, _, n in fused):
+        per_check = F.create_map(*[x for name, _, n in fused for x in (F.lit(name), F.lit(n))])
+        out = out.where(F.col("__rg_rn") <= per_check[F.col(FAILED_CHECK)])
+    return out.drop("__rg_rn")
 
 
 def samples(
@@ -78,7 +76,7 @@ def samples(
     parts, fused = [], []
     for check in checks:
         n = check.samples_limit if check.samples_limit is not None else limit
-        if not check.failed_rows_query:
+        if not check.failed_rows_query and n is not None:
             cond = check.measure.row_condition(df)
             if cond is not None:
                 fused.append((check.name, cond, n))

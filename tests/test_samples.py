@@ -51,3 +51,15 @@ def test_write_and_read_back(spark, scratch):
     assert row.d == "2024-01-02" and row.t.startswith("2024-01-02T03:04:05") and float(row.m) == 1.5
     empty = W.read_samples(spark, f"{scratch}/nothing_here")
     assert empty.count() == 0
+
+
+def test_unlimited_samples_are_plain_filters(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    out = samples(df, [S.row_count("big x", where="x > 15", samples_limit=2), S.row_count("all x", where="x > 0")],
+                  limit=None, order_by=["k"])
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.failed_check, []).append(r.k)
+    assert sorted(got["big x"]) == [16, 17] and len(got["all x"]) == 20
+    p = out._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("Window") == 2  # WindowGroupLimit + Window, for the limited check only
