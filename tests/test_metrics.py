@@ -128,3 +128,25 @@ def test_evaluate_many(spark, df):
     res = M.evaluate_many({"a": df, "b": df.where("k < 3")}, [S.row_count("rows")])
     got = {r.dataset: r.value for r in res.collect()}
     assert got == {"a": 5.0, "b": 3.0}
+
+
+@pytest.mark.parametrize("op,a,b,value,hit", [
+    ("<", 5, None, 4, True), ("<", 5, None, 5, False), ("<=", 5, None, 5, True), (">", 5, None, 5, False),
+    (">=", 5, None, 5, True), ("=", 5, None, 5, True), ("!=", 5, None, 5, False),
+    ("between", 1, 5, 5, True), ("between", 1, 5, 6, False), ("not_between", 1, 5, 0, True),
+    ("not_between", 1, 5, 1, False), ("null", None, None, None, True), ("null", None, None, 1, False),
+])
+def test_threshold_operators(spark, op, a, b, value, hit):
+    t = M.Threshold(op, a, b)
+    got = spark.createDataFrame([(None if value is None else float(value),)], "v double").select(t.hit(F.col("v")).alias("h")).first().h
+    assert bool(got) == hit
+
+
+def test_null_value_under_threshold_fails_and_warn_precedence(spark):
+    df = spark.createDataFrame([(1.0,), (None,)], "x double")
+    r = res(df, [M.MetricCheck("n", M.Aggregate("x", "max"), fail=M.when(">", 5), warn=M.when(">", 0)),
+                 M.MetricCheck("m", M.Aggregate("x", "max"), fail=M.when(">", 0), warn=M.when(">", 0))])
+    assert r["n"].outcome == "warn" and r["m"].outcome == "fail"
+    empty = df.where("false")
+    r = res(empty, [M.MetricCheck("e", M.Aggregate("x", "max"), warn=M.when(">", 0))])
+    assert r["e"].outcome == "warn"   # NULL under a threshold counts as hit
