@@ -92,7 +92,13 @@ def annotate(df: DataFrame, rules: Sequence[Rule], messages: str = "static") ->
     for rule, tag in zip(rules, tags):
         cond = rule.check.condition(work, df, tag)
         (errors if rule.criticality == "error" else warnings).append(_issue(rule, cond, tag, messages, empty))
-    keep = [F.col(quote(c)) for c in df.columns]
+    # a frame annotated before keeps its issues; new ones are appended
+    have = {c.lower() for c in df.columns}
+    keep = [F.col(quote(c)) for c in df.columns if c not in (ERRORS, WARNINGS)]
+    if ERRORS in have:
+        errors = [F.col(ERRORS).cast(ISSUES_DDL)] + errors
+    if WARNINGS in have:
+        warnings = [F.col(WARNINGS).cast(ISSUES_DDL)] + warnings
     return work.select(*keep, _issue_array(errors, empty).alias(ERRORS), _issue_array(warnings, empty).alias(WARNINGS))
 
 

@@ -128,3 +128,11 @@ def test_duplicate_rule_names_rejected():
         rg.suite([rg.Rule("a", rg.NotNull("x")), rg.Rule("a", rg.NotNull("y"))])
     with pytest.raises(ValueError):
         rg.Rule("a", rg.NotNull("x"), criticality="fatal")
+
+
+def test_annotating_twice_appends_issues(frame):
+    first = rg.annotate(frame, [rg.Rule("a", rg.NotNull("s"))])
+    second = rg.annotate(first, [rg.Rule("b", rg.NotNull("x")), rg.Rule("w", rg.NotNull("y"), criticality="warn")])
+    assert second.columns.count("_errors") == 1
+    rows = {r.k: (r.e, r.w) for r in second.select("k", issue_names().alias("e"), issue_names("_warnings").alias("w")).collect()}
+    assert rows[3] == (["a", "b"], []) and rows[4] == ([], ["w"])  # NaN is not NULL
