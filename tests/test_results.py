@@ -90,3 +90,10 @@ def test_published_verdict_pairs(spark):
     r = [rg.Rule("dups", rg.Satisfies("bad"), max_failed_pct=10, strict=True)]
     row = check_results(rg.annotate(df, r), r).first()
     assert row.failed_pct == 6.3 and row.passed
+
+
+def test_issue_counts(spark):
+    from rowguard.plans.results import issue_counts
+    ann = rg.annotate(spark.createDataFrame(ROWS, SCHEMA), rules())
+    got = {(r.name, r.criticality): r["count"] for r in issue_counts(ann).collect()}
+    assert got == {("s_null", "warning"): 2, ("x_limit", "error"): 2, ("x_strict", "error"): 2}

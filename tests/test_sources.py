@@ -64,3 +64,29 @@ def test_fixed_values():
     assert ELEVEN_YEARS_MINUTES == 5_781_600
     import re
     assert re.match(TAIL_NUMBER_PATTERN, "N123AB") and not re.match(TAIL_NUMBER_PATTERN, "N4YBAA")
+
+
+def test_save_table_ignore_and_overwrite(spark):
+    name = "rg_test_table_modes"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    W.save_table(spark.range(3), name, mode="ignore")
+    W.save_table(spark.range(10), name, mode="ignore")        # exists: left as is
+    assert spark.table(name).count() == 3
+    W.save_table(spark.range(5), name, mode="overwrite")
+    assert spark.table(name).count() == 5
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_save_split_as_tables(spark):
+    ann = rg.annotate(spark.range(10), [rg.Rule("big", rg.NotGreaterThan("id", 6))])
+    for t in ("rg_valid_t", "rg_bad_t"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    W.save_split(ann, "rg_valid_t", "rg_bad_t")
+    assert spark.table("rg_valid_t").count() == 7 and spark.table("rg_bad_t").count() == 3
+    for t in ("rg_valid_t", "rg_bad_t"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def test_catalog_parquet_dir(spark):
+    cat = R.Catalog.parquet_dir(spark, "/root/testdata/sf0.001", ["nation", "region"])
+    assert cat["nation"].count() == 25 and cat["region"].count() == 5
