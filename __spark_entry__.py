@@ -443,6 +443,9 @@ def oracle_sql() -> dict[str, str]:
         f"'{'error' if r[1] == 'error' else 'warning'}' AS criticality FROM f WHERE c{i}"
         for i, r in enumerate(LINEITEM_RULES)
     )
+    q["issue_counts"] = (
+        f"SELECT name, criticality, COUNT(*) AS count FROM ({q['issues_long']}) GROUP BY name, criticality"
+    )
     q["check_results"] = CHECK_RESULTS
     q["overall"] = (
         f"SELECT COUNT(*) AS checks, COUNT(*) FILTER (WHERE NOT passed) AS failed_checks, "
