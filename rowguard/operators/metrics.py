@@ -493,8 +493,19 @@ def _any_hit(check: MetricCheck, which: str, out, p) -> Column | None:
     return c
 
 
-def _result_struct(check: MetricCheck, p: str, source: DataFrame, df: DataFrame) -> Column:
-    out = check.measure.outputs(p, df)
+def _numeric_flags(source: DataFrame, outs: list[dict]) -> list[bool]:
+    """Whether each value is numeric - one analysis for all values."""
+    schema = source.select(*[o["value"].alias(f"__rg_v{i}") for i, o in enumerate(outs)]).schema
+    return [isinstance(f.dataType, _NUMERIC) or isinstance(f.dataType, T.NullType) for f in schema.fields]
+
+
+def _structs(checks: list[tuple[MetricCheck, str]], source: DataFrame, df: DataFrame) -> list[Column]:
+    outs = [c.measure.outputs(p, df) for c, p in checks]
+    flags = _numeric_flags(source, outs)
+    return [_result_struct(c, p, o, n) for (c, p), o, n in zip(checks, outs, flags)]
+
+
+def _result_struct(check: MetricCheck, p: str, out: dict, numeric: bool) -> Column:
     fail = _any_hit(check, "fail", out, p)
     warn = _any_hit(check, "warn", out, p)
     outcome = F.lit("pass")
@@ -505,8 +516,6 @@ def _result_struct(check: MetricCheck, p: str, source: DataFrame, df: DataFrame)
     elif warn is not None:
         outcome = F.when(warn, "warn").otherwise("pass")
     value = out["value"]
-    vtype = source.select(value).schema.fields[0].dataType
-    numeric = isinstance(vtype, _NUMERIC) or isinstance(vtype, T.NullType)
     failed = out["failed"]
     rows = out["row_count"]
     return F.struct(
@@ -555,20 +564,20 @@ def evaluate(df: DataFrame, checks: Sequence[MetricCheck]) -> DataFrame:
                 fused.append((check, p))
             else:
                 one = check.measure.frame(df, p)
-                parts.append(one.select(F.inline(F.array(_result_struct(check, p, one, df)))))
+                parts.append(one.select(F.inline(F.array(*_structs([(check, p)], one, df)))))
         except (PySparkException, ValueError) as err:
             parts.append(_error_frame(spark, check, err))
     if fused:
         try:
             one = df.agg(*fused_aggs)
-            structs = [_result_struct(c, p, one, df) for c, p in fused]
+            structs = _structs(fused, one, df)
             parts.insert(0, one.select(F.inline(F.array(*structs))))
         except PySparkException:
             # isolate the failing checks: evaluate each fused check alone
             for c, p in fused:
                 try:
                     one = df.agg(*c.measure.aggregates(df, p))
-                    parts.append(one.select(F.inline(F.array(_result_struct(c, p, one, df)))))
+                    parts.append(one.select(F.inline(F.array(*_structs([(c, p)], one, df)))))
                 except PySparkException as err:
                     parts.append(_error_frame(spark, c, err))
     if not parts:
