@@ -25,13 +25,17 @@ from rowguard.checks import (
     in_dimension,
     suite,
 )
+from rowguard.operators.metrics import MetricCheck, Threshold, evaluate, evaluate_many, when
 from rowguard.plans.annotate import annotate, apply_checks
-from rowguard.plans.results import check_results, issues, overall, split, summary
+from rowguard.plans.expectations import suite_statistics, validate
+from rowguard.plans.results import check_results, issue_counts, issues, overall, split, summary
+from rowguard.plans.scan import scan
 
 __all__ = [
     "AggregateBound", "Check", "ForeignKey", "Fresh", "InList", "InRange",
     "NotGreaterThan", "NotLessThan", "NotNull", "NotNullNotEmpty", "PairEqual",
     "PairGreater", "RegexMatch", "Rule", "Satisfies", "Unique", "in_dimension",
     "suite", "annotate", "apply_checks", "check_results", "issues", "overall",
-    "split", "summary",
+    "split", "summary", "MetricCheck", "Threshold", "evaluate", "evaluate_many", "when",
+    "suite_statistics", "validate", "issue_counts", "scan",
 ]
