@@ -8,12 +8,15 @@ is found by refinement instead:
 1. one aggregation: row count and ``percentile_approx`` just below and just
    above each wanted quantile (rank error at most ``n / accuracy``), which
    brackets the exact value;
-2. one aggregation: rows below each bracket and rows inside it (if a
-   bracket misses the wanted rank, it is widened, up to the whole column);
+2. one aggregation: rows below each bracket and rows inside it (a bracket
+   that misses the wanted rank falls back to refinement from the whole
+   column, so the result stays exact);
 3. while a bracket holds more than ``max_bracket_rows`` rows it is narrowed
    the same way inside the bracket;
-4. the exact value(s) at the wanted rank: an ordered ``offset``/``limit``
-   over the bracket rows only (a top-k per task, at most the bracket size).
+4. the exact value(s) at the wanted rank: the bracket grouped by value
+   (ties collapse map-side, so a value holding a third of all rows is one
+   row) and a running count over the bracket's distinct values, which the
+   refinement keeps few.
 
 Only scalars reach the driver. Semantics equal Spark's: ``disc`` is the
 value at 1-based rank ``max(1, ceil(n * q))``; ``cont`` interpolates at
@@ -25,7 +28,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowguard.functions.predicates import col
@@ -72,25 +75,65 @@ def exact_quantiles(
     df: DataFrame, column: str, quantiles: Sequence[float], method: str = "disc",
     accuracy: int = ACCURACY, max_bracket_rows: int = MAX_BRACKET_ROWS,
 ) -> tuple[int, list[float | None]]:
-    """(rows, exact quantile values) of a numeric column; NULLs ignored."""
+    """(rows, exact quantile values) of a numeric column; NULLs ignored.
+
+    All quantiles share the jobs: one aggregation for the counts and every
+    approximate bracket, one for the counts of all brackets, one union of
+    the ordered picks (plus refinement rounds only for a bracket that is
+    still too large).
+    """
     if method not in ("disc", "cont"):
         raise ValueError("method is disc or cont")
+    qs = [float(q) for q in quantiles]
     v = df.select(col(column).cast("double").alias("v"))
-    stats = v.agg(F.count(F.lit(1)).alias("rows"), F.count("v").alias("n")).first()
+    d = 2.0 / accuracy
+    # first guess from the whole column: ranks q*n around each target
+    pcts = sorted({min(max(q + s * d, 0.0), 1.0) for q in qs for s in (-1, 1)})
+    stats = v.agg(F.count(F.lit(1)).alias("rows"), F.count("v").alias("n"),
+                  F.percentile_approx("v", pcts, accuracy).alias("b")).first()
     rows, n = stats.rows, stats.n
+    if n == 0:
+        return rows, [None] * len(qs)
     v = v.where(F.col("v").isNotNull())
+    approx = dict(zip(pcts, stats.b))
+    targets = [_positions(n, q, method) for q in qs]
+    bounds = []
+    for q, (lo_pos, hi_pos, _) in zip(qs, targets):
+        # the guesses are ranked on q; widen to the target positions
+        lo = approx[min(max(q - d, 0.0), 1.0)]
+        hi = approx[min(max(q + d, 0.0), 1.0)]
+        bounds.append((lo, hi))
+    cnt = v.agg(*[
+        x for i, (lo, hi) in enumerate(bounds) for x in (
+            F.count_if(F.col("v") < lo).alias(f"b{i}"),
+            F.count_if((F.col("v") >= lo) & (F.col("v") <= hi)).alias(f"m{i}"))
+    ]).first()
+    plans = []
+    for i, ((lo_pos, hi_pos, _), (lo, hi)) in enumerate(zip(targets, bounds)):
+        below, inside = cnt[f"b{i}"], cnt[f"m{i}"]
+        ok = below <= lo_pos and hi_pos < below + inside
+        if ok and inside <= max_bracket_rows:
+            plans.append((lo, hi, below))
+        else:  # missed or still too large: refine this one alone
+            plans.append(_bracket(v, lo_pos, hi_pos, n, accuracy, max_bracket_rows))
+    picks = None
+    for i, ((lo_pos, hi_pos, _), (lo, hi, below)) in enumerate(zip(targets, plans)):
+        part = v if lo is None else v.where((F.col("v") >= lo) & (F.col("v") <= hi))
+        # distinct values of the bracket with their counts (ties collapse in
+        # the partial aggregate, so a hot value is one row), then a running
+        # count over those few values finds the value at each wanted rank
+        grouped = part.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+        running = grouped.withColumn(
+            "cum", F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+        for j, pos in enumerate((lo_pos, hi_pos)):
+            r = pos - below + 1  # 1-based rank inside the bracket
+            one = (running.where((F.col("cum") >= r) & (F.col("cum") - F.col("c") < r))
+                   .select(F.lit(i).alias("i"), F.lit(j).alias("j"), "v"))
+            picks = one if picks is None else picks.unionByName(one)
+    got: dict[tuple[int, int], float] = {(r.i, r.j): r.v for r in picks.collect()}  # 2 values per quantile
     out: list[float | None] = []
-    for q in quantiles:
-        if n == 0:
-            out.append(None)
-            continue
-        lo_pos, hi_pos, h = _positions(n, float(q), method)
-        lo, hi, below = _bracket(v, lo_pos, hi_pos, n, accuracy, max_bracket_rows)
-        part = v
-        if lo is not None:
-            part = part.where((F.col("v") >= lo) & (F.col("v") <= hi))
-        got = [r.v for r in part.orderBy("v").offset(lo_pos - below).limit(hi_pos - lo_pos + 1).collect()]
-        lower, upper = got[0], got[-1]
+    for i, (lo_pos, hi_pos, h) in enumerate(targets):
+        lower, upper = got[(i, 0)], got[(i, 1)]
         if hi_pos == lo_pos or lower == upper:
             out.append(lower)
         else:
