@@ -115,7 +115,8 @@ def check_results(
     meta = rules_frame(annotated.sparkSession, rules)
     out = per_rule.join(F.broadcast(meta), "pos")  # meta holds one row per rule
     if thresholds is not None:
-        t = thresholds.select(F.col("name"), F.col("max_failed_pct").cast("double").alias("t_max"))
+        # one row per name (the strictest allowance if a name repeats)
+        t = thresholds.groupBy("name").agg(F.min(F.col("max_failed_pct").cast("double")).alias("t_max"))
         out = out.join(t, "name", "left").withColumn(
             "max_failed_pct", F.coalesce(F.col("t_max"), F.col("max_failed_pct"))
         ).drop("t_max")

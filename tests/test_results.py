@@ -97,3 +97,11 @@ def test_issue_counts(spark):
     ann = rg.annotate(spark.createDataFrame(ROWS, SCHEMA), rules())
     got = {(r.name, r.criticality): r["count"] for r in issue_counts(ann).collect()}
     assert got == {("s_null", "warning"): 2, ("x_limit", "error"): 2, ("x_strict", "error"): 2}
+
+
+def test_repeated_threshold_names_do_not_multiply_rows(spark):
+    ann = rg.annotate(spark.createDataFrame(ROWS, SCHEMA), rules())
+    t = spark.createDataFrame([("s_null", 50.0), ("s_null", 30.0)], "name string, max_failed_pct double")
+    res = check_results(ann, rules(), thresholds=t).collect()
+    assert len(res) == 4
+    assert [r.max_failed_pct for r in res if r.name == "s_null"] == [30.0]
