@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowguard.operators.samples import FAILED_CHECK, slug
+from rowguard.plans.annotate import is_valid
 from rowguard.plans.results import split
 
 
@@ -63,6 +64,25 @@ def save_split(
         save_path(bad, quarantine, quarantine_mode)
 
 
+STATUS = "_dq_status"
+
+
+def save_partitioned_split(annotated: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
+    """APP-5 in ONE pass: the annotated frame written once, partitioned by
+    ``_dq_status`` = 'valid' | 'quarantine'. No checkpoint and no second
+    evaluation; ``read_split`` gives the two sides back with partition
+    pruning."""
+    status = F.when(is_valid(), F.lit("valid")).otherwise(F.lit("quarantine"))
+    annotated.withColumn(STATUS, status).write.mode(mode).format(fmt).partitionBy(STATUS).save(path)
+
+
+def read_split(spark: SparkSession, path: str, fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
+    """(valid, quarantine) of a ``save_partitioned_split`` output."""
+    df = spark.read.format(fmt).load(path)
+    return (df.where(F.col(STATUS) == "valid").drop(STATUS),
+            df.where(F.col(STATUS) == "quarantine").drop(STATUS))
+
+
 def serializable(df: DataFrame) -> DataFrame:
     """SNK-7: dates/timestamps to ISO text, decimals to double, nested values
     to JSON, so samples fit a text format."""

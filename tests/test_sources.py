@@ -90,3 +90,12 @@ def test_save_split_as_tables(spark):
 def test_catalog_parquet_dir(spark):
     cat = R.Catalog.parquet_dir(spark, "/root/testdata/sf0.001", ["nation", "region"])
     assert cat["nation"].count() == 25 and cat["region"].count() == 5
+
+
+def test_partitioned_split_one_pass(spark, scratch):
+    ann = rg.annotate(spark.range(10), [rg.Rule("big", rg.NotGreaterThan("id", 6)),
+                                        rg.Rule("odd", rg.Satisfies("id % 2 = 1"), criticality="warn")])
+    W.save_partitioned_split(ann, f"{scratch}/split")
+    valid, bad = W.read_split(spark, f"{scratch}/split")
+    assert sorted(r.id for r in valid.collect()) == [0, 2, 4, 6]
+    assert bad.count() == 6 and "_dq_status" not in valid.columns
