@@ -428,6 +428,8 @@ class SqlMetric(Measure):
         q = df.sparkSession.sql(self.query)
         if len(q.columns) != 1:
             raise ValueError("a SQL metric query must return exactly one column")
+        if not isinstance(q.schema.fields[0].dataType, _NUMERIC):
+            raise ValueError(f"a SQL metric must be numeric, got {q.schema.fields[0].dataType.simpleString()}")
         # exactly one row: the aggregate below errors on more, gives NULL on none
         one = q.toDF("v").agg(F.count(F.lit(1)).alias("n"), F.first(F.col("v")).alias("v"))
         return one.select(

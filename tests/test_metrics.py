@@ -150,3 +150,11 @@ def test_null_value_under_threshold_fails_and_warn_precedence(spark):
     empty = df.where("false")
     r = res(empty, [M.MetricCheck("e", M.Aggregate("x", "max"), warn=M.when(">", 0))])
     assert r["e"].outcome == "warn"   # NULL under a threshold counts as hit
+
+
+def test_sql_metric_shape_errors_are_isolated(spark, df):
+    df.createOrReplaceTempView("rg_m2")
+    r = res(df, [S.sql_metric("text", "SELECT 'abc' FROM rg_m2 LIMIT 1"),
+                 S.sql_metric("two", "SELECT 1, 2"), S.row_count("ok")])
+    assert r["text"].outcome == "error" and "numeric" in r["text"].details
+    assert r["two"].outcome == "error" and r["ok"].value == 5
