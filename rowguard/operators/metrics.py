@@ -590,6 +590,25 @@ def evaluate(df: DataFrame, checks: Sequence[MetricCheck]) -> DataFrame:
     return out
 
 
+def evaluate_isolated(df: DataFrame, checks: Sequence[MetricCheck]) -> DataFrame:
+    """Like :func:`evaluate`, but a check that fails *at run time* (e.g. an
+    ANSI division by zero in a user expression) becomes an ``error`` row
+    while the others are still reported. Runs now: first all checks in the
+    fused plan; only if that job fails, each check alone. The result (one
+    row per check) is returned as a small local frame."""
+    spark = df.sparkSession
+    try:
+        return spark.createDataFrame(evaluate(df, checks).collect(), RESULT_SCHEMA)
+    except Exception:  # noqa: BLE001 - any run-time failure isolates per check
+        rows = []
+        for check in checks:
+            try:
+                rows.extend(evaluate(df, [check]).collect())
+            except Exception as err:  # noqa: BLE001
+                rows.extend(_error_frame(spark, check, err).collect())
+        return spark.createDataFrame(rows, RESULT_SCHEMA)
+
+
 def evaluate_many(frames: dict[str, DataFrame], checks: Sequence[MetricCheck]) -> DataFrame:
     """EXT-4: the same checks on several datasets; results carry a
     ``dataset`` column (one fused aggregation per dataset, unioned)."""

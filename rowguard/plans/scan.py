@@ -43,12 +43,16 @@ def scan(
     samples_limit: int | None = 3,
     sample_order: Sequence[str] | None = None,
     sample_sink: Callable[[DataFrame], None] | None = None,
+    isolate_errors: bool = False,
 ) -> ScanResult:
     """Evaluate ``checks`` on ``frames[dataset]``; ``sample_sink`` (UDX-3)
-    receives the samples DataFrame, e.g. ``writers.write_samples``."""
+    receives the samples DataFrame, e.g. ``writers.write_samples``.
+    ``isolate_errors`` runs the metrics now and turns run-time failures of
+    single checks into ``error`` rows (VRD-9); plan-time failures are
+    isolated either way."""
     register_views(frames)
     df = frames[dataset]
-    results = M.evaluate(df, checks)
+    results = M.evaluate_isolated(df, checks) if isolate_errors else M.evaluate(df, checks)
     samples = _samples(df, checks, samples_limit, sample_order)
     if sample_sink is not None and samples is not None:
         sample_sink(samples)

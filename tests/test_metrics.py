@@ -158,3 +158,17 @@ def test_sql_metric_shape_errors_are_isolated(spark, df):
                  S.sql_metric("two", "SELECT 1, 2"), S.row_count("ok")])
     assert r["text"].outcome == "error" and "numeric" in r["text"].details
     assert r["two"].outcome == "error" and r["ok"].value == 5
+
+
+def test_runtime_errors_isolated(spark, df):
+    from pyspark.errors import PySparkException
+    checks = [S.expression_metric("boom", "AVG(x / (k - k))"), S.row_count("rows")]
+    try:
+        M.evaluate(df, checks).collect()
+        ansi_raises = False
+    except PySparkException:
+        ansi_raises = True
+    r = {x.check: x for x in M.evaluate_isolated(df, checks).collect()}
+    assert r["rows"].value == 5
+    if ansi_raises:
+        assert r["boom"].outcome == "error"
