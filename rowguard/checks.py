@@ -26,7 +26,7 @@ from rowguard.operators import keys as K
 
 CRITICALITIES = ("error", "warn")
 #: parameters that change how a check runs, not what it checks
-_EXECUTION_KNOBS = ("hot_key_rows", "aggregate_keys")
+_EXECUTION_KNOBS = ("hot_key_rows", "aggregate_keys", "broadcast_keys")
 
 
 def label(c) -> str:
@@ -368,6 +368,8 @@ class ForeignKey(Check):
     ref: object = field(repr=False)
     ref_columns: tuple
     hot_key_rows: int = K.HOT_KEY_ROWS
+    #: distinct reference keys up to which they are broadcast (size checked by a count)
+    broadcast_keys: int = K.BROADCAST_KEYS
     #: False: join every row against the reference keys (streams)
     aggregate_keys: bool = True
     function: ClassVar[str] = "foreign_key"
@@ -384,6 +386,8 @@ class ForeignKey(Check):
         ref = _resolve(self.ref, work.sparkSession)
         if not self.aggregate_keys:
             return K.mark_unmatched_direct(work, self.columns, ref, self.ref_columns, tag)
+        if K.small_key_set(ref, self.ref_columns, self.broadcast_keys):
+            return K.mark_unmatched_direct(work, self.columns, ref, self.ref_columns, tag, broadcast=True)
         return K.mark_unmatched(work, self.columns, ref, self.ref_columns, tag, source=source,
                                 hot_key_rows=self.hot_key_rows)
 

@@ -83,11 +83,12 @@ def test_hot_keys_are_salted_with_same_result(spark):
     ref = spark.createDataFrame([(2,)], "r bigint")
     for h in (10, 1_000_000):
         rules = [rg.Rule("u", rg.Unique(["k1", "k2"], hot_key_rows=h)),
-                 rg.Rule("fk", rg.ForeignKey(["k1"], ref, ["r"], hot_key_rows=h), criticality="warn"),
+                 rg.Rule("fk", rg.ForeignKey(["k1"], ref, ["r"], hot_key_rows=h, broadcast_keys=0), criticality="warn"),
+                 rg.Rule("fk_small", rg.ForeignKey(["k1"], ref, ["r"]), criticality="warn"),
                  rg.Rule("g", rg.AggregateBound("v", "count", 5, "max", group_by=("g",), hot_key_rows=h))]
         ann = rg.annotate(df, rules)
         assert ann.count() == 302
         res = {r.name: r.failed_rows for r in rg.check_results(ann, rules).collect()}
-        assert res == {"u": 302, "fk": 300, "g": 300}, h
+        assert res == {"u": 302, "fk": 300, "fk_small": 300, "g": 300}, h
     plan = ann._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate explode(sequence(0" in plan
