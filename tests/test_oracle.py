@@ -46,3 +46,16 @@ def test_every_query_has_oracle_or_is_approximate():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 12 and "passed" in df.columns
+
+
+def test_percentile_approx_within_rank_error(spark, con):
+    """The query without an oracle: its value must sit within the
+    approximation's rank error (n / accuracy) of the exact p90."""
+    value = E.queries()["percentile_approx"](spark, SF).first().value
+    n = con.sql("SELECT COUNT(*) FROM lineitem").fetchall()[0][0]
+    slack = n / 10000 + 1
+    lo_q = max(0.0, 0.9 - slack / n)
+    hi_q = min(1.0, 0.9 + slack / n)
+    lo, hi = con.sql(f"SELECT quantile_disc(l_extendedprice, {lo_q}), quantile_disc(l_extendedprice, {hi_q}) "
+                     "FROM lineitem").fetchall()[0]
+    assert lo <= value <= hi
