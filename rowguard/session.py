@@ -22,7 +22,8 @@ LOCAL_DEFAULTS = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g",
+                  extra: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and the bench (``local[cores]``)."""
     b = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -30,7 +31,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
     )
-    for k, v in LOCAL_DEFAULTS.items():
+    for k, v in {**LOCAL_DEFAULTS, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

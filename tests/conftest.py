@@ -13,8 +13,10 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = local_session(cores="*", shuffle_partitions=8, memory="4g")
+def spark(tmp_path_factory):
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    s = local_session(cores="*", shuffle_partitions=8, memory="4g",
+                      extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 
