@@ -19,6 +19,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from rowguard import requirements as Q  # noqa: E402
 
+try:  # the training-data operators are optional: the library works without them
+    import corpus_pipeline
+    from rowguard.llm import queries as L
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "rowguard.llm"):
+        raise
+    corpus_pipeline = L = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
@@ -28,7 +36,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(Q.QUERIES)
+    extra = {} if L is None else {**L.QUERIES, "pipeline": corpus_pipeline.run}
+    return {**Q.QUERIES, **extra}
 
 
 # --------------------------------------------------------------- oracle SQL
@@ -473,4 +482,6 @@ def oracle_sql() -> dict[str, str]:
         "CASE WHEN COALESCE(CAST(ABS(rows_a - rows_b) AS DOUBLE) * 100.0 / NULLIF(rows_a, 0), "
         "CASE WHEN rows_b = 0 THEN 0.0 ELSE 100.0 END) <= 1.0 THEN 'pass' ELSE 'fail' END AS outcome FROM s"
     )
+    if L is not None:
+        q.update(L.ORACLE)
     return q
