@@ -1,0 +1,121 @@
+import hashlib
+import random
+
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+from sentencepiece import sentencepiece_model_pb2 as model_pb
+
+from rowguard.llm import queries as Q
+from rowguard.llm import secrets as op2
+from rowguard.llm import sentencepiece_codec as op1
+from tests.llm import brute
+
+SF = "/root/testdata/sf0.001"
+AWKWARD = ["", " ", "  a  b ", "a\n\tb", "😀é梦x", "<s></s><0x0A>", "▁a", "x" * 500, " " * 70 + "q", "the the  the"]
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(5)
+    alphabet = [*"aeinrst  thoe\n", "é", "梦", "   ", "😀", "<s>"]
+    return AWKWARD + ["".join(rng.choices(alphabet, k=rng.randint(0, 80))) for _ in range(400)]
+
+
+def models():
+    data = open(op1.MODEL, "rb").read()
+    proto = model_pb.ModelProto()
+    proto.ParseFromString(data)
+    proto.trainer_spec.model_type = model_pb.TrainerSpec.UNIGRAM
+    return data, proto.SerializeToString()
+
+
+def test_bpe_ids_are_those_of_the_library(texts):
+    data, _ = models()
+    ours, theirs = op1.Model(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+    for t in texts + ["".join(random.Random(1).choices("abcdefgh", k=4000))]:
+        assert list(ours.encode(t)) == theirs.encode(t), t[:50]
+        assert ours.decode(theirs.encode(t)) == theirs.decode(theirs.encode(t))
+
+
+def test_unigram_segmentation_is_as_good_as_the_library(texts):
+    """Best score sums; the library adds in single precision, so ids may differ where sums tie in it."""
+    _, data = models()
+    ours, theirs = op1.Model(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+    for t in texts:
+        a, b = ours.encode(t), theirs.encode(t)
+        assert sum(ours.score[i] for i in a) >= sum(ours.score[i] for i in b)
+        assert ours.decode(a) == theirs.decode(b)
+
+
+def test_walk_commits_within_a_small_window():
+    model = op1.Model(models()[0])
+    text = "".join(random.Random(2).choices("abcdefghij", k=20000))
+    walk, seen = model.walk(text), 0
+    next(walk)
+    state = walk.gi_frame.f_locals
+    for _ in walk:
+        seen = max(seen, len(state["back"]) if walk.gi_frame is None else len(walk.gi_frame.f_locals["back"]))
+    assert seen < 40 * model.longest
+
+
+def test_op1_query_round_trips(spark):
+    rows = Q.op1_sentencepiece(spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id").collect()
+    sp = sentencepiece.SentencePieceProcessor(model_file=op1.MODEL)
+    assert len(rows) == 200
+    for r in rows:
+        assert r.ids == sp.encode(r.text) and r.n_ids == len(r.ids)
+        assert r.round_trip and r.decoded_sha256 == hashlib.sha256(r.text.encode()).hexdigest()
+
+
+def test_op1_nulls_repeats_clashing_columns_and_decode(spark):
+    rows = [(1, None, "x"), (2, "", "y"), (None, "ab cd", "z"), (3, "ab cd", "z"), (3, "ab cd", "z"), (4, "w " * 30000, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
+    out = op1.encode(df)
+    got = {r.doc_id: (r.n_ids, r.round_trip) for r in out.collect()}
+    assert out.count() == 6 and got[1] == (0, True) and got[2] == (0, True) and got[None] == got[3]
+    back = {(r.doc_id, r.text) for r in op1.decode(out).collect()}
+    assert back == {(i, t or "") for i, t, _ in rows}
+    assert op1.encode(df.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------ secrets
+
+PLANTED = [
+    (1, "x password = 'abc123xyz' and PASSWD:short Token=abcdef", "src1"),
+    (2, "token=token: abcdef secret=ab token=xx99yy88 api_key:=no", "src1"),
+    (3, "AKIA" + "A1B2C3D4E5F6G7H8" + " AKIA12 " + "0123456789abcdef" * 2, "src2"),
+    (4, "é😀 secret: deadbeefdeadbeefdeadbeef00 tail", "src2"),
+    (5, None, "src2"), (6, "", None), (None, "secret=zzzzzz9", None), (6, "", None),
+    (7, "key Zx9_kQ2mN8vB4cR7tY1uI3oP5aS6dF0gHj once", "src3"),
+    *[(20 + i, "key Ab9_kQ2mN8vB4cR7tY1uI3oP5aS6dF0gHj everywhere", f"src{i}") for i in range(4)],
+]
+
+
+def test_secret_spans_match_brute_force(spark):
+    df = spark.createDataFrame(PLANTED, "doc_id long, text string, source string")
+    out = op2.scan(df).withColumn("base", op2.listed(F.filter("spans", lambda s: s["kind"].isin(*op2.BASE))))
+    rows = out.collect()
+    assert sorted((r.doc_id or 0, r.base) for r in rows) == sorted((i or 0, brute.spans(brute.secrets(t))) for i, t, _ in PLANTED)
+    generic = {r.doc_id for r in rows if any(s.kind == "generic" for s in r.spans)}
+    assert generic == {7}, "owner-specific values only; the one that four owners hold is an example"
+
+
+def test_op2_query_matches_brute_force(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = Q.op2_secrets(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        found = brute.secrets(texts[r.doc_id])
+        assert r.base_sha256 == brute.sha256(brute.spans(found))
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(f[1] == k for f in found) for k in range(3)]
+
+
+def test_redact_keeps_rows_and_columns(spark):
+    df = spark.createDataFrame([(*r, "s") for r in PLANTED], "doc_id long, text string, source string, spans string")
+    out = op2.redact(df)
+    assert out.columns == df.columns and out.count() == df.count()
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert got[5] is None and got[6] == "" and got[4] == "é😀 [assign] tail" and got[7] == "key [generic] once"
+    assert got[1] == "x [assign]' and PASSWD:short [assign]"
+    assert op2.redact(df.limit(0)).count() == 0
