@@ -70,18 +70,28 @@ def steps(batches: Iterator[pa.RecordBatch], text: str = "text",
                 yield batch.slice(a, b - a)
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of lower-cased (A-Z) texts.
+#: byte maps for word splitting: A-Z lower-cased; white space is what Arrow splits at
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: the same, and every ASCII byte that is no letter or digit becomes a space
+ALNUM = bytes(32 if c < 128 and not chr(c).isalnum() else c for c in LOWER)
+
+
+def words(texts: pa.Array, table: bytes = LOWER) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Words of texts, split at ASCII white space after mapping bytes by ``table``.
 
     Returns offsets (n + 1) into the codes, the codes of all words in order, and
-    the distinct words that codes stand for. A null text has no words.
+    the distinct words that codes stand for. A null text has no words. Only ASCII
+    bytes are mapped, so UTF-8 stays valid and offsets stay right.
     """
-    texts = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    split = pc.ascii_split_whitespace(texts)
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    data = data.slice(at[0], at[-1] - at[0]).to_pybytes().translate(table) if data is not None else b""
+    mapped = pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer((at - at[0]).tobytes()), pa.py_buffer(data)])
+    split = pc.ascii_split_whitespace(mapped)
     offsets = split.offsets.to_numpy().astype(np.int64)
-    flat = split.flatten()  # of this slice only
     offsets = offsets - offsets[0]
-    coded = pc.dictionary_encode(flat)
+    coded = pc.dictionary_encode(split.flatten())
     codes = coded.indices.to_numpy().astype(np.int64)
     known = coded.dictionary.to_pylist()
     if "" in known:  # what stands before the first or after the last separator

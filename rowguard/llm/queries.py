@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowguard.llm import decontaminate as op10
+from rowguard.llm import minhash as op6
 from rowguard.llm import secrets as op2
 from rowguard.llm import sentencepiece_codec as op1
 from rowguard.llm.common import table
@@ -24,9 +26,25 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         op2.listed(F.col("spans")).alias("spans"), "n_example", "n_live")
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 4-word shingles, 80 percent."""
+    return op6.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside 10-word windows of benchmark items."""
+    found = op10.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_items").cast("long").alias("n_near_items"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_secrets": op2_secrets,
+    "op6_minhash": op6_minhash,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE: dict[str, str] = {}

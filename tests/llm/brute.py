@@ -31,3 +31,28 @@ def secrets(text):
 
 def spans(found):
     return ",".join(f"{k}:{a}:{b}" for a, _, k, b in found)
+
+
+ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def contamination(docs, items, window=10):
+    """doc -> (n_words, n_hit, sorted item ids) by looking every window up."""
+    wins = {}
+    for item, text in items:
+        w = ALNUM.findall(lower(text))
+        size = min(window, len(w))
+        for k in range(len(w) - size + 1) if w else ():
+            wins.setdefault(tuple(w[k:k + size]), set()).add(str(item))
+    sizes = {len(w) for w in wins}
+    out = []
+    for doc_id, text in docs:
+        w, hit, found = ALNUM.findall(lower(text)), set(), set()
+        for size in sizes:
+            for k in range(len(w) - size + 1):
+                of = wins.get(tuple(w[k:k + size]))
+                if of:
+                    hit.update(range(k, k + size))
+                    found |= of
+        out.append((doc_id, len(w), len(hit), sorted(found)))
+    return out
