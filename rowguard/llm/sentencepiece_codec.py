@@ -30,13 +30,14 @@ and text are ignored.
 from __future__ import annotations
 
 import hashlib
+import re
 from array import array
 from collections.abc import Iterator
 from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb
@@ -47,7 +48,7 @@ from rowguard.llm.common import documents, steps
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: memoised spans and neighbour checks per Python worker
-MEMO = 400_000
+MEMO = 600_000
 #: a span longer than this is never memoised
 MEMO_CHARS = 48
 
@@ -78,9 +79,14 @@ class Model:
         self.control = {i for i, k in enumerate(self.kinds) if k == kinds.CONTROL}
         self.longest = max(map(len, self.vocab), default=1)
         self.unknown_score = min((self.score[i] for i in self.vocab.values()), default=0.0) - 10.0
-        self.neighbours: dict[tuple[str, str], bool] = {}
-        self.spans: dict[str, tuple[int, ...]] = {}
-        self.whole: dict[str, bool] = {}
+        self.neighbours: dict[int, bool] = {}
+        self.spans = Memo(self)
+        self.words = Memo(self, SPACE)
+        self.surface = [
+            bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.control
+            else " ⁇ ".encode() if i == self.unknown else p.replace(SPACE, " ").encode()
+            for i, p in enumerate(self.pieces)]
+        self.automaton = self.edges()
 
     # -- lattice -----------------------------------------------------------
     def merged(self, text: str) -> list[str]:
@@ -97,50 +103,68 @@ class Model:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def reachable(self, piece: str) -> bool:
-        known = self.whole.get(piece)
-        if known is None:
-            known = self.whole[piece] = len(piece) == 1 or len(self.merged(piece)) == 1
-        return known
-
-    def follows(self, left: str, right: str) -> bool:
-        known = self.neighbours.get((left, right))
+    def edges(self) -> ahocorasick.Automaton:
+        """All pieces that segmentation can produce, found in one pass over a text."""
+        found = ahocorasick.Automaton()
+        for piece, k in self.vocab.items():
+            if not self.bpe or len(piece) == 1 or len(self.merged(piece)) == 1:
+                found.add_word(piece, (k, len(piece)))
+        found.make_automaton()
+        return found
+
+    def follows(self, left: int, right: int, text: str) -> bool:
+        """Whether merging the joined ``text`` of two pieces gives them back."""
+        if left < 0 or right < 0:  # characters without a piece: not worth a memo
+            return len(self.merged(text)) == 2
+        key = left << 32 | right
+        known = self.neighbours.get(key)
         if known is None:
             if len(self.neighbours) >= MEMO:
                 self.neighbours.clear()
-            known = self.neighbours[left, right] = self.merged(left + right) == [left, right]
+            known = self.neighbours[key] = self.merged(text) == [self.pieces[left], self.pieces[right]]
         return known
 
-    def walk(self, text: str) -> Iterator[str]:
-        """Pieces of ``text`` by streaming Viterbi, committed at common boundaries."""
-        longest, vocab, bpe = self.longest, self.vocab, self.bpe
+    def walk(self, text: str) -> Iterator[tuple[int, int, int]]:
+        """(piece id or -1, start, end) by streaming Viterbi, committed at common boundaries."""
+        bpe, score, neighbours = self.bpe, self.score, self.neighbours
         base = 0                    # first position that is not committed
-        back = [0]                  # start of the surviving last piece, by end - base
-        last = [""]                 # that piece
-        best = [0.0]
-        ahead = 4 * longest
+        back, last, best = [0], [-2], [0.0]     # by end - base; -2: nothing before, None: no path
+        reach, ahead = self.longest, 4 * self.longest
+        matches = self.automaton.iter(text)
+        match = next(matches, None)
         for end in range(1, len(text) + 1):
-            choice, start_of, top = None, -1, -np.inf
-            for start in range(max(base, end - longest), end):
-                piece = text[start:end]
-                k = vocab.get(piece)
-                if k is None and start != end - 1:
+            choice, start_of, top, single = None, end - 1, -np.inf, False
+            while match is not None and match[0] < end:  # longest first
+                k, size = match[1]
+                match = next(matches, None)
+                single = single or size == 1
+                start = end - size
+                if start < base:
                     continue
-                if last[start - base] is None:
+                before = last[start - base]
+                if before is None:
                     continue
                 if bpe:
-                    if self.reachable(piece) and (not last[start - base] or self.follows(last[start - base], piece)):
-                        choice, start_of, top = piece, start, 0.0
-                        break
+                    if choice is None and (before == -2 or neighbours.get(before << 32 | k) or self.follows(
+                            before, k, text[back[start - base]:end])):
+                        choice, start_of = k, start
                 else:
-                    s = best[start - base] + (self.score[k] if k is not None else self.unknown_score)
+                    s = best[start - base] + score[k]
                     if s > top:
-                        choice, start_of, top = piece, start, s
+                        choice, start_of, top = k, start, s
+            if not single and last[end - 1 - base] is not None:  # a character that is no piece
+                before = last[end - 1 - base]
+                if not bpe:
+                    s = best[end - 1 - base] + self.unknown_score
+                    if s > top:
+                        choice, start_of, top = -1, end - 1, s
+                elif choice is None and (before == -2 or self.follows(before, -1, text[back[end - 1 - base]:end])):
+                    choice, start_of = -1, end - 1
             back.append(start_of)
             last.append(choice)
             best.append(top)
             if end - base >= ahead and end < len(text):
-                live = {e for e in range(max(base, end - longest + 1), end + 1) if last[e - base] is not None}
+                live = {e for e in range(max(base, end - reach + 1), end + 1) if last[e - base] is not None}
                 while len(live) > 1:
                     e = max(live)
                     live.discard(e)
@@ -148,72 +172,69 @@ class Model:
                 joint = live.pop()
                 if joint > base:
                     yield from self.path(back, last, base, joint)
-                    tail = last[joint - base]
                     back, last, best = back[joint - base:], last[joint - base:], best[joint - base:]
-                    base, last[0] = joint, tail
-                ahead = (end - base) + 4 * longest
+                    base = joint
+                ahead = (end - base) + 4 * self.longest
         yield from self.path(back, last, base, len(text))
 
     @staticmethod
-    def path(back: list[int], last: list[str | None], base: int, end: int) -> list[str]:
+    def path(back: list[int], last: list[int | None], base: int, end: int) -> list[tuple[int, int, int]]:
         out = []
         while end > base:
-            out.append(last[end - base])
+            out.append((last[end - base], back[end - base], end))
             end = back[end - base]
         return out[::-1]
 
     # -- text to ids and back ----------------------------------------------
     def ids_of(self, span: str) -> Iterator[int]:
         run = False                 # a run of characters without a piece is one unknown
-        for piece in self.walk(span):
-            k = self.vocab.get(piece)
-            if k is not None:
+        for k, start, end in self.walk(span):
+            if k >= 0:
                 run = False
                 yield k
             elif self.bytes:
-                yield from (self.bytes[b] for b in piece.encode())
+                yield from (self.bytes[b] for b in span[start:end].encode())
             elif not run:
                 run = True
                 yield self.unknown
 
-    def span_ids(self, span: str) -> tuple[int, ...] | Iterator[int]:
-        if len(span) > MEMO_CHARS:
-            return self.ids_of(span)
-        known = self.spans.get(span)
-        if known is None:
-            if len(self.spans) >= MEMO:
-                self.spans.clear()
-            known = self.spans[span] = tuple(self.ids_of(span))
-        return known
-
     def encode(self, text: str) -> array:
         if not text:
             return array("i")
+        if self.prefix and "  " not in text and SPACE not in text and text[0] != " " and text[-1] != " ":
+            # single spaces only: every span is a space mark and a word
+            return array("i", chain.from_iterable(map(self.words.__getitem__, text.split(" "))))
         text = (SPACE if self.prefix else "") + text.replace(" ", SPACE)
         # word starts: all paths agree there
-        return array("i", chain.from_iterable(map(self.span_ids, SPANS.findall(text))))
+        return array("i", chain.from_iterable(map(self.spans.__getitem__, SPANS.findall(text))))
 
     def decode(self, ids) -> str:
-        out, raw = [], bytearray()
-        for i in ids:
-            b = self.byte_of.get(i)
-            if b is not None:
-                raw.append(b)
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            if i == self.unknown:
-                out.append(" ⁇ ")
-            elif i not in self.control:
-                out.append(self.pieces[i])
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(SPACE, " ")
+        """Text of ids; byte pieces join to UTF-8, broken sequences become U+FFFD."""
+        text = b"".join(map(self.surface.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
-SPANS = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+class Memo(dict):
+    """Ids by span, in two generations: the older half is forgotten when the newer one is full."""
+
+    def __init__(self, model: Model, mark: str = ""):
+        super().__init__()
+        self.model, self.mark, self.older = model, mark, {}
+
+    def __missing__(self, span: str):
+        ids = self.older.get(span)
+        if ids is None:
+            if len(span) > MEMO_CHARS:
+                return self.model.ids_of(self.mark + span)
+            ids = tuple(self.model.ids_of(self.mark + span))
+        if len(self) >= MEMO // 2:
+            self.older = dict(self)
+            self.clear()
+        self[span] = ids
+        return ids
+
+
+SPANS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _MODELS: dict[int, Model] = {}
 
 
@@ -236,9 +257,10 @@ def encode(docs: DataFrame, model_file: str = MODEL, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(data)
-        byte_ids = np.array(sorted(model.byte_of), np.int32)
+        is_byte = np.zeros(len(model.pieces), bool)
+        is_byte[list(model.byte_of)] = True
         for batch in steps(batches, step_bytes=2 << 20):
-            flat, ends, sha, same, n_bytes = array("i"), [0], [], [], []
+            flat, ends, sha, same = array("i"), [0], [], []
             for text in batch.column("text").to_pylist():
                 ids = model.encode(text or "")
                 back = model.decode(ids)
@@ -246,8 +268,9 @@ def encode(docs: DataFrame, model_file: str = MODEL, id_col: str = "doc_id", tex
                 ends.append(len(flat))
                 sha.append(hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest())
                 same.append(back == (text or ""))
-                n_bytes.append(int(np.isin(np.frombuffer(ids, np.int32), byte_ids).sum()) if len(ids) else 0)
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if len(flat) else np.zeros(0, np.int32)))
+            flat = np.frombuffer(flat, np.int32) if len(flat) else np.zeros(0, np.int32)
+            n_bytes = np.diff(np.concatenate([[0], np.cumsum(is_byte[flat])])[ends])
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()), pa.array(n_bytes, pa.int64()), ids,
                  pa.array(sha, pa.string()), pa.array(same, pa.bool_())],
