@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowguard.llm import decontaminate as op10
+from rowguard.llm import lm_scoring as op3
+from rowguard.llm import merkle as op4
 from rowguard.llm import minhash as op6
 from rowguard.llm import secrets as op2
 from rowguard.llm import sentencepiece_codec as op1
@@ -26,6 +28,16 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         op2.listed(F.col("spans")).alias("spans"), "n_example", "n_live")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of all texts under the backoff automaton of the training texts."""
+    return op3.score(table(spark, sf_dir, "documents"), mod=10)
+
+
+def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all texts and of their edited texts."""
+    return op4.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 4-word shingles, 80 percent."""
     return op6.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
@@ -43,6 +55,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_secrets": op2_secrets,
+    "op3_lm_scoring": op3_lm_scoring,
+    "op4_merkle": op4_merkle,
     "op6_minhash": op6_minhash,
     "op10_decontaminate": op10_decontaminate,
 }

@@ -56,3 +56,14 @@ def contamination(docs, items, window=10):
                     found |= of
         out.append((doc_id, len(w), len(hit), sorted(found)))
     return out
+
+
+def lm_base(docs, mod=10):
+    """doc -> (held_out, n_tokens, n_known, train_tokens, base_score)."""
+    from collections import Counter
+    from math import log10
+    tokens = [(i, [*WORD.findall(lower(t)), None]) for i, t in docs]
+    count = Counter(w for i, ws in tokens if crc(i, mod) for w in ws)
+    n, v = count.total(), len(count)
+    return [(i, crc(i, mod) == 0, len(ws), sum(w in count for w in ws), n,
+             sum(log10((count[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws)) for i, ws in tokens]
