@@ -2,30 +2,53 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame. A caller may
 write each stage's result as Parquet and read it back as the next one's docs;
-``run`` does so in the shared checkpoint folder.
+``run`` does so in the shared checkpoint folder. Rows without an id are never
+dropped by the de-duplication and decontamination stages (there is nothing to
+name them by); all but the last stage return the columns of their input.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowguard.llm import secrets, sentencepiece_codec
+from rowguard.llm import decontaminate, minhash, secrets, sentencepiece_codec, toxicity
 from rowguard.llm.common import staged, table
 
 
-def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labels of these documents, does not reject."""
+    return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"), mod=5))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group: five-word shingles, similarity 0.8."""
+    found = minhash.near_duplicates(docs, size=5, percent=80)
+    return docs.join(found.filter("NOT kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no ten-word window of a benchmark item."""
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(found.filter(F.col("n_hit") > 0).select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets in the texts by the name of their kind; all documents stay."""
     return secrets.redact(docs)
 
 
-def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every remaining text, with the proof that they decode to it."""
     return sentencepiece_codec.encode(docs)
 
 
 STAGES = [
-    ("secret_scan", secret_scan),
-    ("sentencepiece", sentencepiece),
+    ("toxicity", drop_toxic),
+    ("near_dedup", near_dedup),
+    ("decontaminate", drop_contaminated),
+    ("secrets", redact_secrets),
+    ("sentencepiece", tokenise),
 ]
 
 #: no SQL: a learned classifier, MinHash and SentencePiece are among the stages

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowguard.llm import chat as op8
 from rowguard.llm import decontaminate as op10
+from rowguard.llm import language_id as op9
 from rowguard.llm import lm_scoring as op3
 from rowguard.llm import merkle as op4
 from rowguard.llm import minhash as op6
 from rowguard.llm import secrets as op2
 from rowguard.llm import sentencepiece_codec as op1
+from rowguard.llm import toxicity as op5
+from rowguard.llm import warc as op7
 from rowguard.llm.common import table
 
 
@@ -38,11 +42,41 @@ def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learned from labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    return op5.score(docs, op5.fit(docs, table(spark, sf_dir, "labels"), mod=5), mod=5)
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 4-word shingles, 80 percent."""
     return op6.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives and read back."""
+    return op7.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that holds control strings, formatted and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
+    out = op8.conversations(op8.chain(turns.union(extra)))
+    out = out.withColumn("turns", op8.parse(F.col("formatted"))).withColumn("loss", op8.masked(F.col("formatted"), F.col("loss_spans")))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
+                      F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+                      F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    return op9.identify(docs, op9.fit(docs, mod=5), mod=5)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside 10-word windows of benchmark items."""
     found = op10.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -57,7 +91,11 @@ QUERIES = {
     "op2_secrets": op2_secrets,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_merkle": op4_merkle,
+    "op5_toxicity": op5_toxicity,
     "op6_minhash": op6_minhash,
+    "op7_warc": op7_warc,
+    "op8_chat": op8_chat,
+    "op9_language_id": op9_language_id,
     "op10_decontaminate": op10_decontaminate,
 }
 
