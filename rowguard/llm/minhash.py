@@ -11,8 +11,9 @@
 4. Surviving candidates are confirmed on full shingle sets and links merged into
    components. Then every bucket that still holds more than one component
    compares the nodes of different components, so that no link is lost; nodes
-   that are already connected are not compared again, which keeps a group of
-   thousands of near copies linear. Large buckets are dealt over tiles.
+   that are already connected are not compared again. Here wider signatures keep
+   pairs that are close to, but below, the threshold from being confirmed in
+   numbers. Large buckets are dealt over tiles.
 
 Recall: a pair at the threshold shares none of the ``BANDS`` bands with
 probability (1 - 0.8^4)^32 = 5e-8, and the estimate lies ``MARGIN`` (over five
@@ -41,6 +42,9 @@ PERMUTATIONS = BANDS * ROWS
 LONGS = PERMUTATIONS * BITS // 64
 #: the estimate may lie so far below the threshold
 MARGIN = 0.2
+#: a second, wider signature for nodes that still lie in buckets of several
+#: components: permutations, bits, and its margin (over five standard deviations)
+WIDE, WIDE_BITS, WIDE_MARGIN = 1024, 2, 0.08
 #: nodes of one bucket that one task compares with others
 TILE = 2000
 SIG = [f"s{i}" for i in range(LONGS)]
@@ -48,12 +52,9 @@ SCHEMA = ("doc_id long, text_hash long, n_shingles long, node long, bands array<
           + ", ".join(f"{s} long" for s in SIG))
 
 
-def _permutations() -> tuple[np.ndarray, np.ndarray]:
-    seeds = mix(np.arange(1, 2 * PERMUTATIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return seeds[:PERMUTATIONS] | np.uint64(1), seeds[PERMUTATIONS:]
-
-
-MUL, ADD = _permutations()
+def permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
+    seeds = mix(np.arange(1, 2 * n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return seeds[:n] | np.uint64(1), seeds[n:]
 
 
 def shingle_set(word_hashes: np.ndarray, size: int) -> np.ndarray:
@@ -68,10 +69,12 @@ def shingle_set(word_hashes: np.ndarray, size: int) -> np.ndarray:
     return np.unique(h)
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    low = np.full(PERMUTATIONS, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(shingles), 2048):  # a very long text needs no more memory
-        np.minimum(low, (MUL[:, None] * shingles[None, i:i + 2048] + ADD[:, None]).min(axis=1), out=low)
+def minima(shingles: np.ndarray, hashed: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    mul, add = hashed
+    low = np.full(len(mul), np.iinfo(np.uint64).max, np.uint64)
+    width = 2 ** 18 // len(mul)  # a very long text needs no more memory
+    for i in range(0, len(shingles), width):
+        np.minimum(low, (mul[:, None] * shingles[None, i:i + width] + add[:, None]).min(axis=1), out=low)
     return low
 
 
@@ -82,9 +85,10 @@ def band_keys(low: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def packed(low: np.ndarray) -> np.ndarray:
-    lanes = (low & np.uint64((1 << BITS) - 1)).reshape(LONGS, -1)
-    shifts = np.arange(lanes.shape[1], dtype=np.uint64) * np.uint64(BITS)
+def packed(low: np.ndarray, bits: int) -> np.ndarray:
+    """The low ``bits`` of all minima, 64 / bits lanes a long."""
+    lanes = (low & np.uint64((1 << bits) - 1)).reshape(-1, 64 // bits)
+    shifts = np.arange(lanes.shape[1], dtype=np.uint64) * np.uint64(bits)
     return np.bitwise_or.reduce(lanes << shifts, axis=1).view(np.int64)
 
 
@@ -98,14 +102,15 @@ def shingles_of(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
 def signatures(docs: DataFrame, size: int = 4) -> DataFrame:
     """One row per document row: set size, node, band keys and packed signature."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = permutations(PERMUTATIONS)
         for batch in steps(batches):
             n, node, bands, sigs = [], [], [], []
             for s in shingles_of(batch.column("text"), size):
-                low = minima(s)
+                low = minima(s, hashed)
                 n.append(len(s))
                 node.append(xxhash.xxh3_64_intdigest(s.tobytes()))
                 bands.append(band_keys(low))
-                sigs.append(packed(low))
+                sigs.append(packed(low, BITS))
             sigs = np.array(sigs, np.int64)
             ends = pa.array(np.arange(len(n) + 1) * BANDS, pa.int32())
             yield pa.RecordBatch.from_arrays(
@@ -117,19 +122,31 @@ def signatures(docs: DataFrame, size: int = 4) -> DataFrame:
     return documents(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, SCHEMA)
 
 
+def _unequal(x: Column, bits: int) -> Column:
+    """How many lanes of a long (two signatures' exclusive or) are not zero."""
+    ones = sum(1 << (bits * i) for i in range(64 // bits))
+    folded = x
+    for i in range(1, bits):
+        folded = folded.bitwiseOR(F.shiftrightunsigned(x, i))
+    return F.bit_count(folded.bitwiseAND(F.lit(ones).cast("long")))
+
+
+def _corrected(unequal: Column, permutations_n: int, bits: int) -> Column:
+    chance = 2.0 ** -bits
+    return ((1 - unequal / permutations_n) - chance) / (1 - chance)
+
+
 def estimate(left: str, right: str) -> Column:
     """Collision-corrected similarity of two packed signatures by bit counts."""
-    ones = sum(1 << (BITS * i) for i in range(64 // BITS))
-    lane = F.lit(ones - (1 << 64) if ones >> 63 else ones).cast("long")
-    differ = F.lit(0)
+    unequal = F.lit(0)
     for s in SIG:
-        x = F.col(f"{left}.{s}").bitwiseXOR(F.col(f"{right}.{s}"))
-        folded = x
-        for i in range(1, BITS):
-            folded = folded.bitwiseOR(F.shiftrightunsigned(x, i))
-        differ = differ + F.bit_count(folded.bitwiseAND(lane))
-    chance = 2.0 ** -BITS
-    return ((1 - differ / PERMUTATIONS) - chance) / (1 - chance)
+        unequal = unequal + _unequal(F.col(f"{left}.{s}").bitwiseXOR(F.col(f"{right}.{s}")), BITS)
+    return _corrected(unequal, PERMUTATIONS, BITS)
+
+
+def wide_estimate(left: str, right: str) -> Column:
+    lanes = F.zip_with(f"{left}.wide", f"{right}.wide", lambda a, b: _unequal(a.bitwiseXOR(b), WIDE_BITS))
+    return _corrected(F.aggregate(lanes, F.lit(0), lambda a, x: a + x), WIDE, WIDE_BITS)
 
 
 def _possible(left: str, right: str, percent: int) -> Column:
@@ -137,17 +154,33 @@ def _possible(left: str, right: str, percent: int) -> Column:
     return (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & (estimate(left, right) >= percent / 100 - MARGIN)
 
 
+def _texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of the wanted nodes: the text of each node's first document."""
+    keyed = nodes.join(wanted, "node").select("node", F.col("first.doc_id").alias("k_id"), F.col("first.text_hash").alias("k_hash"))
+    source = documents(docs).withColumn("text_hash", F.xxhash64("text"))
+    return source.join(keyed, (source["doc_id"] == keyed["k_id"]) & (source["text_hash"] == keyed["k_hash"])).select(
+        "node", "text").dropDuplicates(["node"])
+
+
+def wide_signatures(texts: DataFrame, size: int) -> DataFrame:
+    """(node, wide): longer signatures, which tell near the threshold apart."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = permutations(WIDE)
+        for batch in steps(batches):
+            wide = [packed(minima(s, hashed), WIDE_BITS) for s in shingles_of(batch.column("text"), size)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([w.tolist() for w in wide], pa.list_(pa.int64()))], ["node", "wide"])
+
+    return texts.mapInArrow(run, "node long, wide array<long>")
+
+
 def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose full shingle sets reach the threshold.
 
     Only texts of nodes that occur in a pair move; both texts of a pair meet in
     one row, so no group is gathered.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    keyed = nodes.join(wanted, "node").select("node", F.col("first.doc_id").alias("k_id"), F.col("first.text_hash").alias("k_hash"))
-    source = documents(docs).withColumn("text_hash", F.xxhash64("text"))
-    texts = source.join(keyed, (source["doc_id"] == keyed["k_id"]) & (source["text_hash"] == keyed["k_hash"])).select(
-        "node", "text").dropDuplicates(["node"])
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    texts = _texts(wanted, nodes, docs)
     both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
 
@@ -225,13 +258,16 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, id_col: s
     side = rows.join(comps, "node", "left").select("key", "hub", "n", "node", F.coalesce("comp", "node").alias("comp"))
     mixed = side.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
     hub_comp = side.filter("node = hub").select("key", F.col("comp").alias("main"))
-    side = side.join(mixed, "key").join(hub_comp, "key").join(lean, "node")
+    side = staged(side.join(mixed, "key").join(hub_comp, "key").join(lean, "node"), "mixed")
+    wide = staged(wide_signatures(_texts(side.select("node").distinct(), nodes, docs), size), "wide")
+    side = side.join(wide, "node")
     tiles = F.ceil(F.col("n") / TILE).cast("int")
     others = side.filter("comp <> main").withColumn("tile", F.explode(F.sequence(F.lit(0), tiles - 1)))
     everyone = side.withColumn("tile", F.pmod(F.xxhash64("node"), tiles).cast("int"))
     x, y = others.alias("x"), everyone.alias("y")
     differ = (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.tile") == F.col("y.tile")) & differ & _possible("x", "y", percent))
+    near = _possible("x", "y", percent) & (wide_estimate("x", "y") >= percent / 100 - WIDE_MARGIN)
+    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.tile") == F.col("y.tile")) & differ & near)
     across = across.select(F.least("x.node", "y.node").alias("b"), F.greatest("x.node", "y.node").alias("a")).distinct()
     across = staged(across.join(stars, ["a", "b"], "left_anti"), "across")
     links = _and(links, confirm(across, nodes, docs, size, percent))
