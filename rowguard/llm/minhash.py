@@ -235,8 +235,8 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, id_col: s
         signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("node").agg(
             F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("n_shingles").alias("n_shingles"),
             F.first("bands").alias("bands"), *[F.first(s).alias(s) for s in SIG]), "nodes")
-    lean = nodes.select("node", "n_shingles", *SIG)
-    rows = nodes.select("node", F.explode("bands").alias("key"))
+    lean = nodes.select("node", "n_shingles", "bands", *SIG)
+    rows = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = rows.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     rows = staged(rows.join(buckets, "key"), "buckets")  # only buckets that hold a pair
 
@@ -255,7 +255,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, id_col: s
     comps = components(links)
 
     # buckets that hold several components: nodes of different ones
-    side = rows.join(comps, "node", "left").select("key", "hub", "n", "node", F.coalesce("comp", "node").alias("comp"))
+    side = rows.join(comps, "node", "left").select("key", "band", "hub", "n", "node", F.coalesce("comp", "node").alias("comp"))
     mixed = side.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
     hub_comp = side.filter("node = hub").select("key", F.col("comp").alias("main"))
     side = staged(side.join(mixed, "key").join(hub_comp, "key").join(lean, "node"), "mixed")
@@ -267,7 +267,10 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, id_col: s
     x, y = others.alias("x"), everyone.alias("y")
     differ = (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
     near = _possible("x", "y", percent) & (wide_estimate("x", "y") >= percent / 100 - WIDE_MARGIN)
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.tile") == F.col("y.tile")) & differ & near)
+    # a pair that shares several buckets comes from the first of them only
+    shared = F.zip_with("x.bands", "y.bands", lambda a, b: a == b)
+    first_shared = F.array_position(shared, True) == F.col("x.band") + 1
+    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.tile") == F.col("y.tile")) & differ & near & first_shared)
     across = across.select(F.least("x.node", "y.node").alias("b"), F.greatest("x.node", "y.node").alias("a")).distinct()
     across = staged(across.join(stars, ["a", "b"], "left_anti"), "across")
     links = _and(links, confirm(across, nodes, docs, size, percent))
