@@ -355,8 +355,6 @@ def oracle_sql() -> dict[str, str]:
         return (
             f"SELECT '{name}' AS \"check\", CAST((SELECT COUNT(DISTINCT lang) FROM documents WHERE {bad}) AS DOUBLE) AS value, "
             f"COUNT(*) FILTER (WHERE {bad}) AS failed_rows, COUNT(lang) AS considered_rows, "
-            f"COALESCE((SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT lang AS v FROM documents WHERE {bad} "
-            f"ORDER BY v LIMIT 20)), '') AS details, "
             f"(SELECT COUNT(DISTINCT lang) FROM documents WHERE {bad}) = 0 AS success FROM documents"
         )
 
@@ -407,14 +405,14 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT 'events_fresh_tight', ROUND({mins}, 4), {_outcome(mins + ' >= 2')}, "
         f"'newest=' || COALESCE(CAST(newest AS VARCHAR), 'null') FROM s"
     )
-    up60 = "(SELECT AVG(l_extendedprice / (l_quantity / 60)) AS v FROM lineitem)"
+    up = "(SELECT AVG(l_extendedprice / NULLIF(l_quantity, 0)) AS v FROM lineitem)"
     tax = "(SELECT SUM(l_tax) / COUNT(*) AS v FROM lineitem)"
     lab = ("(SELECT CAST(COUNT(l.doc_id) AS DOUBLE) / COUNT(*) * 100 AS v FROM documents d "
            "LEFT JOIN labels l ON d.doc_id = l.doc_id)")
     qual = "(SELECT SUM(quality) * 100.0 / COUNT(*) AS v FROM labels)"
     q["user_metrics"] = (
         f"SELECT 'unit_price_avg' AS \"check\", 'expression' AS metric, ROUND(CAST(v AS DOUBLE), 4) AS value, "
-        f"{_outcome('v < 200000 OR v > 300000')} AS outcome FROM {up60} UNION ALL "
+        f"{_outcome('v < 3000 OR v > 6000')} AS outcome FROM {up} UNION ALL "
         f"SELECT 'tax_share', 'expression', ROUND(CAST(v AS DOUBLE), 4), {_outcome('v > 0.05')} FROM {tax} UNION ALL "
         f"SELECT 'labelled_pct', 'sql_query', ROUND(CAST(v AS DOUBLE), 4), {_outcome('v < 80', 'v < 95')} FROM {lab} "
         f"UNION ALL SELECT 'labelled_quality_pct', 'sql_query', ROUND(CAST(v AS DOUBLE), 4), "
@@ -426,7 +424,15 @@ def oracle_sql() -> dict[str, str]:
         f"COUNT(*) FILTER (WHERE outcome = 'warn') AS warn, COUNT(*) FILTER (WHERE outcome = 'fail') AS fail, "
         f"COUNT(*) FILTER (WHERE outcome = 'error') AS error FROM ({SCAN_RESULTS})"
     )
-    q["failed_rows"] = FAILED_ROWS
+    q["failed_rows"] = (
+        f"{FAILED_ROWS} UNION ALL SELECT * FROM (SELECT 'dearest_lines' AS failed_check, l_orderkey, l_partkey, l_suppkey, "
+        "l_linenumber FROM lineitem WHERE l_quantity = 50 ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, "
+        "l_partkey, l_suppkey LIMIT 20)"
+    )
+    q["unexpected_values"] = (
+        "SELECT lang AS value, COUNT(*) AS row_count FROM documents "
+        "WHERE lang IS NOT NULL AND lang NOT IN ('en', 'de', 'fr') GROUP BY lang"
+    )
     q["ref_union_distinct"] = (
         "SELECT DISTINCT ref_key FROM (SELECT 'N' || trim(CAST(s_nationkey AS VARCHAR)) AS ref_key FROM supplier "
         "UNION ALL SELECT 'N' || trim(CAST(c_nationkey AS VARCHAR)) FROM customer) WHERE ref_key IS NOT NULL"

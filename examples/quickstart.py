@@ -52,7 +52,7 @@ def main() -> None:
     W.save_partitioned_split(annotated, f"{out}/split")
     print("observed:", observation.get)
     valid, quarantine = W.read_split(spark, f"{out}/split")
-    rg.check_results(quarantine, rules).show(truncate=False)   # counted from the quarantined rows
+    rg.check_results(annotated, rules).show(truncate=False)   # percentages of all rows, not of the quarantine
 
     part.createOrReplaceTempView("part_v")
     result = rg.scan({"part_v": part}, "part_v", [

@@ -26,7 +26,7 @@ from rowguard.operators import keys as K
 
 CRITICALITIES = ("error", "warn")
 #: parameters that change how a check runs, not what it checks
-_EXECUTION_KNOBS = ("hot_key_rows", "aggregate_keys", "broadcast_keys")
+_EXECUTION_KNOBS = ("hot_key_rows", "aggregate_keys")
 
 
 def label(c) -> str:
@@ -71,7 +71,7 @@ class Check:
             if f.name in _EXECUTION_KNOBS:
                 continue
             v = getattr(self, f.name)
-            if isinstance(v, (str, int, float, bool)) or (isinstance(v, tuple) and len(v) <= 10):
+            if isinstance(v, (str, int, float, bool, tuple)):
                 params.append(f"{f.name}={v!r}")
             elif isinstance(v, Column):
                 params.append(f"{f.name}={label(v)}")
@@ -368,10 +368,9 @@ class ForeignKey(Check):
     ref: object = field(repr=False)
     ref_columns: tuple
     hot_key_rows: int = K.HOT_KEY_ROWS
-    #: distinct reference keys up to which they are broadcast (size checked by a count)
-    broadcast_keys: int = K.BROADCAST_KEYS
-    #: False: join every row against the reference keys (streams)
-    aggregate_keys: bool = True
+    #: False: join every row against the distinct reference keys (Spark chooses
+    #: the join by their size); True: find unmatched keys first, join only those
+    aggregate_keys: bool = False
     function: ClassVar[str] = "foreign_key"
     dataset_level: ClassVar[bool] = True
 
@@ -386,8 +385,6 @@ class ForeignKey(Check):
         ref = _resolve(self.ref, work.sparkSession)
         if not self.aggregate_keys:
             return K.mark_unmatched_direct(work, self.columns, ref, self.ref_columns, tag)
-        if K.small_key_set(ref, self.ref_columns, self.broadcast_keys):
-            return K.mark_unmatched_direct(work, self.columns, ref, self.ref_columns, tag, broadcast=True)
         return K.mark_unmatched(work, self.columns, ref, self.ref_columns, tag, source=source,
                                 hot_key_rows=self.hot_key_rows)
 

@@ -33,12 +33,8 @@ AGGREGATES = {
 
 
 def expression(e) -> Column:
-    """A column name, SQL expression text or Column."""
-    if isinstance(e, Column):
-        return e
-    if isinstance(e, str) and not e.replace("_", "").isalnum():
-        return F.expr(e)
-    return col(e)
+    """A column by its exact name, or a Column (``F.expr(text)`` for SQL text)."""
+    return e if isinstance(e, Column) else col(e)
 
 
 def aggregate(aggr_type: str, e) -> Column:

@@ -89,9 +89,11 @@ def mark_keys(
         *[F.col(k).alias(h) for k, h in zip(names, hot_names)], buckets.alias(f"{flag}_hb"))
     salt_l, salt_r, marker = f"{flag}_sl", f"{flag}_sr", f"{flag}_m"
     keep = [F.col(quote(c)) for c in df.columns]
-    salt = F.when(F.col(f"{flag}_hb").isNull(), F.lit(0)).otherwise(F.floor(F.rand() * F.col(f"{flag}_hb")).cast("int"))
-    # at most rows / hot_key_rows hot keys: the broadcast is bounded
-    left = df.join(F.broadcast(hot), _match(columns, hot_names, null_safe), "left").select(*keep, salt.alias(salt_l))
+    # the salt is a function of the row, so a retried task deals rows alike
+    dealt = F.pmod(F.xxhash64(*keep), F.col(f"{flag}_hb")).cast("int")
+    salt = F.when(F.col(f"{flag}_hb").isNull(), F.lit(0)).otherwise(dealt)
+    # few keys, but their size is Spark's to check
+    left = df.join(hot, _match(columns, hot_names, null_safe), "left").select(*keep, salt.alias(salt_l))
     right = flagged.select(
         *names, *extra, F.explode(F.sequence(F.lit(0), buckets - 1)).alias(salt_r), F.lit(True).alias(marker))
     cond = _match(columns, names, null_safe) & (F.col(salt_l) == F.col(salt_r))
@@ -133,33 +135,18 @@ def mark_unmatched(
     return mark_keys(df, columns, bad, names, count_name, flag, hot_key_rows=hot_key_rows)
 
 
-#: distinct reference keys up to which they are broadcast (checked by a count)
-BROADCAST_KEYS = 1_000_000
-
-
-def small_key_set(ref: DataFrame, ref_columns: Sequence[str], limit: int) -> bool:
-    """The size check before a broadcast: are there at most ``limit``
-    distinct non-null reference keys? (One small aggregation job; it stops
-    being small exactly when the answer is no.)"""
-    if limit <= 0:
-        return False
-    names = [f"__rg_sz{i}" for i in range(len(ref_columns))]
-    return distinct_keys(ref, ref_columns, names).limit(limit + 1).count() <= limit
-
-
 def mark_unmatched_direct(
     df: DataFrame, columns: Sequence[str], ref: DataFrame, ref_columns: Sequence[str], flag: str,
-    broadcast: bool = False,
 ) -> DataFrame:
     """:func:`mark_unmatched` as one left join of every row against the
-    distinct reference keys, with no aggregation of ``df``. Used for streams
-    (a stream-static join) and, with ``broadcast`` after a size check, for
-    small references: no shuffle of ``df`` at all, and a hot key costs
-    nothing in a broadcast join."""
+    distinct reference keys, with no aggregation of ``df``. Spark chooses the
+    join by the keys' size: a small reference is broadcast (no shuffle of
+    ``df``), a large one is sort-merge joined, with skewed keys split by
+    adaptive execution. Streams use it as a stream-static join."""
     names = [f"{flag}_k{i}" for i in range(len(columns))]
     marker = f"{flag}_m"
     keys = distinct_keys(ref, ref_columns, names).withColumn(marker, F.lit(True))
-    joined = df.join(F.broadcast(keys) if broadcast else keys, _match(columns, names), "left")
+    joined = df.join(keys, _match(columns, names), "left")
     return joined.withColumn(flag, all_not_null(columns) & F.col(marker).isNull()).drop(*names, marker)
 
 
@@ -219,28 +206,19 @@ def duplicate_stats(
 
 def unmatched_stats(
     df: DataFrame, columns: Sequence[str], ref: DataFrame, ref_columns: Sequence[str],
-    broadcast_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """DST-15 / JON-3: one row ``row_count``, ``considered_rows`` (non-null
     keys), ``matched_rows``, ``unmatched_rows`` (null keys skipped) and
     ``unmatched_or_null_rows`` (null keys counted as unmatched).
 
-    A reference of at most ``broadcast_keys`` distinct keys (counted first)
-    is broadcast and every row looks its key up, so nothing is shuffled.
-    Otherwise the frame is first reduced to distinct keys with row counts,
-    and distinct keys are joined with distinct reference keys: a hot key is
-    one row, and no fact row is shuffled.
+    The frame is first reduced to distinct keys with row counts, and distinct
+    keys are joined with distinct reference keys: a hot key is one row, and no
+    fact row is shuffled.
     """
     names = [f"__rg_u{i}" for i in range(len(columns))]
     ref_names = [f"__rg_r{i}" for i in range(len(columns))]
     keys = distinct_keys(ref, ref_columns, ref_names).withColumn("__rg_hit", F.lit(True))
-    if small_key_set(ref, ref_columns, broadcast_keys):
-        # size-checked broadcast: every row looks its key up, no shuffle
-        keyed = df.select(*[col(c).alias(n) for c, n in zip(columns, names)]).withColumn("n", F.lit(1))
-        j = keyed.join(F.broadcast(keys), _match(names, ref_names), "left")
-    else:
-        counts = key_counts(df, columns, names, "n")
-        j = counts.join(keys, _match(names, ref_names), "left")
+    j = key_counts(df, columns, names, "n").join(keys, _match(names, ref_names), "left")
     nonnull = all_not_null(names)
     hit = F.col("__rg_hit").isNotNull()
 
@@ -258,12 +236,8 @@ def unmatched_stats(
 
 def unmatched_rows(
     df: DataFrame, columns: Sequence[str], ref: DataFrame, ref_columns: Sequence[str],
-    broadcast_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """JON-4: rows of ``df`` whose fully non-null key is absent in ``ref``
     (rows with a null key part are not returned)."""
-    if small_key_set(ref, ref_columns, broadcast_keys):
-        flagged = mark_unmatched_direct(df, columns, ref, ref_columns, "__rg_unm", broadcast=True)
-    else:
-        flagged = mark_unmatched(df, columns, ref, ref_columns, "__rg_unm")
+    flagged = mark_unmatched_direct(df, columns, ref, ref_columns, "__rg_unm")
     return flagged.where(F.col("__rg_unm")).drop("__rg_unm")

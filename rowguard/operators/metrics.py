@@ -251,8 +251,9 @@ class Quantiles(Measure):
     def frame(self, df, p):
         from rowguard.operators.quantiles import exact_quantiles
         rows, values = exact_quantiles(df, self.column, self.quantiles, self.method)
+        kind = T.DoubleType() if self.method == "cont" else df.select(P.col(self.column)).schema[0].dataType
         schema = T.StructType([T.StructField(f"{p}_rows", T.LongType())] + [
-            T.StructField(f"{p}_q{i}", T.DoubleType()) for i in range(len(values))])
+            T.StructField(f"{p}_q{i}", kind) for i in range(len(values))])
         return df.sparkSession.createDataFrame([(rows, *values)], schema)
 
     def outputs(self, p, df=None):
@@ -260,7 +261,8 @@ class Quantiles(Measure):
         details = F.concat_ws(", ", *[
             F.concat(F.lit(f"q{q}="), F.coalesce(c.cast("string"), F.lit("null"))) for q, c in zip(self.quantiles, qs)
         ])
-        return dict(value=qs[0], row_count=_rows(p), considered=_rows(p), failed=F.lit(None), details=details)
+        # a date or time has no number; it stands in the details
+        return dict(value=qs[0].try_cast("double"), row_count=_rows(p), considered=_rows(p), failed=F.lit(None), details=details)
 
     def extra_fail(self, p):
         if not self.ranges:
@@ -301,13 +303,12 @@ class DistinctInSet(Measure):
     """DST-7 / AGG-10: distinct non-null values must lie in ``values``.
 
     ``value`` = number of distinct unexpected values; ``failed_rows`` =
-    rows holding one; ``details`` = the first ``list_limit`` unexpected
-    values in sort order (a bounded report; the count is exact).
+    rows holding one. ``unexpected(df)`` gives the values themselves, all of
+    them, one row each: a frame, as their number is not bounded.
     """
 
     column: str
     values: tuple
-    list_limit: int = 20
     metric = "distinct_values_not_in_set"
 
     def __post_init__(self):
@@ -324,14 +325,14 @@ class DistinctInSet(Measure):
         ]
 
     def outputs(self, p, df=None):
-        # distinct unexpected values: pre-aggregated distinct, then two
-        # scalar subqueries (an exact count, a bounded sorted list)
-        unexpected = df.where(self._bad()).select(P.col(self.column).alias("v")).distinct()
-        n_distinct = unexpected.agg(F.count(F.lit(1))).scalar()
-        listed = (unexpected.orderBy("v").limit(self.list_limit)
-                  .agg(F.concat_ws(",", F.collect_list(F.col("v").cast("string")))).scalar())
+        n_distinct = self.unexpected(df).agg(F.count(F.lit(1))).scalar()
         return dict(value=n_distinct, row_count=_rows(p), considered=F.col(f"{p}_considered"),
-                    failed=F.col(f"{p}_failed"), details=listed)
+                    failed=F.col(f"{p}_failed"))
+
+    def unexpected(self, df: DataFrame) -> DataFrame:
+        """(value, row_count) of every unexpected value."""
+        return (df.where(self._bad()).groupBy(P.col(self.column).alias("value"))
+                .agg(F.count(F.lit(1)).alias("row_count")))
 
     def row_condition(self, df):
         return self._bad()

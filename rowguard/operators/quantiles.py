@@ -1,40 +1,47 @@
 """Exact quantiles with bounded memory (AGG-6 / DST-10 at scale).
 
-Spark's exact ``percentile`` / ``percentile_disc`` keep every distinct value
-of the column in the aggregation buffer and merge them in one task, which
-does not survive a high-cardinality column at scale. Here the exact value
-is found by refinement instead:
+Spark's exact ``percentile`` keeps every distinct value of the column in the
+aggregation buffer and merges them in one task. Here the value at a rank is
+found by narrowing an open interval around it. Every round is two aggregations
+over the column, shared by all wanted ranks:
 
-1. one aggregation: row count and ``percentile_approx`` just below and just
-   above each wanted quantile (rank error at most ``n / accuracy``), which
-   brackets the exact value;
-2. one aggregation: rows below each bracket and rows inside it (a bracket
-   that misses the wanted rank falls back to refinement from the whole
-   column, so the result stays exact);
-3. while a bracket holds more than ``max_bracket_rows`` rows it is narrowed
-   the same way inside the bracket;
-4. the exact value(s) at the wanted rank: the bracket grouped by value
-   (ties collapse map-side, so a value holding a third of all rows is one
-   row) and a running count over the bracket's distinct values, which the
-   refinement keeps few.
+1. inside each interval: smallest and largest value, and ``percentile_approx``
+   just below, at and just above the wanted rank;
+2. how many rows of the column lie below, and at, each of these values.
 
-Only scalars reach the driver. Semantics equal Spark's: ``disc`` is the
-value at 1-based rank ``max(1, ceil(n * q))``; ``cont`` interpolates at
-0-based position ``(n - 1) * q``.
+A rank that falls on one of the values is answered (a value that a third of all
+rows hold is hit at once); otherwise it lies strictly between two neighbours,
+which bound the next interval. A round shrinks an interval by about the accuracy
+of the estimate, and always takes off its ends; integers are also halved by
+value, as estimates are computed in doubles and cannot tell close large ones
+apart. Values keep the column's type. Only a few values a rank reach the driver,
+and no task holds more than the estimate's bounded state.
+
+Semantics equal Spark's: ``disc`` is the value at 1-based rank
+``max(1, ceil(n * q))``, for any ordered type; ``cont`` interpolates at 0-based
+position ``(n - 1) * q`` and needs numbers.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from fractions import Fraction
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowguard.functions.predicates import col
 
-ACCURACY = 100_000
-MAX_BRACKET_ROWS = 50_000
+ACCURACY = 10_000
+#: whole numbers that order dates and times alike, and the way back
+_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+_KEYS = {
+    T.DateType: ("unix_date(v)", "date_from_unix_date({})"),
+    T.TimestampType: ("unix_micros(v)", "timestamp_micros({})"),
+    T.TimestampNTZType: (f"timestampdiff(MICROSECOND, {_EPOCH}, v)", f"timestampadd(MICROSECOND, {{}}L, {_EPOCH})"),
+}
 
 
 def _positions(n: int, q: float, method: str) -> tuple[int, int, float]:
@@ -46,96 +53,86 @@ def _positions(n: int, q: float, method: str) -> tuple[int, int, float]:
     return math.floor(h), math.ceil(h), h
 
 
-def _bracket(v: DataFrame, lo_pos: int, hi_pos: int, n: int, accuracy: int, max_rows: int):
-    """(lo, hi, below): value bounds holding positions lo_pos..hi_pos and
-    the number of rows below ``lo``; bounds None = open."""
-    lo = hi = None
-    below, inside = 0, n
-    base = v
-    for _ in range(8):
-        if inside <= max_rows:
-            break
-        m = inside
-        d = 2.0 / accuracy
-        p_lo = min(max((lo_pos - below) / m - d, 0.0), 1.0)
-        p_hi = min(max((hi_pos - below + 1) / m + d, 0.0), 1.0)
-        a, b = base.agg(F.percentile_approx("v", [p_lo, p_hi], accuracy)).first()[0]
-        cnt = v.agg(F.count_if(F.col("v") < a).alias("below"),
-                    F.count_if((F.col("v") >= a) & (F.col("v") <= b)).alias("inside")).first()
-        if not (cnt.below <= lo_pos and hi_pos < cnt.below + cnt.inside):
-            break  # approximation missed: keep the wider bracket (still exact)
-        if cnt.inside >= inside:
-            break
-        lo, hi, below, inside = a, b, cnt.below, cnt.inside
-        base = v.where((F.col("v") >= lo) & (F.col("v") <= hi))
-    return lo, hi, below
+def _inside(lo, hi):
+    """Rows strictly between two values (None: open)."""
+    v = F.col("v")
+    cond = F.lit(True)
+    if lo is not None:
+        cond = cond & (v > lo)
+    return cond if hi is None else cond & (v < hi)
 
 
 def exact_quantiles(
-    df: DataFrame, column: str, quantiles: Sequence[float], method: str = "disc",
-    accuracy: int = ACCURACY, max_bracket_rows: int = MAX_BRACKET_ROWS,
-) -> tuple[int, list[float | None]]:
-    """(rows, exact quantile values) of a numeric column; NULLs ignored.
-
-    All quantiles share the jobs: one aggregation for the counts and every
-    approximate bracket, one for the counts of all brackets, one union of
-    the ordered picks (plus refinement rounds only for a bracket that is
-    still too large).
-    """
+    df: DataFrame, column: str, quantiles: Sequence[float], method: str = "disc", accuracy: int = ACCURACY,
+) -> tuple[int, list]:
+    """(rows, exact quantile values) of a column; NULLs ignored."""
     if method not in ("disc", "cont"):
         raise ValueError("method is disc or cont")
-    qs = [float(q) for q in quantiles]
-    v = df.select(col(column).cast("double").alias("v"))
-    d = 2.0 / accuracy
-    # first guess from the whole column: ranks q*n around each target
-    pcts = sorted({min(max(q + s * d, 0.0), 1.0) for q in qs for s in (-1, 1)})
-    stats = v.agg(F.count(F.lit(1)).alias("rows"), F.count("v").alias("n"),
-                  F.percentile_approx("v", pcts, accuracy).alias("b")).first()
-    rows, n = stats.rows, stats.n
+    kind = df.select(col(column)).schema[0].dataType
+    if method == "cont" and not isinstance(kind, T.NumericType):
+        raise ValueError("cont interpolates numbers")
+    if not isinstance(kind, T.NumericType) and type(kind) not in _KEYS:
+        raise ValueError(f"no quantiles of {kind.simpleString()}")
+    to_key, from_key = _KEYS.get(type(kind), ("v", None))
+    v = df.select(col(column).alias("v")).select(F.expr(to_key).alias("v"))
+    typed = v.schema[0].dataType
+    rows, n = v.agg(F.count(F.lit(1)), F.count("v")).first()
     if n == 0:
-        return rows, [None] * len(qs)
+        return rows, [None] * len(quantiles)
     v = v.where(F.col("v").isNotNull())
-    approx = dict(zip(pcts, stats.b))
-    targets = [_positions(n, q, method) for q in qs]
-    bounds = []
-    for q, (lo_pos, hi_pos, _) in zip(qs, targets):
-        # the guesses are ranked on q; widen to the target positions
-        lo = approx[min(max(q - d, 0.0), 1.0)]
-        hi = approx[min(max(q + d, 0.0), 1.0)]
-        bounds.append((lo, hi))
-    cnt = v.agg(*[
-        x for i, (lo, hi) in enumerate(bounds) for x in (
-            F.count_if(F.col("v") < lo).alias(f"b{i}"),
-            F.count_if((F.col("v") >= lo) & (F.col("v") <= hi)).alias(f"m{i}"))
-    ]).first()
-    plans = []
-    for i, ((lo_pos, hi_pos, _), (lo, hi)) in enumerate(zip(targets, bounds)):
-        below, inside = cnt[f"b{i}"], cnt[f"m{i}"]
-        ok = below <= lo_pos and hi_pos < below + inside
-        if ok and inside <= max_bracket_rows:
-            plans.append((lo, hi, below))
-        else:  # missed or still too large: refine this one alone
-            plans.append(_bracket(v, lo_pos, hi_pos, n, accuracy, max_bracket_rows))
-    picks = None
-    for i, ((lo_pos, hi_pos, _), (lo, hi, below)) in enumerate(zip(targets, plans)):
-        part = v if lo is None else v.where((F.col("v") >= lo) & (F.col("v") <= hi))
-        # distinct values of the bracket with their counts (ties collapse in
-        # the partial aggregate, so a hot value is one row), then a running
-        # count over those few values finds the value at each wanted rank
-        grouped = part.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-        running = grouped.withColumn(
-            "cum", F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
-        for j, pos in enumerate((lo_pos, hi_pos)):
-            r = pos - below + 1  # 1-based rank inside the bracket
-            one = (running.where((F.col("cum") >= r) & (F.col("cum") - F.col("c") < r))
-                   .select(F.lit(i).alias("i"), F.lit(j).alias("j"), "v"))
-            picks = one if picks is None else picks.unionByName(one)
-    got: dict[tuple[int, int], float] = {(r.i, r.j): r.v for r in picks.collect()}  # 2 values per quantile
-    out: list[float | None] = []
-    for i, (lo_pos, hi_pos, h) in enumerate(targets):
-        lower, upper = got[(i, 0)], got[(i, 1)]
-        if hi_pos == lo_pos or lower == upper:
+    literal = lambda x: F.lit(x).cast(typed)
+    targets = [_positions(n, float(q), method) for q in quantiles]
+    # rank -> (lower bound, upper bound, rows up to the lower bound, rows inside), bounds exclusive
+    state: dict[int, tuple] = {p: (None, None, 0, n) for lo, hi, _ in targets for p in (lo, hi)}
+    found: dict[int, object] = {}
+    while state:
+        ranks = sorted(state)
+        guesses = []
+        for i, p in enumerate(ranks):
+            lo, hi, below, inside = state[p]
+            here = F.when(_inside(None if lo is None else literal(lo), None if hi is None else literal(hi)), F.col("v"))
+            at, step = (p - below + 0.5) / inside, 2.0 / accuracy
+            around = [min(max(at + k * step, 0.0), 1.0) for k in (-1, 0, 1)]
+            guesses += [F.min(here).alias(f"lo{i}"), F.max(here).alias(f"hi{i}")]
+            guesses.append(F.percentile_approx(here, around, accuracy).cast(T.ArrayType(typed)).alias(f"a{i}"))
+        row = v.agg(*guesses).first().asDict()
+        points: list[list] = []
+        for i in range(len(ranks)):
+            lo, hi = row[f"lo{i}"], row[f"hi{i}"]
+            own = [lo, hi, *[x for x in row.get(f"a{i}") or () if x is not None]]
+            if isinstance(typed, T.IntegralType):
+                own.append((lo + hi) // 2)
+            points.append(sorted({x for x in own if not (isinstance(x, float) and math.isnan(x))}) or [lo])
+        counted = v.agg(*[c.alias(f"{name}{i}_{j}") for i, own in enumerate(points) for j, x in enumerate(own)
+                          for name, c in (("b", F.count_if(F.col("v") < literal(x))), ("e", F.count_if(F.col("v") == literal(x))))]).first()
+        for i, p in enumerate(ranks):
+            lo, hi, below, inside = state.pop(p)
+            upper = below + inside  # rows before the upper bound
+            for j, x in enumerate(points[i]):
+                before, equal = counted[f"b{i}_{j}"], counted[f"e{i}_{j}"]
+                if before <= p < before + equal:
+                    found[p] = x
+                    break
+                if before + equal <= p and before + equal >= below:
+                    lo, below = x, before + equal
+                elif before > p:
+                    hi, upper = x, before
+                    break
+            if p not in found:
+                state[p] = (lo, hi, below, upper - below)
+    out = []
+    for lo_pos, hi_pos, h in targets:
+        lower, higher = found[lo_pos], found[hi_pos]
+        if method == "disc":
             out.append(lower)
+        elif lower == higher:
+            out.append(float(lower))
+        elif isinstance(lower, float):
+            out.append((hi_pos - h) * lower + (h - lo_pos) * higher)
         else:
-            out.append((hi_pos - h) * lower + (h - lo_pos) * upper)
+            share = Fraction(h) - lo_pos
+            out.append(float((1 - share) * Fraction(lower) + share * Fraction(higher)))
+    if from_key:
+        back = df.sparkSession.range(1).select(*[F.expr(from_key.format(x)).alias(f"q{i}") for i, x in enumerate(out)])
+        out = list(back.first())
     return rows, out

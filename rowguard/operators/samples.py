@@ -66,16 +66,19 @@ def samples(
 ) -> DataFrame | None:
     """Samples of all checks: ``failed_check`` + the checked frame's columns.
 
-    ``limit`` is the scan-wide default, a check's ``samples_limit`` wins.
+    ``limit`` is the scan-wide default, a check's ``samples_limit`` wins. The
+    default does not apply to a failed-rows SQL query, which says itself how
+    many rows it wants; only the check's own ``samples_limit`` cuts it.
     Checks whose failing rows are a row condition share one scan; the
-    others (duplicate groups, reference keys, failed-rows SQL) each take an
-    ordered limit of their own failing rows. A failed-rows SQL query is used
-    as written (its own LIMIT, if any, is kept) with the ordered limit on
-    top. Returns ``None`` when no check defines failing rows.
+    others (duplicate groups, reference keys) each take an ordered limit of
+    their own failing rows. Verdicts are not looked at: a check that passes
+    within its tolerance still shows the rows that failed it. Returns ``None`` when no check defines failing rows.
     """
     parts, fused = [], []
     for check in checks:
-        n = check.samples_limit if check.samples_limit is not None else limit
+        n = check.samples_limit
+        if n is None and not check.failed_rows_query:
+            n = limit  # a query without a limit of the check's own runs as written
         if not check.failed_rows_query and n is not None:
             cond = check.measure.row_condition(df)
             if cond is not None:

@@ -42,13 +42,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) a fresh scratch folder is created.
+    A session whose driver and executors are one process may go without: it gets
+    a fresh scratch folder. Anywhere else such a folder would be invisible to
+    the other machines, so an unset one is an error.
     """
     configured = spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set; name a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="rowguard-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(conf)
     return spark.sparkContext.getCheckpointDir() or conf

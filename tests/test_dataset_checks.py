@@ -72,10 +72,20 @@ def test_aggregate_bound_by_group(spark):
 
 def test_aggregate_bound_sql_expression(spark):
     df = spark.createDataFrame(ROWS, FACT)
-    rule = rg.Rule("e", rg.AggregateBound("v / 10", "max", 6, "max"))
+    rule = rg.Rule("e", rg.AggregateBound(F.expr("v / 10"), "max", 6, "max"))
     assert len(flagged(rg.annotate(df, [rule]))) == 7
 
 
+def test_a_string_is_a_column_name_never_sql(spark):
+    df = spark.createDataFrame([(1, 5, 1), (2, 5, 1)], "`dep-delay` int, dep int, delay int")
+    rule = rg.Rule("m", rg.AggregateBound("dep-delay", "min", 1, "min"))
+    assert rg.annotate(df, [rule]).where("size(_errors) > 0").count() == 0
+
+
+def test_messages_name_all_parameters():
+    assert "'v10'" in rg.InList("s", [f"v{i}" for i in range(11)]).describe()
+
+
 def test_hot_keys_are_salted_with_same_result(spark):
     """A key holding most rows is split into buckets; marks are unchanged."""
     hot = [(1, "h", float(i), "x") for i in range(300)] + [(2, "c", 1000.0, "y"), (2, "c", 1001.0, "y")]
@@ -83,7 +93,7 @@ def test_hot_keys_are_salted_with_same_result(spark):
     ref = spark.createDataFrame([(2,)], "r bigint")
     for h in (10, 1_000_000):
         rules = [rg.Rule("u", rg.Unique(["k1", "k2"], hot_key_rows=h)),
-                 rg.Rule("fk", rg.ForeignKey(["k1"], ref, ["r"], hot_key_rows=h, broadcast_keys=0), criticality="warn"),
+                 rg.Rule("fk", rg.ForeignKey(["k1"], ref, ["r"], hot_key_rows=h, aggregate_keys=True), criticality="warn"),
                  rg.Rule("fk_small", rg.ForeignKey(["k1"], ref, ["r"]), criticality="warn"),
                  rg.Rule("g", rg.AggregateBound("v", "count", 5, "max", group_by=("g",), hot_key_rows=h))]
         ann = rg.annotate(df, rules)

@@ -1,5 +1,7 @@
 """Bounded-memory exact quantiles equal Spark's exact percentiles."""
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,9 +22,9 @@ def test_equals_spark_exact_percentiles(spark, shape):
     x = {"uniform": F.rand(7) * 1000, "skewed": F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(F.col("id") * 1.5),
          "ties": (F.col("id") % 17).cast("double"), "tiny": F.col("id") * 2.0}[shape]
     df = base.select(x.alias("x")).union(spark.createDataFrame([(None,)], "x double"))
-    # small bracket limit forces the refinement loop
-    rows, disc = exact_quantiles(df, "x", QS, "disc", accuracy=100, max_bracket_rows=500)
-    _, cont = exact_quantiles(df, "x", QS, "cont", accuracy=100, max_bracket_rows=500)
+    # a coarse estimate forces several rounds
+    rows, disc = exact_quantiles(df, "x", QS, "disc", accuracy=20)
+    _, cont = exact_quantiles(df, "x", QS, "cont", accuracy=20)
     assert rows == df.count()
     for q, d, c in zip(QS, disc, cont):
         sd, sc = spark_exact(df, q)
@@ -33,3 +35,29 @@ def test_equals_spark_exact_percentiles(spark, shape):
 def test_empty_and_all_null(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
     assert exact_quantiles(df, "x", [0.5]) == (2, [None])
+
+
+def test_values_keep_their_type(spark):
+    big = spark.createDataFrame([(2**53 + k,) for k in range(1, 6)], "x bigint")
+    assert exact_quantiles(big, "x", [0.5, 1.0])[1] == [2**53 + 3, 2**53 + 5]
+    dense = spark.range(3000).selectExpr("id + 9007199254740993 AS x")
+    assert exact_quantiles(dense, "x", [0.1, 0.5], accuracy=20)[1] == [9007199254740993 + 299, 9007199254740993 + 1499]
+    exact = spark.createDataFrame([(Decimal("12345678901234567890.12"),), (Decimal("12345678901234567890.13"),)], "x decimal(30,2)")
+    assert exact_quantiles(exact, "x", [0.0, 1.0])[1] == [Decimal("12345678901234567890.12"), Decimal("12345678901234567890.13")]
+    for kind in ("timestamp", "timestamp_ntz", "date"):
+        times = spark.sql(f"SELECT CAST(TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(CAST(id AS INT)) AS {kind}) AS x FROM range(101)")
+        want = times.orderBy("x").collect()[50].x
+        assert exact_quantiles(times, "x", [0.5])[1] == [want], kind
+
+
+def test_nan_is_largest_and_jobs_do_not_grow_with_quantiles(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (float("nan"),)], "x double")
+    low, high = exact_quantiles(df, "x", [0.5, 1.0])[1]
+    assert low == 2.0 and high != high
+    tracker = spark.sparkContext.statusTracker()
+    def jobs(qs):
+        spark.sparkContext.setJobGroup(f"q{len(qs)}", "quantiles")
+        exact_quantiles(spark.range(20000).selectExpr("id * 1.5D AS x"), "x", qs)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(f"q{len(qs)}"))
+    assert jobs([0.1, 0.3, 0.5, 0.7, 0.9]) <= jobs([0.5]) + 4
