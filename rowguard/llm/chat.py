@@ -30,8 +30,8 @@ from rowguard.llm.common import staged
 
 #: fixed values: tags of roles
 TAGS = {"user": "INST", "system": "SYS", "assistant": "ANS"}
-CONTROL = r"(<|\[)(\\*)(/?s>|/?(?:INST|SYS|ANS|ROLE)(?=[\] ]))"
-ESCAPED = r"(<|\[)\\(\\*)(/?s>|/?(?:INST|SYS|ANS|ROLE)(?=[\] ]))"
+CONTROL = r"(<|\[)(\\*)(/?s>|/?(?:INST|SYS|ANS|ROLE))"
+ESCAPED = r"(<|\[)\\(\\*)(/?s>|/?(?:INST|SYS|ANS|ROLE))"
 END_OF_TURN = "</s>\n"
 
 

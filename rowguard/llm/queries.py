@@ -55,7 +55,8 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC archives and read back."""
-    return op7.round_trip(table(spark, sf_dir, "pages"))
+    found = op7.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified")
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,4 +100,27 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLE: dict[str, str] = {}
+#: The other queries have no SQL: a model, a signature or a tree decides, or the
+#: regular expression positions differ by engine; tests hold them against plain
+#: Python versions (tests/llm/brute.py).
+ORACLE: dict[str, str] = {
+    "op7_warc": """
+        WITH p AS (SELECT page_id, encode(COALESCE(html, '')) AS b FROM pages),
+        q AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS d FROM p),
+        r AS (SELECT *, CASE WHEN n >= 1000 THEN MAX(page_id) OVER (PARTITION BY d) ELSE page_id END AS newest FROM q)
+        SELECT page_id, n AS payload_bytes, d AS payload_digest,
+          CASE WHEN newest = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+          CASE WHEN newest <> page_id THEN newest END AS refers_to, TRUE AS verified FROM r""",
+    "op8_chat": r"""
+        WITH t AS (SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+          UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        e AS (SELECT *, CASE role WHEN 'user' THEN 'INST' WHEN 'system' THEN 'SYS' WHEN 'assistant' THEN 'ANS'
+            ELSE 'ROLE ' || replace(replace(replace(replace(role, '%', '%25'), '[', '%5B'), ']', '%5D'), '<', '%3C') END AS tag,
+          regexp_replace(text, '(<|\[)(\\*)(/?s>|/?(?:INST|SYS|ANS|ROLE))', '\1\2\\\3', 'g') AS body FROM t),
+        g AS (SELECT conv_id, COUNT(*) AS n_turns,
+          string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS told,
+          COALESCE(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+          SUM(15 + length(tag) + length(body) + length(split_part(tag, ' ', 1))) AS chars FROM e GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+          CAST(chars AS BIGINT) AS formatted_chars FROM g""",
+}
