@@ -9,11 +9,15 @@
    and by the similarity that equal lanes of the packed signatures estimate,
    corrected for the chance collisions of b bits.
 4. Surviving candidates are confirmed on full shingle sets and links merged into
-   components. Then every bucket that still holds more than one component
-   compares the nodes of different components, so that no link is lost; nodes
-   that are already connected are not compared again. Here wider signatures keep
-   pairs that are close to, but below, the threshold from being confirmed in
-   numbers. Large buckets are dealt over tiles.
+   components. Nodes that a bucket still holds outside its smallest node's
+   component are then paired with a few guides of the bucket, and the likeliest
+   pair of each is confirmed: this connects nearly all of a large group at a cost
+   linear in its size.
+5. Every bucket that still holds more than one component compares the nodes of
+   different components, so that no link is lost; nodes that are already
+   connected are not compared again. Wider signatures keep pairs that are close
+   to, but below, the threshold from being confirmed in numbers. Large buckets
+   are dealt over tiles.
 
 Recall: a pair at the threshold shares none of the ``BANDS`` bands with
 probability (1 - 0.8^4)^32 = 5e-8, and the estimate lies ``MARGIN`` (over five
@@ -47,6 +51,8 @@ MARGIN = 0.2
 WIDE, WIDE_BITS, WIDE_MARGIN = 1024, 2, 0.08
 #: nodes of one bucket that one task compares with others
 TILE = 2000
+#: about so many nodes of a bucket, chosen by hash, guide the others to a component
+GUIDES = 8
 SIG = [f"s{i}" for i in range(LONGS)]
 SCHEMA = ("doc_id long, text_hash long, n_shingles long, node long, bands array<long>, "
           + ", ".join(f"{s} long" for s in SIG))
@@ -254,23 +260,31 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, id_col: s
     links = _and(links, confirm(staged(apart, "apart"), nodes, docs, size, percent))
     comps = components(links)
 
-    # buckets that hold several components: nodes of different ones
-    side = rows.join(comps, "node", "left").select("key", "band", "hub", "n", "node", F.coalesce("comp", "node").alias("comp"))
-    mixed = side.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    hub_comp = side.filter("node = hub").select("key", F.col("comp").alias("main"))
-    side = staged(side.join(mixed, "key").join(hub_comp, "key").join(lean, "node"), "mixed")
+    # buckets that hold several components: first a few guides of each bucket
+    side = staged(_mixed(rows, comps, lean), "mixed")
     wide = staged(wide_signatures(_texts(side.select("node").distinct(), nodes, docs), size), "wide")
+    lean = lean.join(wide, "node")
     side = side.join(wide, "node")
     tiles = F.ceil(F.col("n") / TILE).cast("int")
-    others = side.filter("comp <> main").withColumn("tile", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    everyone = side.withColumn("tile", F.pmod(F.xxhash64("node"), tiles).cast("int"))
-    x, y = others.alias("x"), everyone.alias("y")
-    differ = (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
+    own_tile, all_tiles = F.pmod(F.xxhash64("node"), tiles).cast("int"), F.explode(F.sequence(F.lit(0), tiles - 1))
     near = _possible("x", "y", percent) & (wide_estimate("x", "y") >= percent / 100 - WIDE_MARGIN)
+    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.tile") == F.col("y.tile")) & (F.col("x.comp") != F.col("y.comp"))
+    x = side.filter("comp <> main").withColumn("tile", own_tile).alias("x")
+    y = side.filter(F.pmod(F.xxhash64("node", "key"), F.col("n")) < GUIDES).withColumn("tile", all_tiles).alias("y")
+    guided = x.join(y, meet & near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), wide_estimate("x", "y").alias("likeness"))
+    best = guided.groupBy("a").agg(F.max(F.struct("likeness", "b")).alias("top")).select("a", F.col("top.b").alias("b"))
+    links = _and(links, confirm(staged(best, "guided"), nodes, docs, size, percent))
+    comps = components(links)
+
+    # then all nodes of components that are still different
+    side = staged(_mixed(rows, comps, lean), "mixed")
+    x = side.filter("comp <> main").withColumn("tile", all_tiles).alias("x")
+    y = side.withColumn("tile", own_tile).alias("y")
+    once = (F.col("y.comp") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
     # a pair that shares several buckets comes from the first of them only
     shared = F.zip_with("x.bands", "y.bands", lambda a, b: a == b)
     first_shared = F.array_position(shared, True) == F.col("x.band") + 1
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.tile") == F.col("y.tile")) & differ & near & first_shared)
+    across = x.join(y, meet & once & near & first_shared)
     across = across.select(F.least("x.node", "y.node").alias("b"), F.greatest("x.node", "y.node").alias("a")).distinct()
     across = staged(across.join(stars, ["a", "b"], "left_anti"), "across")
     links = _and(links, confirm(across, nodes, docs, size, percent))
@@ -287,6 +301,15 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, id_col: s
                          F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def _mixed(rows: DataFrame, comps: DataFrame, about: DataFrame) -> DataFrame:
+    """Bucket rows, with ``about`` their nodes, of the buckets that hold several
+    components; ``main`` is the component of the bucket's hub."""
+    side = rows.join(comps, "node", "left").select("key", "band", "hub", "n", "node", F.coalesce("comp", "node").alias("comp"))
+    mixed = side.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+    hub_comp = side.filter("node = hub").select("key", F.col("comp").alias("main"))
+    return side.join(mixed, "key").join(hub_comp, "key").join(about, "node")
+
+
 def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     """Pairs whose ends are in different components."""
     a = comps.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
