@@ -88,9 +88,11 @@ def paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
         if 2 ** (len(levels) - 1) > max(limit, 1):
             raise ValueError("parents form a cycle")
         above = level.select(*on, F.col("node").alias("up"), F.col("up").alias("up2"), F.col("sum").alias("sum2"), F.col("steps").alias("steps2"))
-        levels.append(staged(level.join(above, [*on, "up"], "left").select(
+        # only nodes below their root so far are joined; the others are carried along
+        further = level.filter("up IS NOT NULL").join(above, [*on, "up"], "left").select(
             *on, "node", F.col("up2").alias("up"), (F.col("sum") + F.coalesce("sum2", F.lit(0.0))).alias("sum"),
-            (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps")), "up"))
+            (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"))
+        levels.append(staged(further.union(level.filter("up IS NULL").select(*on, "node", "up", "sum", "steps")), "up"))
     total = levels[-1]  # sums and steps up to the root
     best = Window.partitionBy(*on).orderBy(F.desc("mean"), "leaf")
     kept = leaves.join(total, [*on, "node"]).select(*on, F.col("node").alias("leaf"), "steps", (F.col("sum") / (F.col("steps") + 1)).alias("mean"))
