@@ -113,10 +113,11 @@ def _read(row: dict, mod: int) -> Block:
                  unpack(row["vocabulary"], np.uint64, True), row["doc_ids"], mod)
 
 
-def _ranges(keys: np.ndarray, parts: int) -> np.ndarray:
-    """Where each of ``parts`` equal hash ranges begins in sorted keys."""
-    edges = [(p << 64) // parts for p in range(1, parts)]
-    return np.concatenate([[0], np.searchsorted(keys, np.array(edges, np.uint64)), [len(keys)]]).astype(np.int64)
+def _ranges(keys: np.ndarray, parts: int) -> list[tuple[int, int, int]]:
+    """(part, begin, end) of the equal hash ranges that sorted keys touch; the
+    work is that of the keys, however many ranges there are."""
+    of, begins = run_lengths(((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32))
+    return list(zip(of.tolist(), begins.tolist(), [*begins[1:].tolist(), len(keys)]))
 
 
 def requests(blocks: DataFrame, parts: int, mod: int) -> DataFrame:
@@ -132,11 +133,10 @@ def requests(blocks: DataFrame, parts: int, mod: int) -> DataFrame:
                 keys, inverse = np.unique(b.pairs(), return_inverse=True)
                 for kind, k, c in ((WORD, b.vocabulary, counts), (PAIR, keys, np.bincount(inverse[b.train], minlength=len(keys)))):
                     cut = _ranges(k, parts)
-                    there = [p for p in range(parts) if cut[p + 1] > cut[p]]
                     yield pa.RecordBatch.from_pydict({
-                        "part": there, "block": [row["block"]] * len(there), "kind": [kind] * len(there),
-                        "keys": [pack(k[cut[p]:cut[p + 1]], True) for p in there],
-                        "counts": [pack(c[cut[p]:cut[p + 1]].astype(np.uint32)) for p in there]}, schema=schema)
+                        "part": [p for p, _, _ in cut], "block": [row["block"]] * len(cut), "kind": [kind] * len(cut),
+                        "keys": [pack(k[i:j], True) for _, i, j in cut],
+                        "counts": [pack(c[i:j].astype(np.uint32)) for _, i, j in cut]}, schema=schema)
 
     return blocks.mapInArrow(run, REQUESTS)
 

@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from rowguard.llm import lm_scoring as op3
@@ -12,6 +13,16 @@ SF = "/root/testdata/sf0.001"
 ODD = [(1, None), (2, ""), (None, "a b"), (3, "A b\x0bB c"), (3, "A b\x0bB c"), (4, "w " * 20000), (5, "b a"), (6, " "), (7, "é É")]
 
 
+@pytest.mark.parametrize("parts", [1, 7, 1000, 5_000_000])
+def test_ranges_split_sorted_keys_in_order(parts):
+    keys = np.sort(np.random.default_rng(2).integers(0, 2 ** 64, 300, np.uint64))
+    cut = op3._ranges(keys, parts)
+    assert [i for _, i, _ in cut] == [0, *(j for _, _, j in cut[:-1])] and cut[-1][2] == 300
+    of = [p for p, _, _ in cut]
+    assert of == sorted(set(of)) and 0 <= of[0] and of[-1] < parts
+    assert op3._ranges(keys[:0], parts) == []
+
+
 def near(a, b):
     return math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9)
 
