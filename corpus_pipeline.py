@@ -23,8 +23,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: five-word shingles, similarity 0.8."""
-    found = minhash.near_duplicates(docs, size=5, percent=80)
-    return docs.join(found.filter("NOT kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    gone = minhash.near_duplicates(docs, size=5, percent=80).filter("NOT kept")
+    # an id may stand for several texts: only the one that is a duplicate goes
+    same = (docs["doc_id"] == gone["doc_id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["text_hash"])
+    return docs.join(gone, same, "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

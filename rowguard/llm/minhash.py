@@ -26,7 +26,9 @@ standard deviations) below the threshold with less than 1e-6. Node ids are
 
 Defined results: a text without words has 0 shingles, its own component and is
 kept; a row without an id is never linked, has a null component and is kept;
-rows that repeat an id with one text share its result; other columns are ignored.
+rows that repeat an id with one text share its result, and an id with several
+texts has a result for each (``text_hash`` tells them apart); other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -234,7 +236,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
+    """doc_id, text_hash, n_shingles, component_id, kept for every row of ``docs``."""
     docs = documents(docs, id_col, text_col)
     signed = staged(signatures(docs, size), "signatures")
     nodes = staged(
@@ -294,10 +296,10 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, id_col: s
     first = first.withColumn("comp", F.coalesce("comp", "node"))
     smallest = first.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     label = first.join(smallest, "comp").select("node", "component_id")
-    linked = signed.select("doc_id", "n_shingles", "node").join(label, "node", "left")
+    linked = signed.select("doc_id", "text_hash", "n_shingles", "node").join(label, "node", "left")
     own = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
     component = F.when(own, F.col("doc_id")).otherwise(F.col("component_id"))
-    return linked.select("doc_id", "n_shingles", component.alias("component_id"),
+    return linked.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"),
                          F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 

@@ -50,7 +50,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 4-word shingles, 80 percent."""
-    return op6.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+    return op6.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80).drop("text_hash")
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -179,6 +179,17 @@ def test_pipeline_matches_plain_steps(spark):
     assert all(r.decoded_sha256 == hashlib.sha256(redacted[r.doc_id].encode()).hexdigest() for r in got)
 
 
+def test_an_id_with_several_texts_loses_only_the_duplicate(spark):
+    """Row (5, a) is the first of its group and stays, though (5, b) is a copy of row 3."""
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(3, b, "u"), (5, a, "v"), (5, b, "v"), (7, a, "w"), (None, a, "x"), (8, None, "y")],
+                                 "doc_id long, text string, text_hash string")
+    out = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert out.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text or "", r.text_hash) for r in out.collect())
+    assert got == [(0, a, "x"), (3, b, "u"), (5, a, "v"), (8, "", "y")]
+
+
 def test_stages_keep_columns_and_take_empty_input(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES[:-1]:
