@@ -17,7 +17,8 @@ asks for the counts of its distinct words and word pairs; requests are sorted
 hash ranges, one row per block and range. A range is summed in one task (a word
 is one request per block there, however often it occurs) and answered in the
 order of the request, so answers carry no keys. Blocks meet their answers by
-block number; texts are never shuffled.
+block number; texts are never shuffled. A task holds one block or one range, and
+works through a block's tokens in chunks.
 
 Defined results: a null or empty text is its end token only; a null id counts as
 the empty text in crc32 and so is held out; without training rows every token is
@@ -41,7 +42,9 @@ from rowguard.llm.common import ceil_div, crc_mod_py, documents, hashes, mix, pa
 ADD = 0.1
 #: backoff weight: floor, rise at rare histories
 BACKOFF = (0.4, 0.3)
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+#: tokens of a block that are worked on at a time
+CHUNK = 1 << 17
 #: requests that one task sums
 RANGE_REQUESTS = 1 << 21
 #: hash that stands for the end of a text
@@ -70,16 +73,28 @@ class Block:
         self.held = _held(doc_ids, mod)
         self.n = len(lengths)
         self.starts = np.concatenate([[0], np.cumsum(lengths + 1)]).astype(np.int64)
-        self.seq = np.full(self.starts[-1], -1, np.int64)
+        self.seq = np.full(self.starts[-1], -1, np.int32)
         if len(codes):
             self.seq[np.arange(len(codes)) + np.repeat(np.arange(self.n), lengths)] = codes
         self.train = ~np.repeat(self.held, lengths + 1)
         self.vocabulary = vocabulary
-        self.history = np.concatenate([[-1], self.seq[:-1]]) if len(self.seq) else self.seq
+        self.history = np.roll(self.seq, 1)  # before the first token stands an end, as after the last
 
-    def pairs(self) -> np.ndarray:
+    def chunks(self) -> Iterator[slice]:
+        return (slice(a, a + CHUNK) for a in range(0, len(self.seq), CHUNK))
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted distinct hashes of (history, word), and every token's place among them."""
         h = np.append(self.vocabulary, END)
-        return mix(h[self.history] * np.uint64(0x9E3779B97F4A7C15) + mix(h[self.seq]))
+        first, second = h * np.uint64(0x9E3779B97F4A7C15), mix(h)
+        keys = np.empty(len(self.seq), np.uint64)
+        for at in self.chunks():
+            keys[at] = mix(first[self.history[at]] + second[self.seq[at]])
+        order = np.argsort(keys)
+        known, starts = run_lengths(keys[order])
+        place = np.empty(len(keys), np.int32)
+        place[order] = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.append(starts, len(keys))))
+        return known, place
 
 
 def make_blocks(docs: DataFrame, mod: int) -> DataFrame:
@@ -130,8 +145,8 @@ def requests(blocks: DataFrame, parts: int, mod: int) -> DataFrame:
                 b = _read(row, mod)
                 real = b.seq >= 0
                 counts = np.bincount(b.seq[real & b.train], minlength=len(b.vocabulary))
-                keys, inverse = np.unique(b.pairs(), return_inverse=True)
-                for kind, k, c in ((WORD, b.vocabulary, counts), (PAIR, keys, np.bincount(inverse[b.train], minlength=len(keys)))):
+                keys, place = b.pairs()
+                for kind, k, c in ((WORD, b.vocabulary, counts), (PAIR, keys, np.bincount(place[b.train], minlength=len(keys)))):
                     cut = _ranges(k, parts)
                     yield pa.RecordBatch.from_pydict({
                         "part": [p for p, _, _ in cut], "block": [row["block"]] * len(cut), "kind": [kind] * len(cut),
@@ -189,17 +204,20 @@ def score(docs: DataFrame, mod: int = 10, id_col: str = "doc_id", text_col: str
             rows = right.filter(pc.equal(right.column("kind"), kind)).sort_by("part")
             blobs = [unpack(t, np.uint64) for t in rows.column("totals").to_pylist()]
             return np.concatenate(blobs).astype(np.float64) if blobs else np.zeros(0)
-        of_word = np.append(counts(WORD), docs_n)  # the end token is rank -1
-        _, inverse = np.unique(b.pairs(), return_inverse=True)
-        c, c_history, c_pair = of_word[b.seq], of_word[b.history], counts(PAIR)[inverse]
-        unigram = (c + ADD) / whole
-        fail = np.where(c_history > 0, backoff[0] + backoff[1] * (1 + c_history) ** -0.25, 1.0)
-        p = (1 - fail) * c_pair / np.maximum(c_history, 1) + fail * unigram
+        of_word, of_pair = np.append(counts(WORD), docs_n), counts(PAIR)  # the end token is rank -1
+        place = b.pairs()[1]
+        known, base, full = np.empty(len(place), np.int32), np.empty(len(place)), np.empty(len(place))
+        for at in b.chunks():
+            c, c_history = of_word[b.seq[at]], of_word[b.history[at]]
+            unigram = (c + ADD) / whole
+            fail = np.where(c_history > 0, backoff[0] + backoff[1] * (1 + c_history) ** -0.25, 1.0)
+            p = (1 - fail) * of_pair[place[at]] / np.maximum(c_history, 1) + fail * unigram
+            known[at], base[at], full[at] = c > 0, np.log10(unigram), np.log10(p)
         at = b.starts[:-1]
         return pa.Table.from_pydict({
             "doc_id": row["doc_ids"], "held_out": b.held, "n_tokens": np.diff(b.starts),
-            "n_known": np.add.reduceat((c > 0).astype(np.int64), at), "train_tokens": np.full(b.n, tokens_n, np.int64),
-            "base_score": np.add.reduceat(np.log10(unigram), at), "score": np.add.reduceat(np.log10(p), at)},
+            "n_known": np.add.reduceat(known, at, dtype=np.int64), "train_tokens": np.full(b.n, tokens_n, np.int64),
+            "base_score": np.add.reduceat(base, at), "score": np.add.reduceat(full, at)},
             schema=_arrow(doc_id=pa.int64(), held_out=pa.bool_(), n_tokens=pa.int64(), n_known=pa.int64(), train_tokens=pa.int64(),
                           base_score=pa.float64(), score=pa.float64()))
 
