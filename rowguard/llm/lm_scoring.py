@@ -42,11 +42,11 @@ from rowguard.llm.common import ceil_div, crc_mod_py, documents, hashes, mix, pa
 ADD = 0.1
 #: backoff weight: floor, rise at rare histories
 BACKOFF = (0.4, 0.3)
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: tokens of a block that are worked on at a time
 CHUNK = 1 << 17
 #: requests that one task sums
-RANGE_REQUESTS = 1 << 21
+RANGE_REQUESTS = 1 << 19
 #: hash that stands for the end of a text
 END = np.uint64(0x5851F42D4C957F2D)
 
