@@ -164,8 +164,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
 
     A scan finds the spans; only documents that have some are looked up, so the
     join is with a small side, which adaptive execution broadcasts where its
-    measured size allows. Where spans overlap, the earlier one (then the first
-    kind) wins. Code points outside spans are unchanged.
+    measured size allows. Spans that overlap are cut as their union, named by the
+    earliest one (then the first kind). Code points outside spans are unchanged.
     """
     spans = scan(docs, id_col, text_col, owner_col, repo_col, example_owners).filter(F.size("spans") > 0)
     if only_live:
@@ -177,7 +177,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
     joined = _with_spans(keyed, per_doc)
     text = F.col(f"given.`{text_col}`").cast("string")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    cut = F.aggregate("spans", start, lambda a, s: F.when(s["start"] < a["at"], a).otherwise(F.struct(
+    cut = F.aggregate("spans", start, lambda a, s: F.when(s["start"] < a["at"], F.struct(
+        F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))).otherwise(F.struct(
         s["end"].alias("at"),
         F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit("["), s["kind"], F.lit("]")).alias("out"))),
         lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
