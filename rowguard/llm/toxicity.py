@@ -50,10 +50,17 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 SEPARATORS = set("._-*~'`^,:;/\\+|!")
 #: channel costs in nats
 SUBSTITUTE, DROP, REPEAT, HALVE = 1.0, 0.7, 0.5, 4.0
-SPACED = re.compile(r"(?<!\S)\S(?:[ ._\-*]{1,2}\S){2,}(?!\S)")
+#: Single signs with gaps between them. No sign is a gap character, but "*" may be a
+#: sign (a masked vowel) or a gap; all else fits in one way only, so the time is
+#: linear. Sentence punctuation may follow.
+_SIGN, _GAP, _STARS = r"[^\s._\-*]", r"[ ._\-*]++", r"(?:[ ._\-]{0,2}\*)"
+_BEFORE = r"(?<!\* )(?<!\*[ ._\-] )(?:\*[ ._\-]{0,2}+)"  # all stars before the first sign
+SPACED = re.compile(
+    rf"(?<!\S)((?:{_BEFORE}++)?{_SIGN}(?:(?:{_GAP}{_SIGN})+{_STARS}*|{_STARS}{{2,}})|{_BEFORE}{{2,}}+{_SIGN}{_STARS}*)"
+    r"[._\-]*+[,;:!?\"')\]]*+(?!\S)")
 QUOTES = "\"'()[]{}<>.,;:?"
-DECORATION = re.compile(r"^([\W_])\1+|([\W_])\2+$")
-EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+SIGN = re.compile(r"[\W_]")
+EDGE = re.compile(r"^[\W_]+|(?<![\W_])[\W_]+$")
 PLAIN = re.compile(r"[^\W\d_]+")
 RUN = re.compile(r"([^\W\d_])\1{2,}")
 LETTER = re.compile(r"[^\W\d_]")
@@ -88,6 +95,20 @@ def char_model(docs: DataFrame) -> np.ndarray:
     return np.log(counts / counts.sum(axis=2, keepdims=True)).astype(np.float32)
 
 
+def spaced_runs(text: str) -> list[str]:
+    """Runs of three single signs or more."""
+    return [run for run in SPACED.findall(text) if len(re.sub(r"[ ._\-]", "", run)) > 2]
+
+
+def _undecorated(token: str) -> str:
+    """Without repeated signs at its ends."""
+    if token[:1] == token[1:2] and SIGN.match(token):
+        token = token.lstrip(token[0])
+    if len(token) > 1 and token[-1] == token[-2] and SIGN.match(token[-1]):
+        token = token.rstrip(token[-1])
+    return token
+
+
 def _letter(c: str) -> int:
     return ord(c) - 97 if "a" <= c <= "z" else OTHER
 
@@ -142,7 +163,7 @@ class Channel:
     def words(self, token: str) -> list[str]:
         """Plain and restored forms of one lower-cased token."""
         # sentence punctuation and repeated signs around a word are no part of it
-        token = DECORATION.sub("", token.strip(QUOTES)).strip(QUOTES)
+        token = _undecorated(token.strip(QUOTES)).strip(QUOTES)
         core = EDGE.sub("", token)
         forms = [core] if core and LETTER.search(core) else []
         if not forms or not self.obfuscated(token):
@@ -179,7 +200,7 @@ class Extractor:
         out: set = set()
         for token in set(text.split()):
             out.update(self.of_token(token))
-        for spaced in SPACED.findall(text):
+        for spaced in spaced_runs(text):
             if len(spaced) <= 80:
                 joined = re.sub(r"[ ._\-]", "", spaced)
                 for shape in (joined, joined[1:], joined[:-1]):  # "a" and "i" may stand beside

@@ -1,5 +1,7 @@
 import hashlib
 import random
+import subprocess
+import sys
 from collections import defaultdict
 
 import pytest
@@ -56,6 +58,28 @@ def test_obfuscated_toxicity_is_found(spark):
     assert op5.keep_clean(df, classifier).columns == df.columns and op5.keep_clean(df, classifier).count() == 4
 
 
+def test_lines_of_dots_dashes_and_stars_take_linear_time():
+    code = """
+import numpy as np
+from rowguard.llm import toxicity as op5
+extract = op5.Extractor(np.zeros((28, 28, 28)))
+for text in ("Chapter " + "." * 10000 + "12 x", "_" * 10000 + "Name: y", "-" * 10000 + "title", "a" + "-" * 200000 + "bb", "* " * 50000,
+             "a. " * 30000 + "xx", "a*" * 30000 + "xx", "x " + "*--a " * 12000 + "bb"):
+    op5.SPACED.findall(text)
+for text in ("Chapter " + "." * 10000 + "12 x", "_" * 10000 + "Name: y", "-" * 10000 + "title", "so " + "s . t . u . p . i . d they"):
+    found = extract.of_text(text)
+assert {"=so", "=they"} <= found
+op5._undecorated("a" + "-" * 200000 + "bb"), op5.EDGE.sub("", "a" + "-" * 200000 + "bb")
+"""
+    subprocess.run([sys.executable, "-c", code], timeout=30, check=True)
+
+
+def test_spaced_runs_are_still_taken_whole():
+    whole = ["s t u p i d", "s.t.u.p.i.d", "s * u p i d", "* d i o t", "* * k", "f * *", "i d i o *", "s - t - u - p", "a. b. c", "t__r__a s h"]
+    assert [op5.spaced_runs(f"so {t} they") for t in whole] == [[t] for t in whole]
+    assert op5.spaced_runs("so s t u p i d. they, Chapter ....12 x; a b cc") == ["s t u p i d"]
+
+
 def test_toxicity_without_labels_or_rows(spark):
     docs = spark.createDataFrame([(1, "a"), (None, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
