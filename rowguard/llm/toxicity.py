@@ -7,7 +7,9 @@
    may replace, or for nothing; a run may be one or two letters long. Viterbi
    finds the most probable word under the language model and the channel's
    costs. Tokens whose lattice has one path are left alone. Restored and plain
-   tokens are both scored.
+   tokens are both scored. A spaced-out run may be several words: its lattice has
+   word borders too, and words that the classifier knows are more probable in it.
+   Tokens and runs may be of any length; the time is linear in it.
 3. Classifier: a logistic regression over words and word beginnings that are
    strongly associated with the label. It is fitted on a bounded sample of
    labelled training rows (``SAMPLE`` a class); its features come from
@@ -50,6 +52,12 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 SEPARATORS = set("._-*~'`^,:;/\\+|!")
 #: channel costs in nats
 SUBSTITUTE, DROP, REPEAT, HALVE = 1.0, 0.7, 0.5, 4.0
+#: no border in a gap of a spaced-out run that is wider than its narrowest
+JOIN = 2.0
+#: a border in one of the narrowest gaps; every division that one of these gives is scored
+BORDERS = (0.0, 3.0)
+#: how much more probable a known word makes a division of a spaced-out run
+KNOWN = 5.0
 #: Single signs with gaps between them. No sign is a gap character, but "*" may be a
 #: sign (a masked vowel) or a gap; all else fits in one way only, so the time is
 #: linear. Sentence punctuation may follow.
@@ -59,6 +67,7 @@ SPACED = re.compile(
     rf"(?<!\S)((?:{_BEFORE}++)?{_SIGN}(?:(?:{_GAP}{_SIGN})+{_STARS}*|{_STARS}{{2,}})|{_BEFORE}{{2,}}+{_SIGN}{_STARS}*)"
     r"[._\-]*+[,;:!?\"')\]]*+(?!\S)")
 QUOTES = "\"'()[]{}<>.,;:?"
+SIGNS = re.compile(r"([ ._\-]*)([^ ._\-])")
 SIGN = re.compile(r"[\W_]")
 EDGE = re.compile(r"^[\W_]+|(?<![\W_])[\W_]+$")
 PLAIN = re.compile(r"[^\W\d_]+")
@@ -110,52 +119,101 @@ def _undecorated(token: str) -> str:
 
 
 def _letter(c: str) -> int:
-    return ord(c) - 97 if "a" <= c <= "z" else OTHER
+    return ord(c) - 97 if "a" <= c <= "z" else BORDER if c == " " else OTHER
 
 
-class Channel:
-    """Most probable words behind obfuscated tokens."""
+def _written(path: tuple | None) -> list[str]:
+    """The letters along a chain of (chain before, letters)."""
+    out = []
+    while path:
+        path, letters = path
+        out.append(letters)
+    return out[::-1]
 
-    def __init__(self, model: np.ndarray):
-        self.logp = model.tolist()
 
-    def lattice(self, token: str) -> list[list[tuple[str, float]]]:
-        """Per run of equal characters: (letters or nothing, cost) alternatives."""
-        slots = []
+class Channel:
+    """Most probable words behind obfuscated tokens.
+
+    ``known`` words are ``KNOWN`` nats more probable in the division of a spaced-out
+    run: one is found if no division without it is that much more probable.
+    """
+
+    def __init__(self, model: np.ndarray, known: Iterable[str] = ()):
+        self.logp, self.known = model.tolist(), frozenset(known)
+        self.begun = frozenset(w[:k] for w in self.known for k in range(len(w) + 1))
+
+    def options(self, c: str, n: int) -> list[tuple[str, float]]:
+        """(letters or nothing, cost) alternatives of a run of ``n`` equal characters."""
+        options = []
+        if LETTER.match(c):
+            options.append((c, 0.0 if n == 1 else HALVE if n == 2 else REPEAT))
+            if n > 1:
+                options.append((c * 2, 0.0 if n == 2 else REPEAT))
+        for x in LEET.get(c, ""):
+            options.append((x, SUBSTITUTE))
+            if n > 1:
+                options.append((x * 2, SUBSTITUTE + REPEAT))
+        if c in SEPARATORS or c == " ":
+            options.append(("", DROP if c not in LEET else DROP + SUBSTITUTE))
+        return options or [("", DROP)]
+
+    def lattice(self, token: str) -> Iterator[list[tuple[str, float]]]:
+        """The alternatives of each run of equal characters."""
         for m in re.finditer(r"(.)\1*", token, re.S):
-            c, n = m[1], len(m[0])
-            options = []
-            if LETTER.match(c):
-                options.append((c, 0.0 if n == 1 else HALVE if n == 2 else REPEAT))
-                if n > 1:
-                    options.append((c * 2, 0.0 if n == 2 else REPEAT))
-            for x in LEET.get(c, ""):
-                options.append((x, SUBSTITUTE))
-                if n > 1:
-                    options.append((x * 2, SUBSTITUTE + REPEAT))
-            if c in SEPARATORS or c == " ":
-                options.append(("", DROP if c not in LEET else DROP + SUBSTITUTE))
-            slots.append(options or [("", DROP)])
-        return slots
-
-    def restore(self, token: str) -> str:
-        """Viterbi over the lattice; a state is the last two letters."""
-        logp = self.logp
-        beam = {(BORDER, BORDER): (0.0, "")}
-        for options in self.lattice(token):
+            yield self.options(m[1], len(m[0]))
+
+    def spaced_lattice(self, run: str, border: float) -> Iterator[list[tuple[str, float]]]:
+        """The alternatives of a spaced-out run: between two signs there may be a
+        border, for ``border`` nats in the narrowest gaps and for nothing in wider ones."""
+        signs = [(len(gap) + (" " in gap), sign) for gap, sign in SIGNS.findall(run)]  # width of the gap before it
+        narrow = min((width for width, _ in signs[1:]), default=0)
+        k = 0
+        while k < len(signs):
+            width, sign = signs[k]
+            if k:
+                wide = width > narrow
+                yield [("", JOIN if wide else 0.0), (" ", 0.0 if wide else border)]
+            n = k + 1
+            while n < len(signs) and signs[n][1] == sign and signs[n][0] <= narrow:
+                n += 1
+            options = self.options(sign, n - k)
+            if n > k + 1:
+                options = options + [(f"{x} {x}", cost + border) for x, cost in self.options(sign, 1) if x]
+            yield options
+            k = n
+
+    def restore(self, lattice: Iterable[list[tuple[str, float]]], known: bool = False) -> str:
+        """Viterbi over the lattice; a state is the last two letters and, with ``known``, the
+        beginning of a known word since the last border. Paths are chains that share
+        their beginnings; what all of them agree on is written out."""
+        logp, done = self.logp, []
+        beam = {(BORDER, BORDER, "" if known else None): (0.0, None)}
+        for options in lattice:
             new: dict = {}
-            for (a, b), (cost, out) in beam.items():
+            for (a, b, word), (cost, path) in beam.items():
                 for letters, extra in options:
-                    x, y, c = a, b, cost + extra
+                    x, y, w, c = a, b, word, cost + extra
                     for letter in letters:
                         k = _letter(letter)
                         c -= logp[x][y][k]
                         x, y = y, k
-                    old = new.get((x, y))
+                        if known:
+                            if letter == " ":
+                                c -= KNOWN if w in self.known else 0.0
+                                w = ""
+                            elif w is not None:
+                                w = w + letter if w + letter in self.begun else None
+                    old = new.get((x, y, w))
                     if old is None or c < old[0]:
-                        new[x, y] = (c, out + letters)
+                        new[x, y, w] = (c, (path, letters) if letters else path)
             beam = new
-        return min((c - logp[a][b][BORDER], out) for (a, b), (c, out) in beam.items())[1]
+            if len(beam) == 1:
+                (state, (cost, path)), = beam.items()
+                done += _written(path)
+                beam = {state: (cost, None)}
+        best = min(((c - logp[a][b][BORDER] - (KNOWN if w in self.known else 0.0), path) for (a, b, w), (c, path) in beam.items()),
+                   key=lambda x: x[0])[1]
+        return "".join(done + _written(best))
 
     def obfuscated(self, core: str) -> bool:
         return not PLAIN.fullmatch(core) or RUN.search(core) is not None
@@ -169,11 +227,16 @@ class Channel:
         if not forms or not self.obfuscated(token):
             return forms
         for shape in dict.fromkeys((core, token)):  # "$tupid", "idi0t!": an edge may be a letter
-            if len(shape) <= 40 and self.obfuscated(shape):
-                forms.append(self.restore(shape))
+            if self.obfuscated(shape):
+                forms.append(self.restore(self.lattice(shape)))
         forms += PLAIN.findall(core) if not PLAIN.fullmatch(core) else []
         return list(dict.fromkeys(f for f in forms if f))
 
+    def spaced_words(self, run: str) -> list[str]:
+        """Words of a lower-cased spaced-out run, in the likeliest divisions."""
+        found = [w for border in BORDERS for w in self.restore(self.spaced_lattice(run, border), known=True).split()]
+        return list(dict.fromkeys(found))
+
 
 def features(word: str) -> list[str]:
     return ["=" + word, *(word[:k] for k in BEGINNINGS if len(word) > k)]
@@ -183,7 +246,8 @@ class Extractor:
     """Features of whole texts, memoised by token (bounded per worker)."""
 
     def __init__(self, model: np.ndarray, keep: dict[str, int] | None = None):
-        self.channel, self.keep, self.memo = Channel(model), keep, {}
+        self.channel = Channel(model, (f[1:] for f in keep or () if f[0] == "="))
+        self.keep, self.memo = keep, {}
 
     def of_token(self, token: str) -> tuple:
         known = self.memo.get(token)
@@ -200,11 +264,12 @@ class Extractor:
         out: set = set()
         for token in set(text.split()):
             out.update(self.of_token(token))
-        for spaced in spaced_runs(text):
-            if len(spaced) <= 80:
-                joined = re.sub(r"[ ._\-]", "", spaced)
-                for shape in (joined, joined[1:], joined[:-1]):  # "a" and "i" may stand beside
-                    out.update(self.of_token(shape))
+        for run in spaced_runs(text):
+            joined = re.sub(r"[ ._\-]", "", run)
+            for shape in (joined, joined[1:], joined[:-1]):  # "a" and "i" may stand beside
+                out.update(self.of_token(shape))
+            for word in self.channel.spaced_words(run):
+                out.update(self.of_token(word))
         return out
 
 

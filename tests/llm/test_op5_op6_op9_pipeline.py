@@ -80,6 +80,21 @@ def test_spaced_runs_are_still_taken_whole():
     assert op5.spaced_runs("so s t u p i d. they, Chapter ....12 x; a b cc") == ["s t u p i d"]
 
 
+def test_long_obfuscations_and_words_of_spaced_runs_are_found(spark, channel):
+    assert "stupid" in channel.words("stu" + "u" * 40 + "pid") and "idiot" in channel.words("._" * 30 + "i" + ".-" * 20 + "d1ot")
+    classifier = op5.fit(spark.read.parquet(f"{SF2}/documents.parquet"), spark.read.parquet(f"{SF2}/labels.parquet"))
+    extract, names = op5.Extractor(classifier.model, classifier.keep), list(classifier.keep)
+    found = lambda t: {names[i] for i in extract.of_text(t)}
+    long = "y o u a r e s u c h a n i d i o t a n d a l l o f t h i s m 0 r 0 n i s t r @ s h t o m e"
+    assert len(long) > 80 and {"=idiot", "=moron", "=trash"} <= found(long)
+    assert "=idiot" in found("y o u i d i o t") and "=idiot" in found("so y.o.u i.d.i.o.t.")
+    assert {"=idiot", "=stupid"} <= found("t h e " * 2000 + "i d i o t " + "t h e " * 2000 + "s t u p i d")
+    assert not found("c l a s s i c s") and not found("t h e " * 50) and not found("a b c d e f g")
+    texts = ["y o u i d i o t", long, "stu" + "u" * 40 + "pid", "t h i s i s f i n e"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.predicted for r in op5.score(df, classifier).orderBy("doc_id").collect()] == [1, 1, 1, 0]
+
+
 def test_toxicity_without_labels_or_rows(spark):
     docs = spark.createDataFrame([(1, "a"), (None, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
