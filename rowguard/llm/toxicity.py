@@ -64,9 +64,10 @@ KNOWN = 5.0
 _SIGN, _GAP, _STARS = r"[^\s._\-*]", r"[ ._\-*]++", r"(?:[ ._\-]{0,2}\*)"
 _BEFORE = r"(?<!\* )(?<!\*[ ._\-] )(?:\*[ ._\-]{0,2}+)"  # all stars before the first sign
 SPACED = re.compile(
-    rf"(?<!\S)((?:{_BEFORE}++)?{_SIGN}(?:(?:{_GAP}{_SIGN})+{_STARS}*|{_STARS}{{2,}})|{_BEFORE}{{2,}}+{_SIGN}{_STARS}*)"
+    rf"(?<!\S)(?=\*|\S[ ._\-*])((?:{_BEFORE}++)?{_SIGN}(?:(?:{_GAP}{_SIGN})+{_STARS}*|{_STARS}{{2,}})|{_BEFORE}{{2,}}+{_SIGN}{_STARS}*)"
     r"[._\-]*+[,;:!?\"')\]]*+(?!\S)")
 QUOTES = "\"'()[]{}<>.,;:?"
+QUOTES_BUT_OPEN = QUOTES.replace("(", "")
 SIGNS = re.compile(r"([ ._\-]*)([^ ._\-])")
 SIGN = re.compile(r"[\W_]")
 EDGE = re.compile(r"^[\W_]+|(?<![\W_])[\W_]+$")
@@ -118,8 +119,8 @@ def _undecorated(token: str) -> str:
     return token
 
 
-def _letter(c: str) -> int:
-    return ord(c) - 97 if "a" <= c <= "z" else BORDER if c == " " else OTHER
+#: codes of lower-case letters and of the border; all others are ``OTHER``
+LETTER_CODE = {**{chr(97 + k): k for k in range(26)}, " ": BORDER}
 
 
 def _written(path: tuple | None) -> list[str]:
@@ -141,9 +142,17 @@ class Channel:
     def __init__(self, model: np.ndarray, known: Iterable[str] = ()):
         self.logp, self.known = model.tolist(), frozenset(known)
         self.begun = frozenset(w[:k] for w in self.known for k in range(len(w) + 1))
+        self.of_run: dict = {}
 
     def options(self, c: str, n: int) -> list[tuple[str, float]]:
         """(letters or nothing, cost) alternatives of a run of ``n`` equal characters."""
+        n = min(n, 3)  # longer runs have the same ones
+        options = self.of_run.get((c, n))
+        if options is None:
+            options = self.of_run[c, n] = self._options(c, n)
+        return options
+
+    def _options(self, c: str, n: int) -> list[tuple[str, float]]:
         options = []
         if LETTER.match(c):
             options.append((c, 0.0 if n == 1 else HALVE if n == 2 else REPEAT))
@@ -186,7 +195,7 @@ class Channel:
         """Viterbi over the lattice; a state is the last two letters and, with ``known``, the
         beginning of a known word since the last border. Paths are chains that share
         their beginnings; what all of them agree on is written out."""
-        logp, done = self.logp, []
+        logp, code, done = self.logp, LETTER_CODE, []
         beam = {(BORDER, BORDER, "" if known else None): (0.0, None)}
         for options in lattice:
             new: dict = {}
@@ -194,10 +203,11 @@ class Channel:
                 for letters, extra in options:
                     x, y, w, c = a, b, word, cost + extra
                     for letter in letters:
-                        k = _letter(letter)
+                        k = code.get(letter, OTHER)
                         c -= logp[x][y][k]
                         x, y = y, k
-                        if known:
+                    if known:
+                        for letter in letters:
                             if letter == " ":
                                 c -= KNOWN if w in self.known else 0.0
                                 w = ""
@@ -218,18 +228,24 @@ class Channel:
     def obfuscated(self, core: str) -> bool:
         return not PLAIN.fullmatch(core) or RUN.search(core) is not None
 
-    def words(self, token: str) -> list[str]:
-        """Plain and restored forms of one lower-cased token."""
-        # sentence punctuation and repeated signs around a word are no part of it
+    def words(self, token: str, opened: bool = False) -> list[str]:
+        """Plain and restored forms of one lower-cased token; an edge "(" may be a
+        letter if it is ``opened`` for good."""
+        # sentence punctuation and repeated signs around a word are no part of it, but may stand for letters
+        raw = token.strip(QUOTES_BUT_OPEN if opened else QUOTES)
+        if PLAIN.fullmatch(raw) and not RUN.search(raw):
+            return [raw]
+        raw = raw.rstrip("!") if raw.endswith("!!") else raw
         token = _undecorated(token.strip(QUOTES)).strip(QUOTES)
         core = EDGE.sub("", token)
-        forms = [core] if core and LETTER.search(core) else []
-        if not forms or not self.obfuscated(token):
-            return forms
-        for shape in dict.fromkeys((core, token)):  # "$tupid", "idi0t!": an edge may be a letter
-            if self.obfuscated(shape):
-                forms.append(self.restore(self.lattice(shape)))
-        forms += PLAIN.findall(core) if not PLAIN.fullmatch(core) else []
+        plain = [core] if core and LETTER.search(core) else []
+        if not plain and (core or not raw) and sum(c in LEET and not c.isdigit() for c in raw) < 2:
+            return []  # nothing, or a number and its sign
+        # "$tupid", "idi0t!", "a$$": an edge may be a letter
+        forms = plain + [self.restore(self.lattice(shape)) for shape in dict.fromkeys((core, token, raw))
+                         if self.obfuscated(shape) and (plain or shape == raw)]
+        if plain and self.obfuscated(token):
+            forms += PLAIN.findall(core) if not PLAIN.fullmatch(core) else []
         return list(dict.fromkeys(f for f in forms if f))
 
     def spaced_words(self, run: str) -> list[str]:
@@ -249,21 +265,31 @@ class Extractor:
         self.channel = Channel(model, (f[1:] for f in keep or () if f[0] == "="))
         self.keep, self.memo = keep, {}
 
-    def of_token(self, token: str) -> tuple:
-        known = self.memo.get(token)
+    def of_token(self, token: str, opened: bool = False) -> tuple:
+        key = (token, opened) if opened else token
+        known = self.memo.get(key)
         if known is None:
-            found = [f for w in self.channel.words(token) for f in features(w)]
+            found = [f for w in self.channel.words(token, opened) for f in features(w)]
             known = tuple(found) if self.keep is None else tuple(self.keep[f] for f in found if f in self.keep)
             if len(self.memo) >= MEMO:
                 self.memo.clear()
-            self.memo[token] = known
+            self.memo[key] = known
         return known
 
     def of_text(self, text: str | None) -> set:
         text = (text or "").lower()
         out: set = set()
-        for token in set(text.split()):
-            out.update(self.of_token(token))
+        opened = text.count("(") > text.count(")")  # else every "(" is a bracket
+        memo, tokens = self.memo, set(text.split())
+        for token in tokens:
+            known = memo.get(token)
+            if known is None:
+                known = self.of_token(token)
+            if known:
+                out.update(known)
+        for token in tokens if opened else ():
+            if "(" in token:
+                out.update(self.of_token(token, opened))
         for run in spaced_runs(text):
             joined = re.sub(r"[ ._\-]", "", run)
             for shape in (joined, joined[1:], joined[:-1]):  # "a" and "i" may stand beside

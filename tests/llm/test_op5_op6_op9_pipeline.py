@@ -1,9 +1,11 @@
 import hashlib
 import random
+import re
 import subprocess
 import sys
 from collections import defaultdict
 
+import numpy as np
 import pytest
 import sentencepiece
 
@@ -95,6 +97,25 @@ def test_long_obfuscations_and_words_of_spaced_runs_are_found(spark, channel):
     assert [r.predicted for r in op5.score(df, classifier).orderBy("doc_id").collect()] == [1, 1, 1, 0]
 
 
+@pytest.mark.parametrize("token, word", [("tra$$h", "trash"), ("$$tupid", "stupid"), ("$+u|>!d!!", "stuid"), ("cla$$", "class"), ("$#!+", "shit"),
+                                         ("@$$", "as"), ("**so**", "so")])
+def test_signs_at_the_edges_may_be_letters(token, word):
+    flat = op5.Channel(np.full((28, 28, 28), -3.0))
+    built = []
+    flat.restore = lambda lattice, known=False: built.append(list(lattice)) or "x"
+    flat.words(token)
+    fits = [re.fullmatch("".join("(?:" + "|".join(map(re.escape, dict(o))) + ")" for o in slots), word) for slots in built]
+    assert any(fits) or word in flat.words(token)
+
+
+def test_numbers_and_closed_brackets_are_left_alone(channel):
+    for number in ("455", "12.5", "$5", "100%", "#1", "1,000", "-3", "3/4", "..."):
+        assert channel.words(number) == []
+    assert channel.words("(lown)") == ["lown"] and "clown" in channel.words("(lown", opened=True)
+    extract = op5.Extractor(np.array(channel.logp))
+    assert "=clown" in extract.of_text("a (lown") and "=clown" not in extract.of_text("a (lown b)")
+
+
 def test_toxicity_without_labels_or_rows(spark):
     docs = spark.createDataFrame([(1, "a"), (None, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
