@@ -537,7 +537,7 @@ def _result_struct(check: MetricCheck, p: str, out: dict, numeric: bool) -> Colu
 
 
 def _error_frame(spark, check: MetricCheck, err: Exception) -> DataFrame:
-    msg = str(err).splitlines()[0][:500] if str(err) else type(err).__name__
+    msg = str(err) or type(err).__name__
     return spark.createDataFrame(
         [(check.name, check.dimension, check.measure.metric, None, None, None, None, None, None, "error", msg)],
         RESULT_SCHEMA,

@@ -68,10 +68,11 @@ def propose_rules(df: DataFrame, columns: Sequence[str] | None = None, max_value
         if isinstance(dt, _NUMERIC) and p.min is not None:
             lo, hi = float(p.min), float(p.max)
             rules.append(C.Rule(f"{name}_in_range", C.InRange(name, lo, hi), criticality, "accuracy"))
-        if isinstance(dt, T.StringType) and p.distinct_count is not None and 0 < p.distinct_count <= max_values:
+        if isinstance(dt, T.StringType):
+            # exact: distinct_count is an estimate
             values = [r[0] for r in df.select(col(name)).where(col(name).isNotNull()).distinct()
                       .orderBy(name).limit(max_values + 1).collect()]
-            if len(values) <= max_values:
+            if 0 < len(values) <= max_values:
                 rules.append(C.Rule(f"{name}_in_list", C.InList(name, values), criticality, "accuracy"))
     return rules
 

@@ -174,3 +174,11 @@ def test_runtime_errors_isolated(spark, df):
     assert r["rows"].value == 5
     if ansi_raises:
         assert r["boom"].outcome == "error"
+
+
+def test_error_rows_keep_the_whole_text(spark):
+    from rowguard.operators import metrics as M
+    text = "first line\n" + "x" * 1000 + "\nlast line"
+    check = type("Check", (), {"name": "c", "dimension": "d", "measure": type("Measure", (), {"metric": "m"})})
+    assert M._error_frame(spark, check, ValueError(text)).first().details == text
+    assert M._error_frame(spark, check, ValueError()).first().details == "ValueError"

@@ -49,3 +49,12 @@ def test_rules_round_trip(spark):
     a = rg.annotate(df, rules).select("_errors", "_warnings").collect()
     b = rg.annotate(df, back).select("_errors", "_warnings").collect()
     assert a == b
+
+
+def test_value_lists_are_decided_by_exact_distinct_counts(spark):
+    """400 values a column: an estimate of some of the columns is above 400."""
+    columns = [f"concat('{c}', id % 400) AS s{c}" for c in "abcdefgh"]
+    rules = {r.name: r for r in Pf.propose_rules(spark.range(800).selectExpr(*columns, "cast(null as string) AS none"), max_values=400)}
+    assert all(len(rules[f"s{c}_in_list"].check.allowed) == 400 for c in "abcdefgh") and "none_in_list" not in rules
+    over = Pf.propose_rules(spark.range(800).selectExpr(*columns), max_values=399)
+    assert not any(r.name.endswith("_in_list") for r in over)
