@@ -1,18 +1,21 @@
-"""Queries op1..op10 on the test tables, and their DuckDB SQL where SQL can say it."""
+"""Queries op1..op13 on the test tables, and their DuckDB SQL where SQL can say it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowguard.llm import alignment as op12
 from rowguard.llm import chat as op8
 from rowguard.llm import decontaminate as op10
 from rowguard.llm import language_id as op9
 from rowguard.llm import lm_scoring as op3
 from rowguard.llm import merkle as op4
 from rowguard.llm import minhash as op6
+from rowguard.llm import ranked_search as op13
 from rowguard.llm import secrets as op2
 from rowguard.llm import sentencepiece_codec as op1
+from rowguard.llm import token_files as op11
 from rowguard.llm import toxicity as op5
 from rowguard.llm import warc as op7
 from rowguard.llm.common import table
@@ -87,6 +90,24 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("near_items").cast("long").alias("n_near_items"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every whole text, written as binary files and read back."""
+    back = op11.round_trip(table(spark, sf_dir, "documents"))
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned at their common byte ends, for every whole text."""
+    told = op12.align(table(spark, sf_dir, "documents"))
+    sha = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return told.withColumn("groups_sha256", sha).drop("groups")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return op13.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_secrets": op2_secrets,
@@ -98,6 +119,9 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_language_id": op9_language_id,
     "op10_decontaminate": op10_decontaminate,
+    "op11_token_files": op11_token_files,
+    "op12_alignment": op12_alignment,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 #: The other queries have no SQL: a model, a signature or a tree decides, or the
@@ -123,4 +147,20 @@ ORACLE: dict[str, str] = {
           SUM(15 + length(tag) + length(body) + length(split_part(tag, ' ', 1))) AS chars FROM e GROUP BY conv_id)
         SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
           CAST(chars AS BIGINT) AS formatted_chars FROM g""",
+    "op13_ranked_search": r"""
+        WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+        c AS (SELECT k, doc_id, terms, len(terms) AS n FROM d WHERE len(terms) > 0),
+        s AS (SELECT COUNT(*) AS nn, CAST(SUM(n) AS BIGINT) AS ll FROM c),
+        i AS (SELECT item_id, text, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT DISTINCT item_id, COALESCE(text, '') AS text FROM benchmark)),
+        q AS (SELECT item_id, text, term, COUNT(*) AS often FROM i GROUP BY ALL),
+        p AS (SELECT k, doc_id, n, term, COUNT(*) AS tf FROM (SELECT k, doc_id, n, unnest(terms) AS term FROM c)
+            WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+        w AS (SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS w FROM p, s GROUP BY term, nn),
+        r AS (SELECT item_id, text, k, doc_id,
+            SUM(often * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nn) // ll)))) AS score
+            FROM q JOIN p USING (term) JOIN w USING (term), s GROUP BY ALL),
+        o AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id, k) AS rank FROM r WHERE score > 0)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM o WHERE rank <= 10""",
 }
