@@ -6,8 +6,8 @@ of a piece model whose pieces hold a space mark at their start only, crosses suc
 a cut, so the ids of a text are the ids of its spans in order. A batch of texts
 therefore encodes each of its distinct spans once and gathers the rest.
 
-White space is judged with care: where a character might be Unicode white space
-there is no cut, and a longer span gives the same ids.
+White space is judged with care: where a character might be Unicode white space,
+or the space mark itself, there is no cut, and a longer span gives the same ids.
 """
 
 from __future__ import annotations
@@ -56,7 +56,7 @@ def _solid(data: np.ndarray) -> np.ndarray:
     """Which bytes end a character that is surely no white space."""
     one = np.concatenate([[0], data[:-1]])
     two = np.concatenate([[0, 0], data[:-2]])[:len(data)]
-    spaced = ((one == 0xC2) & (data <= 0xA0)) | ((two == 0xE1) & (one == 0x9A)) | ((two == 0xE2) & ((one == 0x80) | (one == 0x81)))
+    spaced = ((one == 0xC2) & (data <= 0xA0)) | ((two == 0xE1) & (one == 0x9A)) | ((two == 0xE2) & ((one == 0x80) | (one == 0x81) | (one == 0x96)))
     spaced |= (two == 0xE3) & (one == 0x80)
     return (data > 32) & (data != 127) & ~((data > 127) & spaced)
 
