@@ -46,7 +46,7 @@ from rowguard.llm.spans import ByteLevel, Pieces, SpanTokenizer, gather, split,
 TOKENIZER_A = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER_B = public_tokenizers.path("piece_bpe_32k.model")
 #: bytes of text whose distinct spans are encoded together
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 4 << 20
 
 #: bytes of group strings in one result batch
 RESULT_BYTES = 32 << 20

@@ -1,10 +1,13 @@
 """Spans: the parts of texts at which subword tokenizers can be cut.
 
 A text is cut before every space that follows a character which is not white
-space. No token of a byte-level tokenizer with the common word pattern, and none
-of a piece model whose pieces hold a space mark at their start only, crosses such
-a cut, so the ids of a text are the ids of its spans in order. A batch of texts
-therefore encodes each of its distinct spans once and gathers the rest.
+space, between an ASCII letter and a sign (but not an apostrophe), and between a
+line end that follows such a character and an ASCII letter. No token of a
+byte-level tokenizer with the common word pattern crosses such a cut, and none of
+a piece model whose pieces hold a space mark at their start only, no sign after a
+letter and no line end, so the ids of a text are the ids of its spans in order. A
+batch of texts therefore encodes each of its distinct spans once and gathers the
+rest. Which tokenizer allows it is read from its file; others encode whole texts.
 
 White space is judged with care: where a character might be Unicode white space,
 or the space mark itself, there is no cut, and a longer span gives the same ids.
@@ -14,6 +17,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import string
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +30,13 @@ from tokenizers import Tokenizer
 #: bytes of spans that are joined for one call of a tokenizer
 JOIN_BYTES = 2048
 
+LETTER, SIGN = (np.isin(np.arange(256), np.frombuffer(x.encode(), np.uint8)) for x in (string.ascii_letters, string.punctuation.replace("'", "")))
 
-def split(texts: pa.Array, lead: bytes = b"", whole: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Spans of texts, each text after ``lead`` (null: empty); ``whole``: a text is one span.
+
+def split(texts: pa.Array, lead: bytes = b"", whole: bool = False, fine: bool = True) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Spans of texts, each text after ``lead`` (null: empty).
+
+    ``whole``: a text is one span. ``fine``: cut at signs and line ends as well.
 
     Returns offsets (n + 1) into the codes, the codes of all spans in order, and
     the distinct spans (large_binary) that codes stand for.
@@ -42,7 +51,11 @@ def split(texts: pa.Array, lead: bytes = b"", whole: bool = False) -> tuple[np.n
         at = at + len(lead) * np.arange(n + 1)
     cuts = np.zeros(len(data) + 1, bool)
     if not whole:
-        cuts[1:-1] = (data[1:] == 32) & _solid(data)[:-1]
+        solid = _solid(data)
+        cuts[1:-1] = (data[1:] == 32) & solid[:-1]
+        if fine:
+            cuts[1:-1] |= LETTER[data[:-1]] & SIGN[data[1:]]
+            cuts[2:-1] |= solid[:-2] & (data[1:-1] == 10) & LETTER[data[2:]]
     cuts[at] = True
     ends = np.flatnonzero(cuts)
     if not len(data):
@@ -89,10 +102,10 @@ def byte_level() -> dict[str, int]:
 class SpanTokenizer:
     """Ids of distinct spans. Subclasses say how texts are encoded.
 
-    ``surface``: the bytes of each id. Spans that begin with a space and end in
-    another character are joined to longer texts for the tokenizer's sake; where
-    ids end is found by their bytes, and a batch in which these do not fit is
-    encoded span by span.
+    ``surface``: the bytes of each id. Spans are joined to longer texts for the
+    tokenizer's sake: those that begin with a space as they are, others with line
+    ends between them. Where a span's ids end is found by their bytes; if these do
+    not fit, spans are encoded one by one.
     """
 
     surface: list[bytes]
@@ -102,45 +115,66 @@ class SpanTokenizer:
     def texts(self, texts: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
+    def alone(self, spans: list[str]) -> list[list[int]]:
+        """Ids of each span, without a neighbour."""
+        raise NotImplementedError
+
     def prepare(self) -> None:
         self.size = np.array([len(s) for s in self.surface], np.int64)
 
-    def joinable(self, spans: pa.Array) -> np.ndarray:
+    def classes(self, spans: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Spans that can be joined as they are, and those that can with line ends between."""
         at = np.frombuffer(spans.buffers()[1], np.int64)[spans.offset:spans.offset + len(spans) + 1]
         data = np.frombuffer(spans.buffers()[2], np.uint8)
-        return (data[at[:-1]] == 32) & _solid(data)[at[1:] - 1]
+        solid, first, last = _solid(data), data[at[:-1]], at[1:] - 1
+        ends = solid[last]
+        line = (data[last] == 10) & (last > at[:-1]) & solid[np.maximum(last - 1, 0)]
+        return (first == 32) & ends, (LETTER[first] | SIGN[first]) & (ends | line)
 
     def encode(self, spans: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(where each span's ids end, ids of all spans)."""
         n = len(spans)
-        together = self.joinable(spans) if n and self.by_span else np.zeros(n, bool)
-        alone = np.flatnonzero(~together)
-        ids = np.empty(0, np.int64)
-        counts = np.zeros(n, np.int64)
-        joined = spans.filter(pa.array(together))
-        ends = np.cumsum(pc.binary_length(joined).to_numpy())
-        if len(ends):
-            data = b"".join(joined.to_pylist())
-            cuts = [0]
-            while cuts[-1] < len(data):
-                cuts.append(int(ends[min(np.searchsorted(ends, cuts[-1] + JOIN_BYTES), len(ends) - 1)]))
-            ids = _flat(self.texts([data[a:b].decode() for a, b in zip(cuts, cuts[1:])]))
-            upto = np.cumsum(self.size[ids])
-            stop = np.searchsorted(upto, ends)
-            if len(upto) and upto[-1] == ends[-1] and np.array_equal(upto[stop], ends):
-                counts[together] = np.diff(np.concatenate([[0], stop + 1]))
-            else:
-                ids, alone, together = np.empty(0, np.int64), np.arange(n), np.zeros(n, bool)
-        if not len(alone):
-            return np.cumsum(counts), ids
-        single = self.texts([s.decode() for s in spans.take(pa.array(alone)).to_pylist()])
-        counts[alone] = [len(s) for s in single]
-        out = np.empty(int(counts.sum()), np.int64)
+        counts, parts, left = np.zeros(n, np.int64), [], np.ones(n, bool)
+        if n and self.by_span:
+            for of, between in zip(self.classes(spans), (b"", b"\n")):
+                found = self.joined(spans.filter(pa.array(of)), between) if of.any() else None
+                if found is not None:
+                    counts[of] = found[0]
+                    parts.append((np.flatnonzero(of), found[1]))
+                    left &= ~of
+        if left.any():
+            single = self.alone([s.decode() for s in spans.filter(pa.array(left)).to_pylist()])
+            counts[left] = [len(x) for x in single]
+            parts.append((np.flatnonzero(left), _flat(single)))
         ends = np.cumsum(counts)
-        out[gather(np.flatnonzero(together), ends)] = ids
-        out[gather(alone, ends)] = _flat(single)
+        out = np.empty(int(counts.sum()), np.int64)
+        for of, ids in parts:
+            out[gather(of, ends)] = ids
         return ends, out
 
+    def joined(self, spans: pa.Array, between: bytes) -> tuple[np.ndarray, np.ndarray] | None:
+        """(number of ids of each span, ids), or None if the bytes of ids do not fit the spans."""
+        size = pc.binary_length(spans).to_numpy() + len(between)
+        data = b"".join(s + between for s in spans.to_pylist()) if between else b"".join(spans.to_pylist())
+        ends = np.cumsum(size)
+        cuts = [0]
+        while cuts[-1] < len(data):
+            cuts.append(int(ends[min(np.searchsorted(ends, cuts[-1] + JOIN_BYTES), len(ends) - 1)]))
+        lead = b" " + between if between else b""
+        ids = _flat(self.texts([(lead + data[a:b]).decode() for a, b in zip(cuts, cuts[1:])]))
+        upto = np.cumsum(self.size[ids])
+        # the bytes of each text's lead stand before its first span
+        ends = ends + len(lead) * np.searchsorted(cuts[1:], ends, "left") + len(lead)
+        stop, start = ends - len(between), ends - size
+        a, b = np.searchsorted(upto, start) + 1, np.searchsorted(upto, stop) + 1
+        a[start == 0] = 0
+        if not len(upto) or upto[-1] != ends[-1] or not np.array_equal(upto[b - 1], stop) or not np.array_equal(upto[a - 1][start > 0], start[start > 0]):
+            return None
+        own = np.zeros(len(ids) + 1, np.int64)
+        np.add.at(own, a, 1)
+        np.add.at(own, b, -1)
+        return b - a, ids[np.cumsum(own)[:-1] > 0]
+
 
 def _flat(lists: list[list[int]]) -> np.ndarray:
     return np.concatenate([np.array(x, np.int64) for x in lists]) if lists else np.empty(0, np.int64)
@@ -164,11 +198,18 @@ class ByteLevel(SpanTokenizer):
         self.surface = [b""] * (1 + max(vocabulary.values(), default=-1))
         for token, k in vocabulary.items():
             self.surface[k] = special[k] if k in special else bytes(to_byte.get(c, 63) for c in token)
+        self.added = [] if special_as_text else [t["content"] for t in added]
         self.prepare()
 
     def texts(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    alone = texts
+
+    def fine(self, texts: pa.Array) -> bool:
+        """Whether no text holds an added token, which signs and letters may be part of."""
+        return not any(pc.any(pc.match_substring(texts, t)).as_py() for t in self.added)
+
 
 class Pieces(SpanTokenizer):
     """A model of the sentencepiece library; spans come with the space that the model itself puts first."""
@@ -179,17 +220,21 @@ class Pieces(SpanTokenizer):
         spec = proto.normalizer_spec
         self.model = m = sentencepiece.SentencePieceProcessor(model_proto=data)
         pieces = [m.id_to_piece(k) for k in range(len(m))]
+        across = re.compile("[A-Za-z][" + re.escape(string.punctuation.replace("'", "")) + "]|.\n|\n.|[^▁].*▁", re.S)
+        whole = [p for k, p in enumerate(pieces) if not (m.is_byte(k) or m.is_control(k) or m.is_unknown(k))]
         self.by_span = (spec.add_dummy_prefix and not spec.precompiled_charsmap and not spec.remove_extra_whitespaces
-                        and not any("▁" in p.lstrip("▁") for p in pieces))
+                        and not any(map(across.search, whole)))
         self.surface = [bytes([int(p[3:5], 16)]) if m.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
-        # a space at a text's end is a span alone, which the library would take for an empty text
-        self.lone = m.encode("a ")[len(m.encode("a")):]
         self.prepare()
 
-    def joinable(self, spans: pa.Array) -> np.ndarray:
+    def classes(self, spans: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         marked = pc.match_substring(spans, "▁").to_numpy(zero_copy_only=False)
-        return super().joinable(spans) & ~marked
+        return tuple(of & ~marked for of in super().classes(spans))
 
     def texts(self, texts: list[str]) -> list[list[int]]:
-        found = self.model.encode([t[1:] for t in texts], num_threads=1)
-        return [self.lone if t == " " else ids for t, ids in zip(texts, found)]
+        return self.model.encode([t[1:] for t in texts], num_threads=1)
+
+    def alone(self, spans: list[str]) -> list[list[int]]:
+        # after a letter and a line end, as the library takes a space alone for an empty text
+        before = len(self.model.encode("a\n"))
+        return [ids[before:] for ids in self.model.encode(["a\n" + s for s in spans], num_threads=1)] if self.by_span else self.texts(spans)

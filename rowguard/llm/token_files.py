@@ -78,7 +78,7 @@ READ = "doc_id long, file long, block long, slot long, n_tokens long, before lon
 
 def _ids(tokenizer: ByteLevel, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(where each text's ids end, all ids), the end id after each text."""
-    offsets, codes, spans = split(texts, whole=not tokenizer.by_span)
+    offsets, codes, spans = split(texts, whole=not tokenizer.by_span, fine=tokenizer.fine(texts))
     ends, ids = tokenizer.encode(spans)
     size = sums(np.diff(np.concatenate([[0], ends]))[codes], offsets) + 1
     upto = np.cumsum(size)
@@ -98,15 +98,19 @@ def train_dictionary(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int =
                      sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> bytes:
     """A dictionary from serialised id arrays of at most ``sample_docs`` documents, chosen by hash.
 
-    A long document gives ``sample_chars`` code points from a place chosen by
-    hash. Empty bytes if the sample is too small for one.
+    A document is in the sample if its hash falls into that share of all rows;
+    equal rows, which share a hash, are one. A long document gives
+    ``sample_chars`` code points from a place chosen by hash. Empty bytes if the
+    sample is too small for a dictionary.
     """
-    data = _text_of(tokenizer)
+    data, rows = _text_of(tokenizer), documents(docs).filter("text <> ''")
     h = F.xxhash64("doc_id", "text")
+    share = min(1.0, sample_docs / max(rows.count(), 1))
     long = F.greatest(F.length("text") - sample_chars, F.lit(0))
-    rows = (documents(docs).filter("text <> ''")
-            .select(F.substring("text", (F.pmod(h, long + 1) + 1).cast("int"), F.lit(sample_chars)).alias("text"), h.alias("h"))
-            .orderBy("h", "text").limit(sample_docs).collect())
+    piece = F.substring("text", (F.pmod(h, long + 1) + 1).cast("int"), F.lit(sample_chars))
+    # hashes are even over 64 bits: the rows expected below the bound are the sample's size
+    rows = (rows.withColumn("h", h).filter(F.col("h") <= int(share * 2**64) - 2**63 - 1).groupBy("h").agg(F.min(piece).alias("text"))
+            .orderBy("h").collect())
     if not rows:
         return b""
     model = ByteLevel(data)

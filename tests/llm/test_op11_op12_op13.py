@@ -21,7 +21,7 @@ from rowguard.llm import token_files as op11
 
 SF = "/root/testdata/sf0.001"
 ODD = ["", None, " ", "  ", "a", " lead", "trail  ", "two  spaces\n\n new\tline  ", "née à  l'été — “dash” x", "日本語の文。 改行　全角 空白",
-       "no break  em \u0085nel \x1c sep", "<|endoftext|> in <|endoftext|>text </s> <unk> <0x41>", "mark ▁ here", "▁", "x" * 3000, "can't we'll I'm 12.5 %$#",
+       "no break  em \u0085nel \x1c sep", "<|endoftext|> in <|endoftext|>text </s> <unk> <0x41>", "mark ▁ here", "▁", "End.\nNext: it's (so) 'quoted' f(x)=a_b;\n\nA\n B\nC\n", "(lead sign", "a\n", "é.\nÉ\nx", "x" * 3000, "can't we'll I'm 12.5 %$#",
        "emoji 👩‍👩‍👧 \U0001f600", "á combining", "\x00 nul \x00", "tab\t tab \r\n end ", "  line   para", "y " * 2000, "﻿bom"]
 
 
@@ -55,8 +55,12 @@ def test_ids_of_spans_are_the_librarys(plain):
     glue = [" ", "  ", "\n", "", " ", "\t "]
     texts = [t or "" for t in ODD] + ["".join(rng.choice(ODD[4:14]) + rng.choice(glue) for _ in range(12)) for _ in range(60)]
     texts = [t for t in texts if t]
-    for model, lead, want in ((mine, b"", [a.encode(t, add_special_tokens=False).ids for t in texts]), (pieces, b" ", [b.encode(t) for t in texts])):
-        offsets, codes, distinct = spans.split(pa.array(texts), lead)
+    prose = [t for t in texts if "<|endoftext|>" not in t]
+    assert mine.fine(pa.array(prose)) and not mine.fine(pa.array(texts))
+    in_a = lambda some: [a.encode(t, add_special_tokens=False).ids for t in some]
+    for model, lead, texts, fine, want in ((mine, b"", texts, False, in_a(texts)), (mine, b"", prose, True, in_a(prose)),
+                                           (pieces, b" ", texts, True, [b.encode(t) for t in texts])):
+        offsets, codes, distinct = spans.split(pa.array(texts), lead, fine=fine)
         assert b"".join(distinct.take(pa.array(codes)).to_pylist()) == b"".join(lead + t.encode() for t in texts)
         ends, ids = model.encode(distinct)
         got = [ids[spans.gather(codes[x:y], ends)].tolist() for x, y in zip(offsets, offsets[1:])]
@@ -86,7 +90,7 @@ def test_op11_query_equals_the_library(spark, plain):
 def test_op11_files_blocks_fetch_and_edges(spark, plain, scratch):
     docs = list(enumerate(ODD)) + [(None, "no id"), (2**40, "far")]
     df = frame(spark, docs).repartition(3)
-    path = op11.write(df, f"{scratch}/ids", block_bytes=200, dictionary=op11.train_dictionary(df, size=1024, sample_chars=64))
+    path = op11.write(df, f"{scratch}/ids", block_bytes=64, dictionary=op11.train_dictionary(df, size=1024, sample_chars=64))
     want = stored(plain[0], docs)
     back = op11.read(spark, path).collect()
     assert in_order((r.doc_id, r.start, r.n_tokens, zlib.crc32(bytes(r.ids))) for r in back) == want
