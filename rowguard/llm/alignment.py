@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowguard.llm.common import documents, staged, steps
-from rowguard.llm.spans import ByteLevel, Pieces, SpanTokenizer, gather, split, sums
+from rowguard.llm.spans import SpanTokenizer, byte_level_tokenizer, gather, piece_model, split, sums
 
 #: public tokenizer files; parameters, never copied
 TOKENIZER_A = public_tokenizers.path("byte_bpe_50k.json")
@@ -138,7 +138,7 @@ def batches_of(docs: DataFrame, tokenizer_a: str = TOKENIZER_A, tokenizer_b: str
     data_a, data_b = _read(tokenizer_a, tokenizer_b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = ByteLevel(data_a, special_as_text=True), Pieces(data_b)
+        a, b = byte_level_tokenizer(data_a, True), piece_model(data_b)
         for batch in steps(batches, step_bytes=batch_bytes):
             texts = batch.column("text")
             offsets, codes, spans = split(texts, b" ", whole=not (a.by_span and b.by_span))
@@ -280,7 +280,7 @@ def align(docs: DataFrame, tokenizer_a: str = TOKENIZER_A, tokenizer_b: str = TO
     """
     aligned = staged(batches_of(docs, tokenizer_a, tokenizer_b), "aligned")
     data_a, data_b = _read(tokenizer_a, tokenizer_b)
-    pairs = pair_counts(aligned).limit(bound := pair_bound(ByteLevel(data_a), Pieces(data_b)) + 1).collect()
+    pairs = pair_counts(aligned).limit(bound := pair_bound(byte_level_tokenizer(data_a, True), piece_model(data_b)) + 1).collect()
     if len(pairs) >= bound:
         raise ValueError("more id pairs than the vocabularies' surfaces allow")
     return documents_of(aligned, pairs)

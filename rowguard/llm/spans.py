@@ -15,6 +15,7 @@ or the space mark itself, there is no cut, and a longer span gives the same ids.
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
@@ -30,6 +31,7 @@ from tokenizers import Tokenizer
 #: bytes of spans that are joined for one call of a tokenizer
 JOIN_BYTES = 2048
 
+#: letters and signs among bytes
 LETTER, SIGN = (np.isin(np.arange(256), np.frombuffer(x.encode(), np.uint8)) for x in (string.ascii_letters, string.punctuation.replace("'", "")))
 
 
@@ -67,8 +69,8 @@ def split(texts: pa.Array, lead: bytes = b"", whole: bool = False, fine: bool =
 
 def _solid(data: np.ndarray) -> np.ndarray:
     """Which bytes end a character that is surely no white space."""
-    one = np.concatenate([[0], data[:-1]])
-    two = np.concatenate([[0, 0], data[:-2]])[:len(data)]
+    one, two = np.zeros_like(data), np.zeros_like(data)
+    one[1:], two[2:] = data[:-1], data[:-2]
     spaced = ((one == 0xC2) & (data <= 0xA0)) | ((two == 0xE1) & (one == 0x9A)) | ((two == 0xE2) & ((one == 0x80) | (one == 0x81) | (one == 0x96)))
     spaced |= (two == 0xE3) & (one == 0x80)
     return (data > 32) & (data != 127) & ~((data > 127) & spaced)
@@ -155,8 +157,12 @@ class SpanTokenizer:
     def joined(self, spans: pa.Array, between: bytes) -> tuple[np.ndarray, np.ndarray] | None:
         """(number of ids of each span, ids), or None if the bytes of ids do not fit the spans."""
         size = pc.binary_length(spans).to_numpy() + len(between)
-        data = b"".join(s + between for s in spans.to_pylist()) if between else b"".join(spans.to_pylist())
         ends = np.cumsum(size)
+        if between:
+            data = b"".join(s + between for s in spans.to_pylist())
+        else:
+            first = np.frombuffer(spans.buffers()[1], np.int64)[spans.offset]
+            data = spans.buffers()[2].slice(int(first), int(ends[-1])).to_pybytes()
         cuts = [0]
         while cuts[-1] < len(data):
             cuts.append(int(ends[min(np.searchsorted(ends, cuts[-1] + JOIN_BYTES), len(ends) - 1)]))
@@ -180,6 +186,17 @@ def _flat(lists: list[list[int]]) -> np.ndarray:
     return np.concatenate([np.array(x, np.int64) for x in lists]) if lists else np.empty(0, np.int64)
 
 
+@functools.lru_cache(maxsize=2)
+def byte_level_tokenizer(data: str, special_as_text: bool = False) -> ByteLevel:
+    """One tokenizer a worker: its size is that of its file, whatever it has read."""
+    return ByteLevel(data, special_as_text)
+
+
+@functools.lru_cache(maxsize=2)
+def piece_model(data: bytes) -> Pieces:
+    return Pieces(data)
+
+
 class ByteLevel(SpanTokenizer):
     """A tokenizer of the tokenizers library from its JSON text."""
 

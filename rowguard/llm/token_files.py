@@ -53,7 +53,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowguard.llm.common import ceil_div, documents, steps
-from rowguard.llm.spans import ByteLevel, gather, split, sums
+from rowguard.llm.spans import ByteLevel, byte_level_tokenizer, gather, split, sums
 from rowguard.session import ensure_checkpoint_dir
 
 #: public tokenizer file; a parameter, never copied
@@ -62,7 +62,7 @@ END_ID = 2
 #: bytes of text that one file aims at
 FILE_BYTES = 64 << 20
 #: bytes of text that one block is made from (one document at least)
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 LEVEL = 3
 #: the dictionary's bytes, and its bounded sample: so many documents, so many code points of each
 DICTIONARY_BYTES = 65_536
@@ -95,7 +95,7 @@ def _text_of(path: str) -> str:
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, size: int = DICTIONARY_BYTES,
-                     sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> bytes:
+                     sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS, n_docs: int | None = None) -> bytes:
     """A dictionary from serialised id arrays of at most ``sample_docs`` documents, chosen by hash.
 
     A document is in the sample if its hash falls into that share of all rows;
@@ -105,7 +105,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int =
     """
     data, rows = _text_of(tokenizer), documents(docs).filter("text <> ''")
     h = F.xxhash64("doc_id", "text")
-    share = min(1.0, sample_docs / max(rows.count(), 1))
+    share = min(1.0, sample_docs / max(rows.count() if n_docs is None else n_docs, 1))
     long = F.greatest(F.length("text") - sample_chars, F.lit(0))
     piece = F.substring("text", (F.pmod(h, long + 1) + 1).cast("int"), F.lit(sample_chars))
     # hashes are even over 64 bits: the rows expected below the bound are the sample's size
@@ -113,7 +113,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int =
             .orderBy("h").collect())
     if not rows:
         return b""
-    model = ByteLevel(data)
+    model = byte_level_tokenizer(data)
     ends, ids = _ids(model, pa.array([r.text for r in rows], pa.large_string()), end_id)
     samples = [a.tobytes() for a in np.split(ids.astype(_dtype(model, end_id)), ends[:-1])]
     try:
@@ -181,16 +181,16 @@ def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id: int =
           block_bytes: int = BLOCK_BYTES, dictionary: bytes | None = None) -> str:
     """Write the ids of every document under ``path`` (a new folder); returns ``path``."""
     spark, rows, data = docs.sparkSession, documents(docs), _text_of(tokenizer)
+    total, n_docs = (x or 0 for x in rows.agg(F.sum(F.octet_length("text")), F.count_if(F.col("text") != "")).first())
     if dictionary is None:
-        dictionary = train_dictionary(docs, tokenizer, end_id)
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        dictionary = train_dictionary(docs, tokenizer, end_id, n_docs=n_docs)
     files = max(ceil_div(total, file_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
     order = [F.asc_nulls_first("doc_id"), F.asc("h"), F.asc("place")]
     dealt = (rows.withColumn("h", F.xxhash64("text")).withColumn("place", F.monotonically_increasing_id())
              .repartitionByRange(files, *order).sortWithinPartitions(*order).select("doc_id", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, file = ByteLevel(data), TaskContext.get().partitionId()
+        model, file = byte_level_tokenizer(data), TaskContext.get().partitionId()
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=_zdict(dictionary), write_checksum=True)
         for number, batch in enumerate(steps(batches, step_bytes=block_bytes)):
             ends, ids = _ids(model, batch.column("text"), end_id)
