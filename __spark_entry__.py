@@ -22,9 +22,7 @@ from rowguard import requirements as Q  # noqa: E402
 try:  # the training-data operators are optional: the library works without them
     import corpus_pipeline
     from rowguard.llm import queries as L
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "rowguard.llm"):
-        raise
+except ImportError:  # absent, or one of its dependencies is
     corpus_pipeline = L = None
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -488,6 +486,44 @@ def oracle_sql() -> dict[str, str]:
         "CASE WHEN COALESCE(CAST(ABS(rows_a - rows_b) AS DOUBLE) * 100.0 / NULLIF(rows_a, 0), "
         "CASE WHEN rows_b = 0 THEN 0.0 ELSE 100.0 END) <= 1.0 THEN 'pass' ELSE 'fail' END AS outcome FROM s"
     )
+    q["run_results"] = CHECK_RESULTS
+    q["run_parts"] = (
+        LINEITEM_FLAGS + ", s AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE NOT " + _any() + ") AS v, "
+        f"COUNT(*) FILTER (WHERE {_any('error')}) AS e, COUNT(*) FILTER (WHERE {_any('warn')}) AS w FROM f) "
+        "SELECT n AS input_row_count, v AS valid_row_count, e AS error_row_count, w AS warning_row_count, "
+        f"o.failed_checks, o.passed, v AS valid_rows, n - v AS quarantine_rows FROM s, ({q['overall']}) o"
+    )
+    given = "(SELECT ROUND(COUNT(*) FILTER (WHERE p_size > 25) * 100.0 / COUNT(*), 4) FROM part)"
+    by_table = "r.name IN ('returnflag_valid', 'supplier_active', 'line_unique')"
+    strict = ", ".join(f"'{r[0]}'" for r in LINEITEM_RULES if r[6])
+    q["threshold_results"] = (
+        f"WITH t AS (SELECT name, failed_rows, row_count, failed_pct, CASE WHEN {by_table} THEN {given} ELSE max_failed_pct END AS allowed "
+        f"FROM ({CHECK_RESULTS}) r) SELECT name, failed_pct, ROUND(CAST(allowed AS DOUBLE), 4) AS max_failed_pct, "
+        f"CASE WHEN name IN ({strict}) THEN {_pct('failed_rows', 'row_count')} < allowed "
+        f"ELSE {_pct('failed_rows', 'row_count')} <= allowed END AS passed FROM t"
+    )
+    q["failed_results"] = f'SELECT "check", metric, unexpected_pct FROM ({SUITE_RESULTS}) WHERE NOT success'
+    cheap = f"COALESCE({UNIT_PRICE} < 1000, FALSE)"
+    taxed = "COALESCE(l_discount >= 0.09 AND l_tax > 0.07, FALSE)"
+    late = "COALESCE(l_linenumber > 6, FALSE)"
+    q["user_rows"] = (
+        f"SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, concat_ws(';', CASE WHEN {cheap} THEN 'cheap_unit' END, "
+        f"CASE WHEN {late} THEN 'late_line' END) AS errors, concat_ws(';', CASE WHEN {taxed} THEN 'free_and_taxed' END) AS warnings "
+        f"FROM lineitem WHERE {cheap} OR {late} OR {taxed}"
+    )
+    q["fk_composite"] = (
+        f"SELECT {KEYS}, 'pair_known;pair_known_by_key' AS errors FROM lineitem l WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL "
+        "AND NOT EXISTS (SELECT 1 FROM lineitem r WHERE r.l_returnflag = 'N' AND r.l_partkey = l.l_partkey AND r.l_suppkey = l.l_suppkey)"
+    )
+    q["scan_errors"] = (
+        f'SELECT "check", metric, value, failed_rows, outcome FROM ({SCAN_RESULTS}) UNION ALL '
+        "SELECT 'no_such_column', 'missing_count', NULL, NULL, 'error' UNION ALL "
+        "SELECT 'zero_divisor', 'expression', NULL, NULL, CASE WHEN COUNT(*) FILTER (WHERE l_linenumber = 1) > 0 THEN 'error' ELSE 'pass' END FROM lineitem"
+    )
+    q["percentile_rank"] = (
+        "SELECT 'p' || CAST(p AS VARCHAR) AS \"check\", (SELECT COUNT(l_extendedprice) FROM lineitem) AS n, TRUE AS within_bound "
+        "FROM (VALUES (10), (50), (90)) v(p)"
+    )
     if L is not None:
         q.update(L.ORACLE)
     return q

@@ -29,6 +29,7 @@ from rowguard.operators.metrics import MetricCheck, Threshold, evaluate, evaluat
 from rowguard.plans.annotate import annotate, apply_checks
 from rowguard.plans.expectations import suite_statistics, validate
 from rowguard.plans.results import check_results, issue_counts, issues, overall, split, summary
+from rowguard.plans.run import CheckRun, run_checks
 from rowguard.plans.scan import scan
 
 __all__ = [
@@ -37,5 +38,5 @@ __all__ = [
     "PairGreater", "RegexMatch", "Rule", "Satisfies", "Unique", "in_dimension",
     "suite", "annotate", "apply_checks", "check_results", "issues", "overall",
     "split", "summary", "MetricCheck", "Threshold", "evaluate", "evaluate_many", "when",
-    "suite_statistics", "validate", "issue_counts", "scan",
+    "suite_statistics", "validate", "issue_counts", "scan", "CheckRun", "run_checks",
 ]

@@ -6,9 +6,9 @@ with ``fail`` / ``warn`` :class:`Threshold` s (when that number is bad).
 ``evaluate`` compiles every *fusable* measure of a frame into ONE
 ``df.agg(...)`` (one scan, partial aggregation, a one-row result) and turns
 that row into one result row per check with ``inline``. Measures that need
-their own shape (duplicate groups: a group-by; reference checks: a join;
-user SQL) produce their own one-row frames; all parts are unioned, never
-joined, and nothing is collected to the driver.
+their own shape produce one-row frames: one for all duplicate checks, one for
+all value sets, one a reference check (a join) or SQL metric. All parts are
+unioned, never joined; only exact quantiles collect their few bounds.
 
 Result schema (one row per check)::
 
@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, ParseException, PySparkException, PythonException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +31,7 @@ from rowguard.checks import Check
 from rowguard.functions import predicates as P
 from rowguard.operators import aggregates as A
 from rowguard.operators import keys as K
+from rowguard.operators.quantiles import exact_quantiles, exact_quantiles_of
 
 RESULT_SCHEMA = T.StructType([
     T.StructField("check", T.StringType(), False),
@@ -110,6 +111,11 @@ class Measure:
         """For non-fusable measures: a one-row frame with the columns of ``outputs``."""
         raise NotImplementedError
 
+    @classmethod
+    def frame_of(cls, df: DataFrame, group: Sequence[tuple["Measure", str]]) -> DataFrame | None:
+        """One such frame for several measures of this class, if they can share their work."""
+        return None
+
     def row_condition(self, df: DataFrame) -> Column | None:
         """The failing condition when failing rows are a plain row filter."""
         return None
@@ -215,8 +221,9 @@ class Quantiles(Measure):
     """DST-10 / AGG-5 / AGG-6: quantiles of a column, each against an
     inclusive range ``(lo, hi)`` (``None`` = open end). ``method``:
     ``disc`` (exact, a value of the column), ``cont`` (exact, interpolated)
-    or ``approx`` (``percentile_approx`` with ``accuracy``; the default at
-    scale, since exact percentiles keep all distinct values in the state)."""
+    or ``approx`` (``percentile_approx`` with ``accuracy``: one pass, fused
+    with the other checks; exact ones take a few narrow passes, which all exact
+    quantiles of a frame share)."""
 
     column: str
     quantiles: tuple
@@ -248,9 +255,9 @@ class Quantiles(Measure):
                 for i, q in enumerate(self.quantiles)]
         return out
 
-    def frame(self, df, p):
-        from rowguard.operators.quantiles import exact_quantiles
-        rows, values = exact_quantiles(df, self.column, self.quantiles, self.method)
+    def frame(self, df, p, known=None):
+        """``known``: (rows, values) if they were found together with other checks'."""
+        rows, values = known or exact_quantiles(df, self.column, self.quantiles, self.method)
         kind = T.DoubleType() if self.method == "cont" else df.select(P.col(self.column)).schema[0].dataType
         schema = T.StructType([T.StructField(f"{p}_rows", T.LongType())] + [
             T.StructField(f"{p}_q{i}", kind) for i in range(len(values))])
@@ -309,6 +316,7 @@ class DistinctInSet(Measure):
 
     column: str
     values: tuple
+    fusable = False
     metric = "distinct_values_not_in_set"
 
     def __post_init__(self):
@@ -317,16 +325,34 @@ class DistinctInSet(Measure):
     def _bad(self):
         return P.not_in_list(self.column, self.values)
 
-    def aggregates(self, df, p):
-        return [
-            F.count(F.lit(1)).alias(f"{p}_rows"),
-            F.count_if(self._bad()).alias(f"{p}_failed"),
-            F.count_if(P.col(self.column).isNotNull()).alias(f"{p}_considered"),
-        ]
+    @classmethod
+    def frame_of(cls, df, group):
+        """All sets of a frame from one scan and one shuffle: every row gives an
+        entry a check, whose value stays only where it is unexpected, and entries
+        are counted in two levels, first by value and then by check."""
+        slots = {m._kind(df).simpleString(): m._kind(df) for m, _ in group}
+        entries = []
+        for i, (m, _) in enumerate(group):
+            bad, own = m._bad(), m._kind(df).simpleString()
+            values = [F.when(bad, P.col(m.column) if t == own else F.lit(None)).cast(kind).alias(f"v{k}") for k, (t, kind) in enumerate(slots.items())]
+            entries.append(F.struct(F.lit(i).alias("c"), P.col(m.column).isNotNull().alias("known"), bad.alias("bad"), *values))
+        counted = df.select(F.inline(F.array(*entries))).groupBy("c", "known", "bad", *[f"v{k}" for k in range(len(slots))]).agg(F.count(F.lit(1)).alias("n"))
+        out = []
+        for i, (_, p) in enumerate(group):
+            own = F.col("c") == i
+            total = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("bigint")
+            out += [total(own).alias(f"{p}_rows"), total(own & F.col("known")).alias(f"{p}_considered"),
+                    total(own & F.col("bad")).alias(f"{p}_failed"), F.count_if(own & F.col("bad")).alias(f"{p}_distinct")]
+        return counted.agg(*out)
+
+    def frame(self, df, p):
+        return self.frame_of(df, [(self, p)])
+
+    def _kind(self, df):
+        return df.select(P.col(self.column)).schema[0].dataType
 
     def outputs(self, p, df=None):
-        n_distinct = self.unexpected(df).agg(F.count(F.lit(1))).scalar()
-        return dict(value=n_distinct, row_count=_rows(p), considered=F.col(f"{p}_considered"),
+        return dict(value=F.col(f"{p}_distinct"), row_count=_rows(p), considered=F.col(f"{p}_considered"),
                     failed=F.col(f"{p}_failed"))
 
     def unexpected(self, df: DataFrame) -> DataFrame:
@@ -358,16 +384,22 @@ class Duplicates(Measure):
     def metric(self):
         return "duplicate_percent" if self.percent else "duplicate_rows"
 
+    @classmethod
+    def frame_of(cls, df, group):
+        sets = list(dict.fromkeys((m.columns, m.nulls_distinct) for m, _ in group))
+        s, out = K.duplicate_stats_of(df, sets), []
+        for m, p in group:
+            i = sets.index((m.columns, m.nulls_distinct))
+            rows, failed = F.col(f"row_count_{i}"), F.col(f"duplicate_rows_{i}")
+            value = F.coalesce(F.try_divide(failed * F.lit(100.0), rows), F.lit(0.0)) if m.percent else failed
+            out += [
+                value.alias(f"{p}_value"), rows.alias(f"{p}_rows"), F.col(f"considered_rows_{i}").alias(f"{p}_considered"), failed.alias(f"{p}_failed"),
+                F.concat(F.lit("duplicate_groups="), F.col(f"duplicate_groups_{i}").cast("string"),
+                         F.lit(", excess_rows="), F.col(f"excess_rows_{i}").cast("string")).alias(f"{p}_details")]
+        return s.select(*out)
+
     def frame(self, df, p):
-        s = K.duplicate_stats(df, self.columns, self.nulls_distinct)
-        failed = F.col("duplicate_rows")
-        value = F.coalesce(F.try_divide(failed * F.lit(100.0), F.col("row_count")), F.lit(0.0)) if self.percent else failed
-        return s.select(
-            value.alias(f"{p}_value"), F.col("row_count").alias(f"{p}_rows"),
-            F.col("considered_rows").alias(f"{p}_considered"), failed.alias(f"{p}_failed"),
-            F.concat(F.lit("duplicate_groups="), F.col("duplicate_groups").cast("string"),
-                     F.lit(", excess_rows="), F.col("excess_rows").cast("string")).alias(f"{p}_details"),
-        )
+        return self.frame_of(df, [(self, p)])
 
     def outputs(self, p, df=None):
         return dict(value=F.col(f"{p}_value"), row_count=_rows(p), considered=F.col(f"{p}_considered"),
@@ -544,45 +576,67 @@ def _error_frame(spark, check: MetricCheck, err: Exception) -> DataFrame:
     )
 
 
-def evaluate(df: DataFrame, checks: Sequence[MetricCheck]) -> DataFrame:
+def _alone(df: DataFrame, check: MetricCheck, p: str, known=None) -> DataFrame:
+    """The result row of one check from its own aggregation or frame (analysed, not run)."""
+    if check.measure.fusable:
+        one = df.agg(*check.measure.aggregates(df, p))
+    else:
+        one = check.measure.frame(df, p, known) if known else check.measure.frame(df, p)
+    return one.select(F.inline(F.array(*_structs([(check, p)], one, df))))
+
+
+def shared_quantiles(df: DataFrame, checks: Sequence[MetricCheck]) -> dict[str, tuple[int, list]]:
+    """(rows, values) by check name for all exact quantiles, found in shared rounds.
+
+    Nothing if they cannot be found together (a wrong column, an expression that
+    fails): then every check finds its own, and only the wrong one is in error.
+    """
+    exact = [c for c in checks if isinstance(c.measure, Quantiles) and not c.measure.fusable]
+    if len(exact) < 2:
+        return {}
+    try:
+        rows, values = exact_quantiles_of(df, [(c.measure.column, c.measure.quantiles, c.measure.method) for c in exact])
+    except (PySparkException, ValueError) as err:
+        if not is_data_error(err):
+            raise
+        return {}
+    return {c.name: (rows, v) for c, v in zip(exact, values)}
+
+
+def evaluate(df: DataFrame, checks: Sequence[MetricCheck], known: dict[str, tuple[int, list]] | None = None) -> DataFrame:
     """Evaluate metric checks on one frame; one result row per check.
 
-    All fusable measures share one aggregation job over ``df``. A check
-    whose plan cannot be built (bad SQL, unknown column) yields an
-    ``error`` row and the others go on (VRD-9).
+    All fusable measures share one aggregation job over ``df``; duplicate checks
+    share one scan and shuffle of key hashes, value sets one of unexpected values,
+    exact quantiles their rounds (``known``: already found). A check whose plan
+    cannot be built (bad SQL, unknown column) yields an ``error`` row and the
+    others stay fused (VRD-9).
     """
     names = [c.name for c in checks]
     if len(set(names)) != len(names):
         raise ValueError("metric check names must be unique")
     spark = df.sparkSession
+    known = shared_quantiles(df, checks) if known is None else known
     parts: list[DataFrame] = []
-    fused_aggs: list[Column] = []
-    fused: list[tuple[MetricCheck, str]] = []
-    for i, check in enumerate(checks):
-        p = f"m{i}"
-        try:
-            if check.measure.fusable:
-                aggs = check.measure.aggregates(df, p)
-                fused_aggs.extend(aggs)
-                fused.append((check, p))
-            else:
-                one = check.measure.frame(df, p)
-                parts.append(one.select(F.inline(F.array(*_structs([(check, p)], one, df)))))
-        except (PySparkException, ValueError) as err:
-            parts.append(_error_frame(spark, check, err))
+    fused = [(c, f"m{i}") for i, c in enumerate(checks) if c.measure.fusable]
+    own = [(c, f"m{i}") for i, c in enumerate(checks) if not c.measure.fusable]
+    for kind in dict.fromkeys(type(c.measure) for c, _ in own):
+        group = [(c, p) for c, p in own if type(c.measure) is kind]
+        together = _together(df, kind, group) if len(group) > 1 else None
+        parts.extend([together] if together is not None else [_analysed(df, c, p, known.get(c.name)) for c, p in group])
     if fused:
         try:
-            one = df.agg(*fused_aggs)
+            one = df.agg(*[a for c, p in fused for a in c.measure.aggregates(df, p)])
             structs = _structs(fused, one, df)
+        except (PySparkException, ValueError):
+            # analysis alone, no job: the checks that have a plan stay together
+            errors = {c.name: e for c, p in fused if (e := _analysed(df, c, p, only_error=True)) is not None}
+            parts.extend(errors.values())
+            fused = [(c, p) for c, p in fused if c.name not in errors]
+            one = df.agg(*[a for c, p in fused for a in c.measure.aggregates(df, p)]) if fused else None
+            structs = _structs(fused, one, df) if fused else []
+        if fused:
             parts.insert(0, one.select(F.inline(F.array(*structs))))
-        except PySparkException:
-            # isolate the failing checks: evaluate each fused check alone
-            for c, p in fused:
-                try:
-                    one = df.agg(*c.measure.aggregates(df, p))
-                    parts.append(one.select(F.inline(F.array(*_structs([(c, p)], one, df)))))
-                except PySparkException as err:
-                    parts.append(_error_frame(spark, c, err))
     if not parts:
         return spark.createDataFrame([], RESULT_SCHEMA)
     out = parts[0]
@@ -591,23 +645,74 @@ def evaluate(df: DataFrame, checks: Sequence[MetricCheck]) -> DataFrame:
     return out
 
 
+def _together(df: DataFrame, kind: type[Measure], group: list[tuple[MetricCheck, str]]) -> DataFrame | None:
+    """The result rows of checks whose measures share a frame; None if they do not, or one has no plan."""
+    try:
+        one = kind.frame_of(df, [(c.measure, p) for c, p in group])
+        return None if one is None else one.select(F.inline(F.array(*_structs(group, one, df))))
+    except (PySparkException, ValueError) as err:
+        if not is_data_error(err):
+            raise
+        return None
+
+
+def _analysed(df: DataFrame, check: MetricCheck, p: str, known=None, only_error: bool = False) -> DataFrame | None:
+    """A check's own frame, or its ``error`` row if it has no plan."""
+    try:
+        alone = _alone(df, check, p, known)
+        alone.schema  # noqa: B018 - analysis, where the session is remote
+        return None if only_error else alone
+    except (PySparkException, ValueError) as err:
+        if not is_data_error(err):
+            raise
+        return _error_frame(df.sparkSession, check, err)
+
+
+#: SQLSTATE classes of what a query or its data is to blame for: dynamic and data
+#: exceptions, cardinality, unsupported features, syntax and access, routines, raised errors
+DATA_STATES = ("07", "0A", "21", "22", "2F", "38", "39", "42", "P0")
+
+
+def is_data_error(err: Exception) -> bool:
+    """Whether a check, not the cluster, is to blame: a lost executor is no check's result."""
+    if isinstance(err, (AnalysisException, ParseException, PythonException)):
+        return True
+    if isinstance(err, PySparkException):
+        return (err.getSqlState() or "").startswith(DATA_STATES)
+    return isinstance(err, ValueError)
+
+
 def evaluate_isolated(df: DataFrame, checks: Sequence[MetricCheck]) -> DataFrame:
     """Like :func:`evaluate`, but a check that fails *at run time* (e.g. an
     ANSI division by zero in a user expression) becomes an ``error`` row
-    while the others are still reported. Runs now: first all checks in the
-    fused plan; only if that job fails, each check alone. The result (one
-    row per check) is returned as a small local frame."""
+    while the others are still reported (VRD-9).
+
+    Runs now: all checks in one evaluation; if that fails through a check's own
+    fault, the checks are halved until the failing ones are alone, so one failing
+    check of n costs at most 2 log2(n) + 1 evaluations. Any other failure (lost
+    executors, full disks) is raised. The result, one row per check, is a small
+    local frame.
+    """
     spark = df.sparkSession
-    try:
-        return spark.createDataFrame(evaluate(df, checks).collect(), RESULT_SCHEMA)
-    except Exception:  # noqa: BLE001 - any run-time failure isolates per check
-        rows = []
-        for check in checks:
+    known = shared_quantiles(df, checks)
+
+    def run(group: list[MetricCheck], failing: bool = False) -> list:
+        """Result rows; ``failing``: the group is known to fail as a whole."""
+        if not failing or len(group) == 1:
             try:
-                rows.extend(evaluate(df, [check]).collect())
-            except Exception as err:  # noqa: BLE001
-                rows.extend(_error_frame(spark, check, err).collect())
-        return spark.createDataFrame(rows, RESULT_SCHEMA)
+                return evaluate(df, group, known).collect()
+            except PySparkException as err:
+                if not is_data_error(err):
+                    raise
+                if len(group) == 1:
+                    return _error_frame(spark, group[0], err).collect()
+        half = len(group) // 2
+        first = run(group[:half])
+        # a first half without a failing check leaves it to the second
+        second = run(group[half:], failing=not any(r.outcome == "error" for r in first))
+        return first + second
+
+    return spark.createDataFrame(run(list(checks)) if checks else [], RESULT_SCHEMA)
 
 
 def evaluate_many(frames: dict[str, DataFrame], checks: Sequence[MetricCheck]) -> DataFrame:

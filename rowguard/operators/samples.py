@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,16 @@ def failed_rows(df: DataFrame, check: MetricCheck) -> DataFrame | None:
     return check.measure.failing_rows(df)
 
 
+def _has_plan(df: DataFrame, check: MetricCheck) -> bool:
+    """Whether the check's failing rows can be asked for (analysis, no job)."""
+    try:
+        cond = None if check.failed_rows_query else check.measure.row_condition(df)
+        rows = failed_rows(df, check) if cond is None else df.select(cond)
+        return rows is None or bool(rows.columns)
+    except AnalysisException:
+        return False
+
+
 def _fused_samples(df: DataFrame, fused: list[tuple[str, F.Column, int]],
                    order_by: Sequence[str] | None) -> DataFrame:
     """Samples of all limited row-condition checks from ONE scan: each row
@@ -72,10 +83,14 @@ def samples(
     Checks whose failing rows are a row condition share one scan; the
     others (duplicate groups, reference keys) each take an ordered limit of
     their own failing rows. Verdicts are not looked at: a check that passes
-    within its tolerance still shows the rows that failed it. Returns ``None`` when no check defines failing rows.
+    within its tolerance still shows the rows that failed it. A check that
+    names an unknown column or has a wrong query shows none. Returns ``None``
+    when no check defines failing rows.
     """
     parts, fused = [], []
     for check in checks:
+        if not _has_plan(df, check):
+            continue  # its result row says why
         n = check.samples_limit
         if n is None and not check.failed_rows_query:
             n = limit  # a query without a limit of the check's own runs as written

@@ -79,6 +79,11 @@ def annotate(df: DataFrame, rules: Sequence[Rule], messages: str = "static") ->
     ``messages``: ``'static'`` (default; rule text, the row's values are in
     the row itself) or ``'values'`` (the failing values in the text).
     """
+    return _annotate(df, rules, messages)
+
+
+def _annotate(df: DataFrame, rules: Sequence[Rule], messages: str, obs: Observation | None = None) -> DataFrame:
+    """``annotate``; ``obs`` gets the counts of rows and of each rule's failures."""
     if messages not in MESSAGES:
         raise ValueError(f"messages must be one of {MESSAGES}")
     rules = suite(rules)
@@ -89,8 +94,12 @@ def annotate(df: DataFrame, rules: Sequence[Rule], messages: str = "static") ->
         work = rule.check.prepare(work, df, tag)
     empty = F.array().cast(ISSUES_DDL)
     errors, warnings = [], []
-    for rule, tag in zip(rules, tags):
+    flags = []
+    for i, (rule, tag) in enumerate(zip(rules, tags)):
         cond = rule.check.condition(work, df, tag)
+        flags.append(cond.alias(f"__rg{run}_c{i}"))
+        if obs is not None:  # the same condition fills the issue and is counted
+            cond = F.col(f"__rg{run}_c{i}")
         (errors if rule.criticality == "error" else warnings).append(_issue(rule, cond, tag, messages, empty))
     # a frame annotated before keeps its issues; new ones are appended
     have = {c.lower() for c in df.columns}
@@ -99,18 +108,29 @@ def annotate(df: DataFrame, rules: Sequence[Rule], messages: str = "static") ->
         errors = [F.col(ERRORS).cast(ISSUES_DDL)] + errors
     if WARNINGS in have:
         warnings = [F.col(WARNINGS).cast(ISSUES_DDL)] + warnings
-    return work.select(*keep, _issue_array(errors, empty).alias(ERRORS), _issue_array(warnings, empty).alias(WARNINGS))
+    issues = [_issue_array(errors, empty).alias(ERRORS), _issue_array(warnings, empty).alias(WARNINGS)]
+    if obs is None:
+        return work.select(*keep, *issues)
+    names = [f"__rg{run}_c{i}" for i in range(len(rules))]
+    counted = work.select("*", *flags).select(*keep, *issues, *names)
+    return counted.observe(obs, *summary_columns(), *[
+        F.count_if(F.col(n)).alias(f"failed_{i}") for i, n in enumerate(names)]).drop(*names)
 
 
 def apply_checks(
-    df: DataFrame, rules: Sequence[Rule], name: str = "dq_metrics", messages: str = "static"
+    df: DataFrame, rules: Sequence[Rule], name: str = "dq_metrics", messages: str = "static", per_rule: bool = False,
 ) -> tuple[DataFrame, Observation]:
     """APP-1 + AGG-11: annotated frame with an attached ``Observation`` of
     ``input_row_count``, ``valid_row_count``, ``error_row_count``,
-    ``warning_row_count`` (filled by the first action; no extra count job)."""
-    annotated = annotate(df, rules, messages)
+    ``warning_row_count`` (filled by the first action; no extra count job).
+
+    ``per_rule`` also counts ``failed_i``, the rows that fail the i-th rule, from
+    the rules' conditions; ``results.observed_results`` makes verdicts of them.
+    """
     obs = Observation(name)
-    return annotated.observe(obs, *summary_columns()), obs
+    if per_rule:
+        return _annotate(df, rules, messages, obs), obs
+    return annotate(df, rules, messages).observe(obs, *summary_columns()), obs
 
 
 def has_errors() -> Column:

@@ -29,14 +29,17 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact_distinct:
     distinct_count, min, max, mean`` (min/max as text, mean for numbers).
 
     ``distinct_count`` is ``approx_count_distinct`` (HyperLogLog, bounded
-    state) unless ``exact_distinct``.
+    state) unless ``exact_distinct``: then columns are unpivoted to (column,
+    value) and counted in two levels, one scan and one shuffle for all of them.
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
+    if exact_distinct:
+        return _exact_profile(df, fields)
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, f in enumerate(fields):
         c = col(f.name)
         aggs.append(F.count_if(c.isNull()).alias(f"n{i}"))
-        aggs.append((F.count_distinct(c) if exact_distinct else F.approx_count_distinct(c)).alias(f"d{i}"))
+        aggs.append(F.approx_count_distinct(c).alias(f"d{i}"))
         ordered = isinstance(f.dataType, _ORDERED)
         aggs.append((F.min(c).cast("string") if ordered else F.lit(None).cast("string")).alias(f"lo{i}"))
         aggs.append((F.max(c).cast("string") if ordered else F.lit(None).cast("string")).alias(f"hi{i}"))
@@ -53,6 +56,34 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact_distinct:
     return one.select(F.inline(F.array(*rows)))
 
 
+def _exact_profile(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    """The profile from (column, value, rows): values keep their types, one slot a type.
+
+    A value that many rows share is one entry a task, so hot values are cheap.
+    """
+    slots = {t: f"v{k}" for k, t in enumerate(dict.fromkeys(f.dataType.simpleString() for f in fields))}
+    kinds = {f.dataType.simpleString(): f.dataType for f in fields}
+    entries = [
+        F.struct(F.lit(i).alias("c"), col(f.name).isNotNull().alias("known"), *[
+            (col(f.name) if t == f.dataType.simpleString() else F.lit(None).cast(kinds[t])).alias(v) for t, v in slots.items()])
+        for i, f in enumerate(fields)]
+    values = df.select(F.inline(F.array(*entries))).groupBy("c", "known", *slots.values()).agg(F.count(F.lit(1)).alias("n"))
+    aggs, rows = [], []
+    for i, f in enumerate(fields):
+        t, own = f.dataType.simpleString(), F.col("c") == i
+        v, known = F.col(slots[t]), own & F.col("known")
+        total = lambda cond, x: F.coalesce(F.sum(F.when(cond, x)), F.lit(0)).cast("bigint")
+        ordered, numeric = isinstance(f.dataType, _ORDERED), isinstance(f.dataType, _NUMERIC)
+        aggs += [total(own, F.col("n")).alias(f"r{i}"), total(own & ~F.col("known"), F.col("n")).alias(f"n{i}"), F.count_if(known).alias(f"d{i}")]
+        for name, pick in (("lo", F.min), ("hi", F.max)):
+            aggs.append((pick(F.when(own, v)).cast("string") if ordered else F.lit(None).cast("string")).alias(f"{name}{i}"))
+        weighed = F.sum(F.when(known, v.cast("double") * F.col("n"))) / F.nullif(total(known, F.col("n")), F.lit(0)) if numeric else F.lit(None).cast("double")
+        aggs.append(weighed.alias(f"m{i}"))
+        rows.append(F.struct(F.lit(f.name).alias("column"), F.lit(t).alias("type"), F.col(f"r{i}").alias("row_count"), F.col(f"n{i}").alias("null_count"),
+                             F.col(f"d{i}").alias("distinct_count"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"), F.col(f"m{i}").alias("mean")))
+    return values.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
 def propose_rules(df: DataFrame, columns: Sequence[str] | None = None, max_values: int = 20,
                   criticality: str = "warn") -> list[C.Rule]:
     """EXT-5: rules a profile suggests: not-null for columns without nulls,

@@ -7,7 +7,7 @@ DataFrames; nothing is collected to the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,13 +25,34 @@ def split(annotated: DataFrame) -> tuple[DataFrame, DataFrame]:
     OR for the valid side, which put rows with an error but no warning in
     both outputs).
     """
-    return annotated.where(is_valid()), annotated.where(has_errors() | has_warnings())
+    return (part(annotated.where(is_valid()), "valid"),
+            part(annotated.where(has_errors() | has_warnings()), "quarantine"))
+
+
+#: key of the errors column's metadata that names a part of a split frame
+PART = "rowguard_part"
+
+
+def part(df: DataFrame, name: str) -> DataFrame:
+    """Say so in the frame's schema (and in files written from it) that rows were taken out."""
+    return df.withMetadata(ERRORS, {PART: name})
+
+
+def _whole(annotated: DataFrame) -> DataFrame:
+    """The frame, unless it is a part of one: percentages of a part are not those of the input."""
+    name = annotated.schema[ERRORS].metadata.get(PART)
+    if name:
+        raise ValueError(f"this is the {name} part of an annotated frame; verdicts and percentages are of the whole input")
+    return annotated
 
 
 def summary(annotated: DataFrame) -> DataFrame:
     """APP-6: one row of counts and percentages of input rows (0 % when
     there are no input rows)."""
-    counts = annotated.agg(*summary_columns())
+    return _with_percent(_whole(annotated).agg(*summary_columns()))
+
+
+def _with_percent(counts: DataFrame) -> DataFrame:
     total = F.col("input_row_count")
 
     def pct(c):
@@ -95,24 +116,46 @@ def check_results(
 ) -> DataFrame:
     """VRD-5 / VRD-6: one row per *rule* (also those with no failing row).
 
-    ``failed_rows`` counted in one fused aggregate over the issue arrays
-    (one pass, partial aggregation, one output row), then turned into one
-    row per rule. ``passed`` = failed_pct <= max_failed_pct (``<`` when the
-    rule is strict). An optional ``thresholds`` frame ``(name,
+    For an annotated frame that is read back: ``failed_rows`` counted in one
+    fused aggregate over the issue arrays (one pass, partial aggregation, one
+    output row), then turned into one row per rule. The part of a split frame is
+    refused. While the frame is being written, :func:`observed_results` gives the
+    same without another pass. ``passed`` = failed_pct <= max_failed_pct (``<``
+    when the rule is strict). An optional ``thresholds`` frame ``(name,
     max_failed_pct)`` overrides the rule's threshold (left join).
     """
     counts = [F.count(F.lit(1)).alias("row_count")]
     for i, r in enumerate(rules):
         arr = ERRORS if r.criticality == "error" else WARNINGS
         counts.append(F.count_if(F.array_contains(F.col(arr).getField("name"), r.name)).alias(f"c{i}"))
-    one = annotated.agg(*counts)
-    per_rule = one.select(
+    per_rule = _whole(annotated).agg(*counts).select(
         "row_count",
         F.explode(F.array(*[
             F.struct(F.lit(i).alias("pos"), F.col(f"c{i}").alias("failed_rows")) for i in range(len(rules))
         ])).alias("r"),
     ).select("row_count", "r.pos", "r.failed_rows")
-    meta = rules_frame(annotated.sparkSession, rules)
+    return _verdicts(per_rule, rules, thresholds, round_to)
+
+
+def observed_results(
+    spark, metrics: Mapping[str, int], rules: Sequence[Rule], thresholds: DataFrame | None = None, round_to: int = 4,
+) -> DataFrame:
+    """VRD-5 / VRD-6 from what ``apply_checks`` observed: ``obs.get`` after the
+    action that wrote the annotated frame. No job over the rows; the input's
+    size is the observed one, so no later filter can change a percentage."""
+    per_rule = spark.createDataFrame(
+        [(metrics["input_row_count"], i, metrics[f"failed_{i}"]) for i in range(len(rules))], "row_count long, pos int, failed_rows long")
+    return _verdicts(per_rule, rules, thresholds, round_to)
+
+
+def observed_summary(spark, metrics: Mapping[str, int]) -> DataFrame:
+    """APP-6 from what ``apply_checks`` observed."""
+    names = ("input_row_count", "valid_row_count", "error_row_count", "warning_row_count")
+    return _with_percent(spark.createDataFrame([tuple(metrics[n] for n in names)], ", ".join(f"{n} long" for n in names)))
+
+
+def _verdicts(per_rule: DataFrame, rules: Sequence[Rule], thresholds: DataFrame | None, round_to: int) -> DataFrame:
+    meta = rules_frame(per_rule.sparkSession, rules)
     out = per_rule.join(F.broadcast(meta), "pos")  # meta holds one row per rule
     if thresholds is not None:
         # one row per name (the strictest allowance if a name repeats)

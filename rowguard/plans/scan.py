@@ -43,13 +43,14 @@ def scan(
     samples_limit: int | None = 3,
     sample_order: Sequence[str] | None = None,
     sample_sink: Callable[[DataFrame], None] | None = None,
-    isolate_errors: bool = False,
+    isolate_errors: bool = True,
 ) -> ScanResult:
     """Evaluate ``checks`` on ``frames[dataset]``; ``sample_sink`` (UDX-3)
     receives the samples DataFrame, e.g. ``writers.write_samples``.
-    ``isolate_errors`` runs the metrics now and turns run-time failures of
-    single checks into ``error`` rows (VRD-9); plan-time failures are
-    isolated either way."""
+    With ``isolate_errors`` (default) the metrics run now and run-time failures
+    of single checks become ``error`` rows (VRD-9); without it the results are
+    lazy and such a failure ends their query. Plan-time failures are isolated
+    either way."""
     register_views(frames)
     df = frames[dataset]
     results = M.evaluate_isolated(df, checks) if isolate_errors else M.evaluate(df, checks)

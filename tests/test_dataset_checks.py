@@ -102,3 +102,66 @@ def test_hot_keys_are_salted_with_same_result(spark):
         assert res == {"u": 302, "fk": 300, "fk_small": 300, "g": 300}, h
     plan = ann._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate explode(sequence(0" in plan
+
+
+def test_hot_keys_are_dealt_by_place_and_any_column_type_works(spark):
+    from rowguard.operators import keys as K
+    df = spark.range(0, 1000, 1, 4).selectExpr("7 AS k", "'same' AS s", "map('a', 1) AS m", "named_struct('x', array(1)) AS st", "parse_json('{\"a\": 1}') AS v")
+    dups = K.duplicate_keys(df, ["k"], ["key"], "n")
+    plan = {}
+    kept = K.F.pmod
+    K.F.pmod = lambda place, buckets: plan.setdefault("deal", kept(place, buckets))
+    try:
+        marked = K.mark_keys(df, ["k"], dups, ["key"], "n", "dup", hot_key_rows=10)
+        buckets = df.withColumn("dup_at", F.monotonically_increasing_id()).withColumn("dup_hb", F.lit(100)).select(plan["deal"].alias("b"))
+    finally:
+        K.F.pmod = kept
+    assert marked.where("dup").count() == 1000 and marked.columns == [*df.columns, "dup"]
+    per = [r["count"] for r in buckets.groupBy("b").count().collect()]
+    assert len(per) == 100 and max(per) <= 20
+    rules = [rg.Rule("u", rg.Unique(["k"])), rg.Rule("g", rg.AggregateBound("k", "count", 10, "max", group_by=("s",))),
+             rg.Rule("f", rg.ForeignKey(["k"], spark.range(3), ["id"], aggregate_keys=True))]
+    assert {r.name: r.failed_rows for r in rg.check_results(rg.annotate(df, rules), rules).collect()} == {"u": 1000, "g": 1000, "f": 1000}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_key_sets_share_one_scan_and_equal_their_own_statistics(spark):
+    from rowguard.operators import keys as K
+    df = spark.createDataFrame(ROWS + [(1, "a", None, None), (None, None, 1.0, "x"), (None, None, 1.0, "x")], FACT)
+    sets = [(["k1"], True), (["k1", "k2"], True), (["k1", "k2"], False), (["k2", "k1"], False), (["g"], True), (["v", "g"], False)]
+    got = K.duplicate_stats_of(df, sets)
+    row = got.first().asDict()
+    for i, (columns, nulls_distinct) in enumerate(sets):
+        want = K.duplicate_stats(df, columns, nulls_distinct).first().asDict()
+        assert {k: row[f"{k}_{i}"] for k in want} == want, columns
+    empty = K.duplicate_stats_of(df.limit(0), sets).first().asDict()
+    assert set(empty.values()) == {0}
+    assert plan_of(K.duplicate_stats_of(spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet"), [(["l_orderkey"], True), (["l_partkey"], True)])).count("Relation") == 1
+
+
+def test_duplicate_checks_of_a_frame_are_one_frame(spark):
+    from rowguard.operators import metrics as M
+    from rowguard.plans import scan as S
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    checks = [S.duplicate_percent("texts", ["text"]), S.duplicate_percent("ids", ["doc_id"]), S.duplicate_percent("both", ["doc_id", "text"])]
+    out = M.evaluate(df, checks)
+    assert plan_of(out).count("Relation") == 1
+    alone = [r for c in checks for r in M.evaluate(df, [c]).collect()]
+    assert sorted(out.collect()) == sorted(alone)
+    wrong = M.evaluate(df, [*checks, S.duplicate_percent("nowhere", ["no_such"])]).collect()
+    assert {r.check: r.outcome for r in wrong} == {"texts": "pass", "ids": "pass", "both": "pass", "nowhere": "error"}
+
+
+def test_value_sets_of_a_frame_share_one_scan(spark):
+    from rowguard.operators import metrics as M
+    from rowguard.plans import expectations as E
+    df = spark.createDataFrame([(1, "a", 1.0), (2, "b", None), (2, None, 3.0), (9, "zz", 3.0), (9, "b", float("nan"))], "k int, s string, x double")
+    checks = [E.expect_distinct_values_in_set("k", [1, 2], name="k"), E.expect_distinct_values_in_set("s", ["a"], name="s"),
+              E.expect_distinct_values_in_set("x", [1.0], name="x"), E.expect_distinct_values_in_set("s", ["a", "b", "zz"], name="all")]
+    got = {r.check: (r.value, r.failed_rows, r.considered_rows, r.row_count, r.success) for r in E.validate(df, checks).collect()}
+    assert got == {"k": (1.0, 2, 5, 5, False), "s": (2.0, 3, 4, 5, False), "x": (2.0, 3, 4, 5, False), "all": (0.0, 0, 4, 5, True)}
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert plan_of(M.evaluate(docs, [E.expect_distinct_values_in_set("lang", ["en"], name="a"), E.expect_distinct_values_in_set("source", ["x"], name="b")])).count("Relation") == 1

@@ -182,3 +182,63 @@ def test_error_rows_keep_the_whole_text(spark):
     check = type("Check", (), {"name": "c", "dimension": "d", "measure": type("Measure", (), {"metric": "m"})})
     assert M._error_frame(spark, check, ValueError(text)).first().details == text
     assert M._error_frame(spark, check, ValueError()).first().details == "ValueError"
+
+
+def evaluations(monkeypatch, work):
+    seen = []
+    kept = M.evaluate
+    monkeypatch.setattr(M, "evaluate", lambda df, checks, *a: seen.append(len(checks)) or kept(df, checks, *a))
+    out = work()
+    monkeypatch.undo()
+    return out, len(seen)
+
+
+def test_failing_checks_are_found_by_halving(spark, df, monkeypatch):
+    good = [S.row_count(f"rows{i}") for i in range(15)]
+    for at in (0, 6, 15):
+        checks = good[:at] + [S.expression_metric("boom", "SUM(k / (k - k))")] + good[at:]
+        got, n = evaluations(monkeypatch, lambda: M.evaluate_isolated(df, checks).collect())  # noqa: B023
+        outcomes = {r.check: r.outcome for r in got}
+        assert outcomes.pop("boom") == "error" and set(outcomes.values()) == {"pass"} and len(got) == 16
+        assert n <= 2 * 4 + 1
+    got, n = evaluations(monkeypatch, lambda: M.evaluate_isolated(df, good).collect())
+    assert n == 1 and len(got) == 15
+    assert M.evaluate_isolated(df, []).count() == 0
+
+
+def test_scan_isolates_run_time_errors_by_default(spark, df):
+    r = {x.check: x for x in S.scan({"rg_iso": df}, "rg_iso", [
+        S.expression_metric("boom", "SUM(k / (k - k))"), S.missing_count("nowhere", "no_such"), S.row_count("rows")]).results.collect()}
+    assert r["boom"].outcome == "error" and "DIVIDE_BY_ZERO" in r["boom"].details
+    assert r["nowhere"].outcome == "error" and r["rows"].value == 5
+
+
+def test_checks_with_a_plan_stay_fused_beside_one_without(spark, df):
+    out = M.evaluate(df, [S.missing_count("nowhere", "no_such"), S.row_count("a"), S.row_count("b"), S.missing_count("c", "k")])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and out.count() == 4
+
+
+def test_a_lost_cluster_is_no_checks_error(spark, df, monkeypatch):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    class Lost(PySparkException):
+        def getSqlState(self):
+            return "58030"
+
+    assert not M.is_data_error(Lost("executor lost")) and not M.is_data_error(PySparkException("no state"))
+    assert not M.is_data_error(RuntimeError("x")) and M.is_data_error(ValueError("x"))
+    monkeypatch.setattr(M, "evaluate", lambda *a: (_ for _ in ()).throw(Lost("executor lost")))
+    with pytest.raises(Lost):
+        M.evaluate_isolated(df, [S.row_count("rows")])
+
+
+def test_exact_quantiles_of_a_suite_share_their_rounds(spark, df, monkeypatch):
+    calls = []
+    kept = M.exact_quantiles_of
+    monkeypatch.setattr(M, "exact_quantiles_of", lambda d, wanted: calls.append(len(wanted)) or kept(d, wanted))
+    checks = [M.MetricCheck(f"q{i}", M.Quantiles(c, (0.5,), method="disc")) for i, c in enumerate(("k", "x"))]
+    assert {r.check: r.outcome for r in M.evaluate(df, checks).collect()} == {"q0": "pass", "q1": "pass"} and calls == [2]
+    bad = [*checks, M.MetricCheck("qs", M.Quantiles("no_such", (0.5,), method="disc"))]
+    assert {r.check: r.outcome for r in M.evaluate(df, bad).collect()} == {"q0": "pass", "q1": "pass", "qs": "error"}

@@ -58,3 +58,15 @@ def test_value_lists_are_decided_by_exact_distinct_counts(spark):
     assert all(len(rules[f"s{c}_in_list"].check.allowed) == 400 for c in "abcdefgh") and "none_in_list" not in rules
     over = Pf.propose_rules(spark.range(800).selectExpr(*columns), max_values=399)
     assert not any(r.name.endswith("_in_list") for r in over)
+
+
+def test_exact_profile_counts_in_two_levels(spark):
+    df = spark.createDataFrame([(1, "a", 1.5, dt.date(2024, 1, 1), [1]), (1, None, None, None, [1]), (4, "", 2.5, None, None)], SCHEMA + ", e array<int>")
+    p = {r.column: r for r in Pf.profile(df, exact_distinct=True).collect()}
+    assert [(c, p[c].row_count, p[c].null_count, p[c].distinct_count) for c in "ksxde"] == [
+        ("k", 3, 0, 2), ("s", 3, 1, 2), ("x", 3, 1, 2), ("d", 3, 2, 1), ("e", 3, 1, 1)]
+    assert (p["k"].mean, p["x"].mean, p["s"].min, p["s"].max, p["e"].min, p["d"].mean) == (2.0, 2.0, "", "a", None, None)
+    none = Pf.profile(df.limit(0), exact_distinct=True).collect()
+    assert len(none) == 5 and all(r.row_count == r.distinct_count == 0 and r.mean is None for r in none)
+    plan = Pf.profile(spark.read.parquet("/root/testdata/sf0.001/orders.parquet"), exact_distinct=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Expand" not in plan

@@ -105,3 +105,47 @@ def test_repeated_threshold_names_do_not_multiply_rows(spark):
     res = check_results(ann, rules(), thresholds=t).collect()
     assert len(res) == 4
     assert [r.max_failed_pct for r in res if r.name == "s_null"] == [30.0]
+
+
+def test_one_evaluation_feeds_split_summary_and_verdicts(spark, scratch):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    run = rg.run_checks(df, rules(), f"{scratch}/run")
+    ann = rg.annotate(df, rules())
+    assert sorted(run.results().collect()) == sorted(check_results(ann, rules()).collect())
+    assert run.summary().first() == summary(ann).first() and run.overall().first() == overall(check_results(ann, rules())).first()
+    valid, bad = split(ann)
+    assert sorted(run.valid.collect()) == sorted(valid.collect()) and sorted(run.quarantine.collect()) == sorted(bad.collect())
+    t = spark.createDataFrame([("x_limit", 10.0)], "name string, max_failed_pct double")
+    assert not {r.name: r.passed for r in run.results(t).collect()}["x_limit"]
+
+
+def test_one_evaluation_is_one_pass_over_the_rows(spark, scratch):
+    seen = spark.sparkContext.accumulator(0)
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.createDataFrame(ROWS, SCHEMA).mapInArrow(count, SCHEMA)
+    run = rg.run_checks(df, rules(), f"{scratch}/pass")
+    run.results().collect()
+    run.summary().collect()
+    assert (run.valid.count(), run.quarantine.count()) == (2, 3) and seen.value == len(ROWS)
+
+
+def test_verdicts_of_a_part_are_refused(spark, scratch):
+    import pytest
+    ann = rg.annotate(spark.createDataFrame(ROWS, SCHEMA), rules())
+    for part in (*split(ann), split(ann)[1].where("k > 1"), rg.run_checks(spark.createDataFrame(ROWS, SCHEMA), rules(), f"{scratch}/q").quarantine):
+        with pytest.raises(ValueError, match="part of an annotated frame"):
+            check_results(part, rules())
+        with pytest.raises(ValueError):
+            summary(part)
+    split(ann)[1].write.parquet(f"{scratch}/written")
+    with pytest.raises(ValueError):
+        check_results(spark.read.parquet(f"{scratch}/written"), rules())
+
+
+def test_one_evaluation_of_an_empty_frame(spark, scratch):
+    run = rg.run_checks(spark.createDataFrame([], SCHEMA), rules(), f"{scratch}/empty")
+    assert {r.name: (r.failed_rows, r.failed_pct) for r in run.results().collect()}["x_limit"] == (0, 0.0)
+    assert run.valid.count() == 0 and run.summary().first().valid_pct == 0.0
