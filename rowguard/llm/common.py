@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -54,6 +56,15 @@ def ceil_div(a: int, b: int) -> int:
     return -(-a // b)
 
 
+def release() -> None:
+    """Give a worker's free memory back: workers are kept for later tasks, of other operators too."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 # ------------------------------------------------------------ Arrow batches
 
 def steps(batches: Iterator[pa.RecordBatch], text: str = "text",

@@ -16,9 +16,12 @@ Two models share that walk:
   merged), so the check is local, one position has one valid last piece, and
   the walk gives the ids of the merge procedure without merging whole texts.
 
-No piece holds a space mark after another character, hence every word start is
-a boundary on which all paths agree; spans between two such boundaries are
-memoised per worker (bounded).
+Where no piece holds a space mark, sign or line end after another character
+(which is read from the model), every word start, sign after a letter and line
+begin is a boundary on which all paths agree, see ``spans.py``. A batch walks each
+distinct span between two such boundaries once; spans of earlier batches are
+remembered, bounded by bytes and forgotten with the task. Ids and surface bytes of
+the batch are then gathered. A model without this property walks whole texts.
 
 Defined results: null or empty text gives no ids and decodes to "" ; characters
 without a piece become byte pieces, or the unknown id where the model has none
@@ -29,8 +32,10 @@ and text are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
+import string
 from array import array
 from collections.abc import Iterator
 from itertools import chain
@@ -38,18 +43,23 @@ from itertools import chain
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb
 
-from rowguard.llm.common import documents, steps
+from rowguard.llm.common import documents, release, steps
+from rowguard.llm.spans import gather, split, sums
 
 #: public tokenizer file; a parameter of encode(), never copied
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: memoised spans and neighbour checks per Python worker
-MEMO = 600_000
-#: a span longer than this is never memoised
+#: bytes of remembered spans in a task, and what an entry takes besides its characters and ids
+MEMO_BYTES = 64 << 20
+ENTRY_BYTES = 200
+#: remembered neighbour checks
+MEMO_PAIRS = 200_000
+#: a span longer than this is never remembered
 MEMO_CHARS = 48
 
 SCHEMA = "doc_id long, n_ids long, n_byte_ids long, ids array<int>, decoded_sha256 string, round_trip boolean"
@@ -80,8 +90,8 @@ class Model:
         self.longest = max(map(len, self.vocab), default=1)
         self.unknown_score = min((self.score[i] for i in self.vocab.values()), default=0.0) - 10.0
         self.neighbours: dict[int, bool] = {}
-        self.spans = Memo(self)
-        self.words = Memo(self, SPACE)
+        normal = [p.piece for p in proto.pieces if p.type in (kinds.NORMAL, kinds.USER_DEFINED)]
+        self.by_span = not any(map(ACROSS.search, normal))
         self.surface = [
             bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.control
             else " ⁇ ".encode() if i == self.unknown else p.replace(SPACE, " ").encode()
@@ -119,7 +129,7 @@ class Model:
         key = left << 32 | right
         known = self.neighbours.get(key)
         if known is None:
-            if len(self.neighbours) >= MEMO:
+            if len(self.neighbours) >= MEMO_PAIRS:
                 self.neighbours.clear()
             known = self.neighbours[key] = self.merged(text) == [self.pieces[left], self.pieces[right]]
         return known
@@ -129,7 +139,7 @@ class Model:
         bpe, score, neighbours = self.bpe, self.score, self.neighbours
         base = 0                    # first position that is not committed
         back, last, best = [0], [-2], [0.0]     # by end - base; -2: nothing before, None: no path
-        reach, ahead = self.longest, 4 * self.longest
+        reach = ahead = self.longest
         matches = self.automaton.iter(text)
         match = next(matches, None)
         for end in range(1, len(text) + 1):
@@ -174,7 +184,7 @@ class Model:
                     yield from self.path(back, last, base, joint)
                     back, last, best = back[joint - base:], last[joint - base:], best[joint - base:]
                     base = joint
-                ahead = (end - base) + 4 * self.longest
+                ahead = end - base + (reach + 1) // 2
         yield from self.path(back, last, base, len(text))
 
     @staticmethod
@@ -198,15 +208,13 @@ class Model:
                 run = True
                 yield self.unknown
 
+    def marked(self, text: str) -> str:
+        """The text as the lattice reads it."""
+        return (SPACE if self.prefix else "") + text.replace(" ", SPACE)
+
     def encode(self, text: str) -> array:
-        if not text:
-            return array("i")
-        if self.prefix and "  " not in text and SPACE not in text and text[0] != " " and text[-1] != " ":
-            # single spaces only: every span is a space mark and a word
-            return array("i", chain.from_iterable(map(self.words.__getitem__, text.split(" "))))
-        text = (SPACE if self.prefix else "") + text.replace(" ", SPACE)
-        # word starts: all paths agree there
-        return array("i", chain.from_iterable(map(self.spans.__getitem__, SPANS.findall(text))))
+        """Ids of one text by one walk over all of it."""
+        return array("i", self.ids_of(self.marked(text)) if text else ())
 
     def decode(self, ids) -> str:
         """Text of ids; byte pieces join to UTF-8, broken sequences become U+FFFD."""
@@ -214,35 +222,71 @@ class Model:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
-class Memo(dict):
+class Memo:
     """Ids by span, in two generations: the older half is forgotten when the newer one is full."""
 
-    def __init__(self, model: Model, mark: str = ""):
-        super().__init__()
-        self.model, self.mark, self.older = model, mark, {}
+    def __init__(self, model: Model, limit: int = MEMO_BYTES):
+        self.model, self.limit = model, limit // 2
+        self.newer, self.older, self.held = {}, {}, 0
 
-    def __missing__(self, span: str):
+    def __call__(self, span: str):
+        ids = self.newer.get(span)
+        if ids is not None:
+            return ids
         ids = self.older.get(span)
         if ids is None:
-            if len(span) > MEMO_CHARS:
-                return self.model.ids_of(self.mark + span)
-            ids = tuple(self.model.ids_of(self.mark + span))
-        if len(self) >= MEMO // 2:
-            self.older = dict(self)
-            self.clear()
-        self[span] = ids
+            ids = tuple(self.model.ids_of(span))
+        if len(span) <= MEMO_CHARS:
+            self.held += ENTRY_BYTES + len(span) + 8 * len(ids)
+            if self.held > self.limit:
+                self.older, self.newer, self.held = self.newer, {}, 0
+            self.newer[span] = ids
         return ids
 
 
-SPANS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-_MODELS: dict[int, Model] = {}
+class Codec:
+    """Encodes and decodes batches of texts."""
+
+    def __init__(self, model: Model):
+        self.model, self.memo = model, Memo(model)
+        self.surfaces = pa.array(model.surface, pa.large_binary())
+        self.size = np.array([len(x) for x in model.surface], np.int64)
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(where each text's ids end, ids of all texts)."""
+        model = self.model
+        offsets, codes, spans = split(texts, b" " if model.prefix else b"", whole=not model.by_span, fine=bool(model.bytes))
+        found = [self.memo(s.decode().replace(" ", SPACE)) for s in spans.to_pylist()]
+        ends = np.cumsum([len(f) for f in found], dtype=np.int64)
+        flat = np.fromiter(chain.from_iterable(found), np.int32, int(ends[-1]) if len(ends) else 0)
+        size = np.diff(np.concatenate([[0], ends]))[codes] if len(codes) else np.zeros(0, np.int64)
+        empty = pc.fill_null(pc.equal(pc.binary_length(texts), 0), True).to_numpy(zero_copy_only=False)
+        # a null or empty text is its leading space alone, which is no id
+        keep = np.repeat(~empty, np.diff(offsets))
+        upto = np.cumsum(np.where(empty, 0, sums(size, offsets)))
+        return upto, flat[gather(codes[keep], ends)]
+
+    def surface(self, upto: np.ndarray, ids: np.ndarray) -> list[memoryview]:
+        """The joined bytes of each text's ids."""
+        joined = self.surfaces.take(pa.array(ids))
+        at = np.concatenate([[0], np.cumsum(self.size[ids])])[np.concatenate([[0], upto])].tolist()
+        data = memoryview(joined.buffers()[2] if len(ids) else b"")
+        return [data[a:b] for a, b in zip(at, at[1:])]
+
+
+#: a piece that would cross one of the boundaries at which texts are cut
+ACROSS = re.compile("[A-Za-z][" + re.escape(string.punctuation.replace("'", "")) + "]|.\n|\n.|[^▁].*▁", re.S)
 
 
+@functools.lru_cache(maxsize=1)
 def _model(data: bytes) -> Model:
-    key = hash(data)
-    if key not in _MODELS:
-        _MODELS[key] = Model(data)
-    return _MODELS[key]
+    """One model a worker: its size is that of its file and of its bounded neighbour checks."""
+    return Model(data)
+
+
+def _read(model_file: str) -> bytes:
+    with open(model_file, "rb") as f:
+        return f.read()
 
 
 def encode(docs: DataFrame, model_file: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -252,37 +296,39 @@ def encode(docs: DataFrame, model_file: str = MODEL, id_col: str = "doc_id", tex
     model (about 0.5 MB, its size does not depend on the data) travels with the
     task as bytes, so executors need no local file.
     """
-    with open(model_file, "rb") as f:
-        data = f.read()
+    data = _read(model_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(data)
+        codec = Codec(model)
         is_byte = np.zeros(len(model.pieces), bool)
         is_byte[list(model.byte_of)] = True
-        for batch in steps(batches, step_bytes=2 << 20):
-            flat, ends, sha, same = array("i"), [0], [], []
-            for text in batch.column("text").to_pylist():
-                ids = model.encode(text or "")
-                back = model.decode(ids)
-                flat.extend(ids)
-                ends.append(len(flat))
-                sha.append(hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest())
-                same.append(back == (text or ""))
-            flat = np.frombuffer(flat, np.int32) if len(flat) else np.zeros(0, np.int32)
-            n_bytes = np.diff(np.concatenate([[0], np.cumsum(is_byte[flat])])[ends])
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+        for batch in steps(batches):
+            texts = batch.column("text")
+            upto, ids = codec.ids(texts)
+            sha, same = [], []
+            for text, back in zip(texts.to_pylist(), codec.surface(upto, ids)):
+                whole = (text or "").encode("utf-8", "surrogatepass")
+                back = bytes(back[1:] if model.prefix and back[:1] == b" " else back)
+                if back != whole:  # broken sequences become U+FFFD
+                    back = back.decode("utf-8", "replace").encode()
+                sha.append(hashlib.sha256(back).hexdigest())
+                same.append(back == whole)
+            n_bytes = sums(is_byte[ids].astype(np.int64), np.concatenate([[0], upto]))
+            ends = np.concatenate([[0], upto])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()), pa.array(n_bytes, pa.int64()), ids,
-                 pa.array(sha, pa.string()), pa.array(same, pa.bool_())],
+                [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()), pa.array(n_bytes, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)), pa.array(sha, pa.string()), pa.array(same, pa.bool_())],
                 ["doc_id", "n_ids", "n_byte_ids", "ids", "decoded_sha256", "round_trip"])
+        del codec
+        release()
 
     return documents(docs, id_col, text_col).mapInArrow(run, SCHEMA)
 
 
 def decode(encoded: DataFrame, model_file: str = MODEL, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """Texts of id arrays (null ids: empty text). Columns: doc_id, text."""
-    with open(model_file, "rb") as f:
-        data = f.read()
+    data = _read(model_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(data)
