@@ -36,10 +36,11 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowguard.llm.common import documents, staged, steps
+from rowguard.llm.common import documents, pack, release, staged, steps, unpack
 from rowguard.llm.spans import SpanTokenizer, byte_level_tokenizer, gather, piece_model, split, sums
 
 #: public tokenizer files; parameters, never copied
@@ -49,11 +50,14 @@ TOKENIZER_B = public_tokenizers.path("piece_bpe_32k.model")
 BATCH_BYTES = 4 << 20
 
 #: bytes of group strings in one result batch
-RESULT_BYTES = 32 << 20
+RESULT_BYTES = 8 << 20
 
 ARRAYS = ("offsets", "codes", "a_ends", "a_ids", "b_ends", "b_ids", "g_ends", "g_a", "g_b")
-#: one row a batch; arrays of unsigned 32-bit integers as bytes
+#: arrays that ascend: their steps are stored
+ASCENDING = ("offsets", "a_ends", "b_ends", "g_ends", "g_a", "g_b")
+#: one row a batch; arrays of unsigned 32-bit integers as compressed byte planes
 BATCH = "doc_ids array<long>, " + ", ".join(f"{n} binary" for n in ARRAYS)
+COUNTED = ("codes", "a_ids", "b_ids", "g_ends", "g_a", "g_b")
 PAIRS = "a int, b int, n long"
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 
@@ -138,7 +142,7 @@ def batches_of(docs: DataFrame, tokenizer_a: str = TOKENIZER_A, tokenizer_b: str
     data_a, data_b = _read(tokenizer_a, tokenizer_b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = byte_level_tokenizer(data_a, True), piece_model(data_b)
+        a, b, stored = byte_level_tokenizer(data_a, True), piece_model(data_b), zstandard.ZstdCompressor(level=3)
         for batch in steps(batches, step_bytes=batch_bytes):
             texts = batch.column("text")
             offsets, codes, spans = split(texts, b" ", whole=not (a.by_span and b.by_span))
@@ -156,7 +160,9 @@ def batches_of(docs: DataFrame, tokenizer_a: str = TOKENIZER_A, tokenizer_b: str
             g_ends = np.searchsorted(g_a, a_ends)  # a span's last tokens end a group
             arrays = dict(zip(ARRAYS, (offsets, codes, a_ends, a_ids, b_ends, b_ids, g_ends, g_a, g_b)))
             yield pa.RecordBatch.from_pydict({"doc_ids": [batch.column("doc_id").to_pylist()]} | {
-                n: [x.astype("<u4").tobytes()] for n, x in arrays.items()}, schema=ARROW_BATCH)
+                n: [stored.compress(pack(x.astype(np.uint32), n in ASCENDING))] for n, x in arrays.items()}, schema=ARROW_BATCH)
+            del arrays, codes, spans, a_ids, b_ids, g_a, g_b
+            release()
 
     return documents(docs).mapInArrow(run, BATCH)
 
@@ -173,17 +179,23 @@ def _only(valid: np.ndarray, ends: np.ndarray, ids: np.ndarray) -> tuple[np.ndar
 class Batch:
     """A stored batch: its arrays by name, and the id pair of each group as one number."""
 
-    def __init__(self, row: dict):
-        self.doc_ids = row["doc_ids"]
-        for name in ARRAYS:
-            setattr(self, name, np.frombuffer(row[name], "<u4").astype(np.int64))
+    def __init__(self, batch: pa.RecordBatch, i: int, names: tuple[str, ...] = ARRAYS):
+        stored = zstandard.ZstdDecompressor()
+        for name in names:
+            raw = stored.decompress(batch.column(name)[i].as_buffer())
+            setattr(self, name, unpack(raw, np.uint32, name in ASCENDING).astype(np.int64))
         self.pairs = self.a_ids[self.g_a] << 32 | self.b_ids[self.g_b]
 
     @staticmethod
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator["Batch"]:
+    def of(batches: Iterator[pa.RecordBatch], names: tuple[str, ...] = ARRAYS) -> Iterator[Batch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                yield Batch(batch.slice(i, 1).to_pylist()[0])
+                out = Batch(batch, i, names)
+                if "doc_ids" in batch.schema.names:
+                    out.doc_ids = batch.column("doc_ids")[i].values
+                yield out
+                del out
+                release()
 
 
 def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -197,7 +209,7 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
     """a, b, n: links of the corpus by id pair. Tasks add their own batches up first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-        for b in Batch.of(batches):
+        for b in Batch.of(batches, COUNTED):
             often = np.bincount(b.codes, minlength=len(b.g_ends))
             links = np.repeat(often, np.diff(np.concatenate([[0], b.g_ends])))
             keys, counts = _merged(np.concatenate([keys, b.pairs]), np.concatenate([counts, links]))
@@ -206,13 +218,13 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array((keys[there] >> 32).astype(np.int32)), pa.array((keys[there] & 0xFFFFFFFF).astype(np.int32)),
                                               pa.array(counts[there])], ["a", "b", "n"])
 
-    return aligned.mapInArrow(run, PAIRS).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return aligned.select(*COUNTED).mapInArrow(run, PAIRS).groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def documents_of(aligned: DataFrame, pairs: list, batch_bytes: int = RESULT_BYTES) -> DataFrame:
+def documents_of(aligned: DataFrame, pairs: list, n_ids: int, batch_bytes: int = RESULT_BYTES) -> DataFrame:
     """Every document's groups and what its links count in the corpus.
 
-    ``pairs``: rows of ``pair_counts``.
+    ``pairs``: rows of ``pair_counts``. ``n_ids``: the larger vocabulary's size.
     """
     keys = np.array([p.a << 32 | p.b for p in pairs] or [-1], np.int64)
     counts = np.array([p.n for p in pairs] or [0], np.int64)
@@ -224,7 +236,9 @@ def documents_of(aligned: DataFrame, pairs: list, batch_bytes: int = RESULT_BYTE
     best = counts == highest[of_b]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = None
         for b in Batch.of(batches):
+            words = words if words is not None else _words(n_ids)
             of_span = lambda values, ends: sums(values, np.concatenate([[0], ends]))
             of_doc = lambda values: sums(values[b.codes], b.offsets)
             ones = lambda ends: np.diff(np.concatenate([[0], ends]))
@@ -233,7 +247,7 @@ def documents_of(aligned: DataFrame, pairs: list, batch_bytes: int = RESULT_BYTE
             groups = of_doc(ones(b.g_ends))
             columns = [of_doc(ones(b.a_ends)), of_doc(ones(b.b_ends)), groups, groups,
                        of_doc(of_span(best[known].astype(np.int64), b.g_ends)), of_doc(of_span(counts[known], b.g_ends))]
-            spans, chars = _listed(b)
+            spans, chars = _listed(b, words, n_ids)
             size = of_doc(chars)
             part = np.cumsum(size) // batch_bytes
             cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(size)]
@@ -246,16 +260,19 @@ def documents_of(aligned: DataFrame, pairs: list, batch_bytes: int = RESULT_BYTE
                 told = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(ends), data])
                 told = pc.binary_slice(told, 0, -1).cast(pa.string())  # no mark after the last group
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(b.doc_ids[lo:hi], pa.int64()), *(pa.array(c[lo:hi], pa.int64()) for c in columns), told],
+                    [b.doc_ids.slice(lo, hi - lo), *(pa.array(c[lo:hi], pa.int64()) for c in columns), told],
                     ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
 
     return aligned.mapInArrow(run, ALIGNED)
 
 
-def _listed(b: Batch) -> tuple[pa.Array, np.ndarray]:
+def _words(n: int) -> pa.Array:
+    """Ids below ``n`` in decimal, each before a comma, then before a bar, then before a semicolon."""
+    return pa.array([f"{k}{mark}" for mark in ",|;" for k in range(n)], pa.large_binary())
+
+
+def _listed(b: Batch, words: pa.Array, n: int) -> tuple[pa.Array, np.ndarray]:
     """Each span's groups as text, "a1,a2|b1;" a group, and their lengths."""
-    n = 1 + int(max(b.a_ids.max(initial=0), b.b_ids.max(initial=0)))
-    words = pa.array([f"{k}{mark}" for mark in ",|;" for k in range(n)], pa.large_binary())
     g = len(b.g_a)
     a, c = np.arange(len(b.a_ids)), np.arange(len(b.b_ids))
     of_a, of_b = np.searchsorted(b.g_a, a), np.searchsorted(b.g_b, c)
@@ -280,7 +297,9 @@ def align(docs: DataFrame, tokenizer_a: str = TOKENIZER_A, tokenizer_b: str = TO
     """
     aligned = staged(batches_of(docs, tokenizer_a, tokenizer_b), "aligned")
     data_a, data_b = _read(tokenizer_a, tokenizer_b)
-    pairs = pair_counts(aligned).limit(bound := pair_bound(byte_level_tokenizer(data_a, True), piece_model(data_b)) + 1).collect()
-    if len(pairs) >= bound:
+    a, b = byte_level_tokenizer(data_a, True), piece_model(data_b)
+    bound = pair_bound(a, b)
+    pairs = pair_counts(aligned).limit(bound + 1).collect()
+    if len(pairs) > bound:
         raise ValueError("more id pairs than the vocabularies' surfaces allow")
-    return documents_of(aligned, pairs)
+    return documents_of(aligned, pairs, max(len(a.surface), len(b.surface)))

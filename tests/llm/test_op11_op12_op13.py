@@ -185,7 +185,7 @@ def test_op12_edges_small_batches_and_repeats(spark, plain):
     key = lambda r: (r[0] is None, r[0] or 0, r[1:])
     batches = op12.batches_of(frame(spark, rows), batch_bytes=50)
     pairs = op12.pair_counts(batches).collect()
-    got = [tuple(r) for r in op12.documents_of(batches, pairs, batch_bytes=20).collect()]
+    got = [tuple(r) for r in op12.documents_of(batches, pairs, 60_000, batch_bytes=20).collect()]
     assert sorted(got, key=key) == sorted(aligned(plain, rows), key=key)
     assert op12.align(frame(spark, rows).limit(0)).count() == 0
     assert [tuple(r)[1:] for r in op12.align(frame(spark, [(1, None), (2, "▁")])).collect()] == [(0, 0, 0, 0, 0, 0, "")] * 2
