@@ -9,9 +9,9 @@ intersected, offset-adjusted, from the shard's rarest term on. Proximity matches
 use the same lists: all terms of a window within ``SPREAD`` window lengths.
 
 The query set is read in slices of bounded size, so that what a task carries
-does not grow with the benchmark; the lists are restricted to benchmark terms
-while these fit ``MAX_TERMS``, and complete otherwise. Texts are read once and
-never shuffled.
+does not grow with the benchmark. The stored lists are those of all training
+tokens, so one index serves any later benchmark; ``only`` restricts them to the
+terms of one. Texts are read once and never shuffled.
 
 Defined results: a null or empty text has no words and is clean; items without
 words have no window; a null item id is listed as an empty string; items that
@@ -34,12 +34,10 @@ WINDOW = 10
 SPREAD = 2
 #: characters of benchmark text in one slice of the query set
 SLICE_CHARS = 4_000_000
-#: distinct benchmark terms up to which the index holds only those
-MAX_TERMS = 1_000_000
 
-INDEX = ("block long, doc_ids array<long>, starts binary, n_words array<long>, terms binary, ends binary, "
+INDEX = ("block long, doc_ids array<long>, text_hashes array<long>, starts binary, n_words array<long>, terms binary, ends binary, "
          "positions binary")
-MATCH = ("block long, slot int, doc_id long, n_words long, hit_at array<int>, items array<string>, "
+MATCH = ("block long, slot int, doc_id long, text_hash long, n_words long, hit_at array<int>, items array<string>, "
          "near_items array<string>")
 
 
@@ -66,19 +64,20 @@ def build_index(docs: DataFrame, terms: np.ndarray | None = None) -> DataFrame:
             counts = np.bincount(by, minlength=len(h))
             there = counts > 0
             row = {
-                "block": [part << 32 | k], "doc_ids": [batch.column("doc_id").to_pylist()], "starts": [pack(starts.astype(np.uint64), True)],
+                "block": [part << 32 | k], "doc_ids": [batch.column("doc_id").to_pylist()],
+                "text_hashes": [batch.column("text_hash").to_pylist()], "starts": [pack(starts.astype(np.uint64), True)],
                 "n_words": [np.diff(offsets).tolist()], "terms": [pack(h[rank][there], True)],
                 "ends": [pack(np.cumsum(counts[there]).astype(np.uint64), True)],
                 "positions": [pack(at[order].astype(np.uint32))],
             }
             yield pa.RecordBatch.from_pydict(row, schema=ARROW_INDEX)
 
-    return documents(docs).mapInArrow(run, INDEX)
+    return documents(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, INDEX)
 
 
-ARROW_INDEX = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("starts", pa.binary()),
+ARROW_INDEX = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("text_hashes", pa.list_(pa.int64())), ("starts", pa.binary()),
                          ("n_words", pa.list_(pa.int64())), ("terms", pa.binary()), ("ends", pa.binary()), ("positions", pa.binary())])
-ARROW_MATCH = pa.schema([("block", pa.int64()), ("slot", pa.int32()), ("doc_id", pa.int64()), ("n_words", pa.int64()),
+ARROW_MATCH = pa.schema([("block", pa.int64()), ("slot", pa.int32()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_words", pa.int64()),
                          ("hit_at", pa.list_(pa.int32())), ("items", pa.list_(pa.string())), ("near_items", pa.list_(pa.string()))])
 
 
@@ -167,7 +166,7 @@ def search(index: DataFrame, query: QuerySet, window: int = WINDOW, spread: int
         cuts = np.searchsorted(doc, np.arange(n + 1))
         names = lambda sets: [[query.ids[i] for i in sorted(s)] for s in sets]
         return pa.RecordBatch.from_arrays(
-            [pa.array([row["block"]] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(row["doc_ids"], pa.int64()),
+            [pa.array([row["block"]] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(row["doc_ids"], pa.int64()), pa.array(row["text_hashes"], pa.int64()),
              pa.array(row["n_words"], pa.int64()), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(own, pa.int32())),
              pa.array(names(items), pa.list_(pa.string())), pa.array(names(near), pa.list_(pa.string()))], schema=ARROW_MATCH)
 
@@ -184,8 +183,11 @@ def _in(sorted_list: np.ndarray, lo: int, hi: int) -> bool:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, spread: int = SPREAD,
-                  slice_chars: int = SLICE_CHARS, max_terms: int = MAX_TERMS) -> DataFrame:
-    """doc_id, n_words, n_hit, items, near_items for every row of ``docs``."""
+                  slice_chars: int = SLICE_CHARS, only: bool = False) -> DataFrame:
+    """doc_id, text_hash (xxhash64), n_words, n_hit, items, near_items for every row of ``docs``.
+
+    ``only``: store lists of the benchmark's terms alone, where it is one slice.
+    """
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
                              F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     slices = max(1, ceil_div(items.agg(F.sum(F.length("text"))).first()[0] or 0, slice_chars))
@@ -193,15 +195,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     queries = (QuerySet([(r.item_id, r.text) for r in items.filter(dealt == k).collect()], window) for k in range(slices))
     if slices == 1:
         queries = list(queries)
-    few = slices == 1 and len(queries[0].terms) <= max_terms
-    index = staged(build_index(docs, queries[0].terms if few else None), "positions")
+    index = staged(build_index(docs, queries[0].terms if only and slices == 1 else None), "positions")
     found = None
     for query in queries:  # one slice at a time on the driver and in the tasks
         part = search(index, query, window, spread)
         found = part if found is None else found.unionByName(staged(part, "matches"))
     if slices > 1:
         flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
-        found = found.groupBy("block", "slot").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+        found = found.groupBy("block", "slot").agg(F.first("doc_id").alias("doc_id"), F.first("text_hash").alias("text_hash"), F.first("n_words").alias("n_words"),
                                                    flat("hit_at"), flat("items"), flat("near_items"))
     near = F.array_except("near_items", "items")
-    return found.select("doc_id", "n_words", F.size("hit_at").cast("long").alias("n_hit"), "items", near.alias("near_items"))
+    return found.select("doc_id", "text_hash", "n_words", F.size("hit_at").cast("long").alias("n_hit"), "items", near.alias("near_items"))

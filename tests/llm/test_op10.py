@@ -31,9 +31,9 @@ def test_small_alphabet_slices_and_edges(spark):
     want = [(d, n, h, sorted(f)) for d, n, h, f in want]
     docs = spark.createDataFrame([(*d, "z", 1) for d in docs], "doc_id long, text string, items string, block int")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    for chars, terms in ((10**6, 10**6), (40, 10**6), (10**6, 1)):
-        got = op10.decontaminate(docs, bench, window=5, slice_chars=chars, max_terms=terms).collect()
-        assert key((r.doc_id, r.n_words, r.n_hit, sorted(r["items"])) for r in got) == key(want), (chars, terms)
+    for chars, only in ((10**6, False), (40, False), (10**6, True)):
+        got = op10.decontaminate(docs, bench, window=5, slice_chars=chars, only=only).collect()
+        assert key((r.doc_id, r.n_words, r.n_hit, sorted(r["items"])) for r in got) == key(want), (chars, only)
     assert op10.decontaminate(docs.limit(0), bench).count() == 0
     clean = op10.decontaminate(docs, bench.limit(0)).collect()
     assert len(clean) == 66 and not any(r.n_hit for r in clean)
@@ -47,3 +47,13 @@ def test_proximity_needs_all_terms_close_in_one_document(spark):
                              spark.createDataFrame(item, "item_id long, text string")).collect()
     assert {r.doc_id for r in got if r["items"]} == {2}
     assert {r.doc_id for r in got if r.near_items} == {1}
+
+
+def test_the_index_holds_every_training_token(spark):
+    import numpy as np
+    from rowguard.llm.common import unpack
+    docs = spark.createDataFrame([(1, "one two two three"), (2, None), (3, "four one")], "doc_id long, text string").coalesce(1)
+    rows = op10.build_index(docs).collect()
+    assert sum(len(unpack(bytes(r.positions), np.uint32)) for r in rows) == 6 and sum(len(unpack(bytes(r.terms), np.uint64, True)) for r in rows) == 4
+    few = op10.build_index(docs, np.sort(op10.hashes(["two"]))).collect()
+    assert sum(len(unpack(bytes(r.positions), np.uint32)) for r in few) == 2
