@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowguard.llm.common import documents, hashes, mix, staged, steps, words
+from rowguard.llm.common import documents, release, hashes, mix, staged, steps, words
 
 BANDS, ROWS, BITS = 32, 4, 4
 PERMUTATIONS = BANDS * ROWS
@@ -126,6 +126,7 @@ def signatures(docs: DataFrame, size: int = 4) -> DataFrame:
                  pa.array(np.array(node, np.uint64).view(np.int64)),
                  pa.ListArray.from_arrays(ends, pa.array(np.concatenate(bands))), *[pa.array(c) for c in sigs.T]],
                 ["doc_id", "text_hash", "n_shingles", "node", "bands", *SIG])
+        release()
 
     return documents(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, SCHEMA)
 
@@ -177,6 +178,7 @@ def wide_signatures(texts: DataFrame, size: int) -> DataFrame:
         for batch in steps(batches):
             wide = [packed(minima(s, hashed), WIDE_BITS) for s in shingles_of(batch.column("text"), size)]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([w.tolist() for w in wide], pa.list_(pa.int64()))], ["node", "wide"])
+        release()
 
     return texts.mapInArrow(run, "node long, wide array<long>")
 
@@ -199,6 +201,7 @@ def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, perc
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        release()
 
     return both.mapInArrow(run, "a long, b long")
 

@@ -25,14 +25,14 @@ several label rows take the largest; other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowguard.llm.common import crc_mod, crc_mod_py, documents, steps
+from rowguard.llm.common import crc_mod, crc_mod_py, documents, release, steps
 
 #: labelled training rows of each class that the classifier is fitted on
 SAMPLE = 6000
@@ -40,7 +40,6 @@ SAMPLE = 6000
 MIN_EVIDENCE, MIN_DOCS = 20.0, 4
 #: share of a feature's documents that must be toxic
 MIN_PRECISION = 0.9
-MAX_FEATURES = 20_000
 BEGINNINGS = (3, 4, 5, 6)
 MEMO = 300_000
 LETTERS = 28  # a-z, another letter, border
@@ -343,6 +342,8 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 5, sample: int = SAMPLE)
             found = [sorted(extract.of_text(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.list_(pa.string()))],
                                              ["doc_id", "toxic", "found"])
+        del extract
+        release()
 
     rows = picked.mapInArrow(run, "doc_id long, toxic int, found array<string>")
     n = {r.toxic: r["n"] for r in picked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -356,7 +357,7 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 5, sample: int = SAMPLE)
     part = lambda k, p: F.when(k > 0, k * F.log(k / (F.col("n") * p))).otherwise(0.0)
     evidence = 2 * (part(F.col("t"), share) + part(F.col("n") - F.col("t"), 1 - share))
     strong = counts.filter((F.col("t") >= MIN_DOCS) & (F.col("t") >= F.col("n") * MIN_PRECISION)).withColumn("g", evidence).filter(
-        F.col("g") >= MIN_EVIDENCE).orderBy(F.desc("g"), "f").limit(MAX_FEATURES)
+        F.col("g") >= MIN_EVIDENCE).orderBy(F.desc("g"), "f")
     names = [r.f for r in strong.select("f").collect()]
     keep = {f: i for i, f in enumerate(names)}
 
@@ -365,6 +366,8 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 5, sample: int = SAMPLE)
         for batch in steps(batches, step_bytes=1 << 20):
             found = [sorted(extract.of_text(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column("toxic")], ["found", "toxic"])
+        del extract
+        release()
 
     seen = [(list(r.found), r.toxic) for r in picked.mapInArrow(project, "found array<int>, toxic int").collect()]
     return Classifier(model, names, *_regression(seen, len(names)))
@@ -380,6 +383,8 @@ def score(docs: DataFrame, classifier: Classifier, mod: int = 5, id_col: str = "
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([crc_mod_py(i, mod) == 0 for i in ids], pa.bool_()), pa.array(p, pa.float64()),
                  pa.array([int(x >= 0.5) for x in p], pa.int32())], ["doc_id", "held_out", "score", "predicted"])
+        del extract
+        release()
 
     return documents(docs, id_col, text_col).mapInArrow(run, SCHEMA)
 
@@ -391,5 +396,7 @@ def keep_clean(docs: DataFrame, classifier: Classifier, text_col: str = "text")
         for batch in steps(batches, text_col):
             keep = [classifier.probability(extract.of_text(t)) < 0.5 for t in batch.column(text_col).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
+        del extract
+        release()
 
     return docs.mapInArrow(run, docs.schema)
