@@ -240,14 +240,14 @@ def test_pipeline_matches_plain_steps(spark):
 
 
 def test_an_id_with_several_texts_loses_only_the_duplicate(spark):
-    """Row (5, a) is the first of its group and stays, though (5, b) is a copy of row 3."""
+    """Row (5, a) is the first of its group and stays, though (5, b) is a copy of row 3; copies without an id go."""
     a, b = "one two three four five six", "seven eight nine ten eleven twelve"
     docs = spark.createDataFrame([(3, b, "u"), (5, a, "v"), (5, b, "v"), (7, a, "w"), (None, a, "x"), (8, None, "y")],
                                  "doc_id long, text string, text_hash string")
     out = corpus_pipeline.near_dedup(spark, docs, SF)
     assert out.columns == docs.columns
     got = sorted((r.doc_id or 0, r.text or "", r.text_hash) for r in out.collect())
-    assert got == [(0, a, "x"), (3, b, "u"), (5, a, "v"), (8, "", "y")]
+    assert got == [(3, b, "u"), (5, a, "v"), (8, "", "y")]
 
 
 def test_stages_keep_columns_and_take_empty_input(spark):
@@ -255,3 +255,18 @@ def test_stages_keep_columns_and_take_empty_input(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, SF)
         assert out.columns == docs.columns and out.count() == 0
+
+
+def test_stages_decide_rows_not_ids(spark, tmp_path):
+    rng = random.Random(8)
+    text = lambda n: " ".join(rng.choices([f"w{i}" for i in range(400)], k=n))
+    item, t, u, v = text(12), text(60), text(60), text(60)
+    spark.createDataFrame([("i", item)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    schema = "doc_id long, text string, lang string"
+    docs = spark.createDataFrame([(1, t, "a"), (1, t, "b"), (None, t, "c"), (None, t, "c"), (2, u, "d"), (None, v, "e"), (None, v, "e"), (3, "", "f"), (3, "", "f"),
+                                  (4, None, "g")], schema)
+    kept = corpus_pipeline.near_dedup(spark, docs, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(1, t), (2, u), (None, v), (3, ""), (4, None)], key=str)
+    docs = spark.createDataFrame([(None, f"x {item} y", "a"), (7, f"x {item} y", "b"), (7, "clean words", "c"), (None, "clean words", "d"), (8, None, "e")], schema)
+    kept = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()
+    assert sorted((r.lang for r in kept)) == ["c", "d", "e"]
