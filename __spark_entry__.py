@@ -515,6 +515,17 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {KEYS}, 'pair_known;pair_known_by_key' AS errors FROM lineitem l WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL "
         "AND NOT EXISTS (SELECT 1 FROM lineitem r WHERE r.l_returnflag = 'N' AND r.l_partkey = l.l_partkey AND r.l_suppkey = l.l_suppkey)"
     )
+    q["fk_bitmap"] = (
+        f"WITH f AS (SELECT {KEYS}, (l.l_partkey IS NOT NULL AND p.k IS NULL) AS e1, (l.l_orderkey IS NOT NULL AND o.k IS NULL) AS e2 "
+        "FROM lineitem l LEFT JOIN (SELECT DISTINCT p_partkey AS k FROM part WHERE p_size <= 25) p ON l.l_partkey = p.k "
+        "LEFT JOIN (SELECT DISTINCT o_orderkey AS k FROM orders WHERE o_orderstatus <> 'F') o ON l.l_orderkey = o.k) "
+        "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, concat_ws(';', CASE WHEN e1 THEN 'part_small' END, "
+        "CASE WHEN e2 THEN 'order_open' END) AS errors FROM f WHERE e1 OR e2"
+    )
+    q["state_metrics"] = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", COUNT(*) AS row_count, COUNT(*) - COUNT({c}) AS null_count, ROUND(CAST(AVG({c}) AS DOUBLE), 4) AS mean, "
+        f"CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max, TRUE AS quantiles_near, TRUE AS distinct_near FROM lineitem"
+        for c in ("l_quantity", "l_extendedprice", "l_orderkey"))
     q["scan_errors"] = (
         f'SELECT "check", metric, value, failed_rows, outcome FROM ({SCAN_RESULTS}) UNION ALL '
         "SELECT 'no_such_column', 'missing_count', NULL, NULL, 'error' UNION ALL "

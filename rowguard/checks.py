@@ -371,6 +371,8 @@ class ForeignKey(Check):
     #: False: join every row against the distinct reference keys (Spark chooses
     #: the join by their size); True: find unmatched keys first, join only those
     aggregate_keys: bool = False
+    #: index one integral key as bitmaps of 32,768 neighbouring values each
+    bitmap: bool = False
     function: ClassVar[str] = "foreign_key"
     dataset_level: ClassVar[bool] = True
 
@@ -383,6 +385,10 @@ class ForeignKey(Check):
 
     def prepare(self, work, source, tag):
         ref = _resolve(self.ref, work.sparkSession)
+        if self.bitmap:
+            if len(self.columns) != 1 or len(self.ref_columns) != 1:
+                raise ValueError("a bitmap index is of one column")
+            return K.mark_unmatched_bitmap(work, self.columns[0], ref, self.ref_columns[0], tag)
         if not self.aggregate_keys:
             return K.mark_unmatched_direct(work, self.columns, ref, self.ref_columns, tag)
         return K.mark_unmatched(work, self.columns, ref, self.ref_columns, tag, source=source,

@@ -24,6 +24,10 @@ from rowguard.operators.metrics import MetricCheck
 FAILED_CHECK = "failed_check"
 
 
+#: columns beside the order keys up to which rows are ranked whole, in one pass
+NARROW_COLUMNS = 4
+
+
 def _ordered_head(rows: DataFrame, order_by: Sequence[str] | None, limit: int | None) -> DataFrame:
     if limit is None:
         return rows
@@ -55,13 +59,23 @@ def _fused_samples(df: DataFrame, fused: list[tuple[str, F.Column, int]],
     pairs; the first n per check come from ``row_number`` over the check
     name with a literal cap, which Spark plans as a partial
     ``WindowGroupLimit`` before the shuffle (at most n rows per check leave
-    each task, so the window partition of a check stays small)."""
+    each task, so the window partition of a check stays small). With order keys
+    a first narrow pass ranks these alone, so wide rows are neither sorted nor
+    moved if there are many columns; the second pass fetches the rows that hold one of the kept keys and
+    ranks them alike."""
     empty = F.array().cast(T.ArrayType(T.StringType(), False))
     names = F.concat(*[F.when(c, F.array(F.lit(n))).otherwise(empty) for n, c, _ in fused])
-    exploded = df.select(F.explode(names).alias(FAILED_CHECK), *[F.col(quote(c)) for c in df.columns])
     keys = [k for k in (order_by or []) if k in df.columns] or df.columns
     w = Window.partitionBy(FAILED_CHECK).orderBy(*[col(k).asc_nulls_first() for k in keys])
     cap = max(n for _, _, n in fused)
+    if len(df.columns) - len(keys) > NARROW_COLUMNS:
+        # late: rank the order keys alone, then fetch the wide rows that have them
+        heads = (df.select(F.explode(names).alias(FAILED_CHECK), *[F.col(quote(k)) for k in keys])
+                 .withColumn("__rg_rn", F.row_number().over(w)).where(F.col("__rg_rn") <= F.lit(cap)))
+        heads = heads.select(*[F.col(quote(k)).alias(f"__rg_k{i}") for i, k in enumerate(keys)]).distinct()
+        same = [col(k).eqNullSafe(F.col(f"__rg_k{i}")) for i, k in enumerate(keys)]
+        df = df.join(F.broadcast(heads), same, "left_semi")  # at most n rows a check
+    exploded = df.select(F.explode(names).alias(FAILED_CHECK), *[F.col(quote(c)) for c in df.columns])
     out = exploded.withColumn("__rg_rn", F.row_number().over(w)).where(F.col("__rg_rn") <= F.lit(cap))
     if any(n != cap for _, _, n in fused):
         per_check = F.create_map(*[x for name, _, n in fused for x in (F.lit(name), F.lit(n))])

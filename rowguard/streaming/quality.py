@@ -4,7 +4,8 @@
   is; a foreign key against a *static* reference frame is a stream-static
   left join, also supported. Checks that need the whole dataset
   (uniqueness, whole-frame aggregates) have no meaning on an unbounded
-  stream and are rejected; run them per micro-batch with ``metrics_stream``.
+  stream and are rejected; run them per micro-batch with ``metrics_stream`` or
+  over all of them with ``state.state_stream``.
 * ``quarantine_stream`` writes valid and quarantined rows of each
   micro-batch to two sinks through ``foreachBatch``; every batch is written
   to its own ``batch_id=<n>`` folder in overwrite mode, so a replayed
@@ -33,7 +34,7 @@ def annotate_stream(stream: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """The annotated stream (input columns + ``_errors`` + ``_warnings``)."""
     bad = [r.name for r in rules if isinstance(r.check, (Unique, AggregateBound))]
     if bad:
-        raise ValueError(f"whole-dataset checks cannot run on a stream: {bad}; use metrics_stream")
+        raise ValueError(f"whole-dataset checks cannot run on a stream: {bad}; use metrics_stream or state_stream")
     # foreign keys: stream-static join per row (no streaming aggregation)
     rules = [replace(r, check=replace(r.check, aggregate_keys=False)) if isinstance(r.check, ForeignKey) else r
              for r in rules]

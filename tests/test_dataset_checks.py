@@ -165,3 +165,19 @@ def test_value_sets_of_a_frame_share_one_scan(spark):
     assert got == {"k": (1.0, 2, 5, 5, False), "s": (2.0, 3, 4, 5, False), "x": (2.0, 3, 4, 5, False), "all": (0.0, 0, 4, 5, True)}
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert plan_of(M.evaluate(docs, [E.expect_distinct_values_in_set("lang", ["en"], name="a"), E.expect_distinct_values_in_set("source", ["x"], name="b")])).count("Relation") == 1
+
+
+def test_bitmap_index_equals_the_plain_foreign_key(spark):
+    import pytest
+    keys = [0, 1, -1, 32767, 32768, 32769, -32767, -32768, -32769, 65536, 7, 8, 9, 2**62, -2**63, 2**63 - 1, None]
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint").withColumn("i", F.col("k") % 100)
+    ref = spark.createDataFrame([(k,) for k in keys[::2] * 3 + [None]], "r bigint")
+    plain = [rg.Rule("f", rg.ForeignKey(["k"], ref, ["r"]))]
+    packed = [rg.Rule("f", rg.ForeignKey(["k"], ref, ["r"], bitmap=True))]
+    rows = lambda rules: sorted(rg.annotate(df, rules).where("size(_errors) > 0").select("k").collect())
+    assert rows(packed) == rows(plain) and 0 < len(rows(plain)) < len(keys)
+    assert rows([rg.Rule("f", rg.ForeignKey(["k"], ref.limit(0), ["r"], bitmap=True))]) == sorted(df.where("k IS NOT NULL").select("k").collect())
+    from rowguard.operators import keys as K
+    assert K.bitmap_index(spark.range(100_000), "id").count() == 5  # ids 1..32768 are the second bucket
+    with pytest.raises(ValueError, match="integral"):
+        rg.annotate(df, [rg.Rule("f", rg.ForeignKey(["k"], spark.createDataFrame([("a",)], "r string"), ["r"], bitmap=True))])

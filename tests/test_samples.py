@@ -6,7 +6,7 @@ import decimal
 from pyspark.sql import functions as F
 
 from rowguard.operators import metrics as M
-from rowguard.operators.samples import samples
+from rowguard.operators.samples import FAILED_CHECK, samples
 from rowguard.plans import scan as S
 from rowguard.sources import writers as W
 
@@ -63,3 +63,16 @@ def test_unlimited_samples_are_plain_filters(spark):
     assert sorted(got["big x"]) == [16, 17] and len(got["all x"]) == 20
     p = out._jdf.queryExecution().optimizedPlan().toString()
     assert p.count("Window") == 2  # WindowGroupLimit + Window, for the limited check only
+
+
+def test_wide_rows_are_fetched_after_ranking(spark):
+    df = spark.range(0, 5000, 1, 8).selectExpr("id % 1000 AS k", "id", "repeat('x', 500) AS wide", "IF(id % 7 = 0, NULL, 1) AS v", "id AS c1", "id AS c2", "id AS c3")
+    checks = [S.missing_count("v_missing", "v"), S.row_count("big", where="id >= 4990", samples_limit=2), S.row_count("all", where="id >= 0")]
+    got = samples(df, checks, limit=4, order_by=["k"]).collect()
+    per = {}
+    for r in got:
+        per.setdefault(r[FAILED_CHECK], []).append(r)
+    assert {n: [r.k for r in rows] for n, rows in per.items()} == {"v_missing": [0, 1, 2, 3], "big": [990, 991], "all": [0, 0, 0, 0]}
+    assert all(len(r.wide) == 500 and r.id % 1000 == r.k for r in got) and all(r.v is None for r in per["v_missing"])
+    text = samples(df, checks, limit=4, order_by=["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in text
