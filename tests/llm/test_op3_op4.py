@@ -121,3 +121,44 @@ def test_fingerprint_edges(spark):
     one = op4.fingerprints(df.filter("doc_id = 9")).first()
     assert one.near_next == 1.0
     assert op4.fingerprints(df.limit(0)).count() == 0
+
+
+def test_the_root_is_made_of_the_hashes_below_it():
+    text = "one two three four five. six\nsecond line\n\n \n  new section\nwith lines"
+    root = op4.tree(text)
+    leaf = lambda t: op4.digest(t.encode())
+    paragraph = lambda *t: op4.digest(b"p" + b"".join(map(leaf, t)))
+    first = op4.digest(b"s" + paragraph("one two three four", " five.", " six") + paragraph("second line"))
+    second = op4.digest(b"s" + paragraph("new section") + paragraph("with lines"))
+    assert [x.hash for x in root.below] == [first, second]
+    assert root.hash == op4.digest(b"r" + first + b"|" + b"\n\n \n  " + second)
+    for t in (text, "", " a  b\t c.\n\n\nd!? e . . f", "word" * 100, "。中文！" * 50, "\n\n\n", "x\n \n"):
+        assert all("".join(op4.LEAF.findall(p)) == p for p in t.split("\n"))
+    assert "".join(op4.pieces("abc" * 200 + "z")) == "abc" * 200 + "z"
+
+
+def test_likeness_sees_order_and_goes_down_to_leaves():
+    prints = lambda *t: [op4.fingerprint(x) for x in t]
+    a, b = "\n".join(f"line {i} of this text" for i in range(10)), "\n".join(f"line {i} of this text" for i in (1, 0, *range(2, 10)))
+    assert op4.likeness(*prints(a, b)) < 1.0 and op4.differences(*prints(a, b))
+    assert op4.likeness(*prints("a\n\nb", "a\n\n\nb")) < 1.0
+    assert op4.likeness(*prints("one two three four five six seven eight", "one two three four other words go here")) == 0.5
+    import random
+    line = "".join(random.Random(3).choice("的一是不了人我在有他这中大来上国个到说们为子和你地出道也时年得就那要下以生会自着去之过家学对可她里后小么心多天而能好都然没日于起还发成事只作当想看文无开手十用主行方又如前所本见经头面公同三已老从动两长") for _ in range(240))
+    edited = line[:180] + "新" * 60
+    assert 0.55 < op4.likeness(*prints(line, edited)) < 0.9
+
+
+def test_matches_equal_the_longest_common_order_on_distinct_children():
+    import random
+    rng = random.Random(5)
+    for _ in range(200):
+        a, b = rng.sample(range(30), rng.randint(0, 20)), rng.sample(range(30), rng.randint(0, 20))
+        nodes = lambda x: [op4.Node(str(i), 1, []) for i in x]
+        got = op4._matches(nodes(a), nodes(b))
+        assert all(a[i] == b[j] for i, j in got) and all(p < q and r < t for (p, r), (q, t) in zip(got, got[1:]))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a)):
+            for j in range(len(b)):
+                best[i + 1][j + 1] = best[i][j] + 1 if a[i] == b[j] else max(best[i][j + 1], best[i + 1][j])
+        assert len(got) == best[-1][-1]
