@@ -46,23 +46,46 @@ MIN_ASSIGN = 6
 EXAMPLE_OWNERS = 3
 
 
-def _sum_before(lengths: Column, i: Column) -> Column:
-    return F.aggregate(F.slice(lengths, 1, i), F.lit(0), lambda a, x: a + x)
+#: lengths that are summed at a time
+STEP = 64
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _total(lengths: Column) -> Column:
+    return F.aggregate(lengths, F.lit(0), lambda a, x: a + x)
+
+
+def _before(lengths: Column) -> Column:
+    """Sum of all earlier lengths, for each: sums of steps first, so that a text with
+    many matches takes about its length in time, not the square."""
+    def of(n: Column) -> Column:
+        steps = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(n) / STEP).cast("int") - 1, F.lit(0)))
+        sums = F.transform(steps, lambda b: _total(F.slice(n, b * STEP + 1, STEP)))
+        upto = lambda t: F.transform(t, lambda _, b: _total(F.slice(t, F.lit(1), b)))
+        return _let(_let(sums, upto), lambda t: F.transform(n, lambda _, i: F.element_at(
+            t, (i / STEP).cast("int") + 1) + _total(F.slice(n, i - i % STEP + 1, i % STEP))))
+
+    return _let(lengths, of)
 
 
 def _spans(gaps: Column, hits: Column, kind: str, rank: int, value: Column) -> Column:
     """Array of (start, rank, kind, end, value) from gaps and matches in turn."""
     glen, hlen = F.transform(gaps, F.length), F.transform(hits, F.length)
-    return F.transform(
-        F.arrays_zip(hits.alias("hit"), value.alias("value")),
-        lambda x, i: F.struct(
-            (_sum_before(glen, i + 1) + _sum_before(hlen, i)).alias("start"),
-            F.lit(rank).alias("rank"),
-            F.lit(kind).alias("kind"),
-            (_sum_before(glen, i + 1) + _sum_before(hlen, i + 1)).alias("end"),
-            x["value"].alias("value"),
-        ),
-    )
+    parts = F.struct(hits.alias("hit"), value.alias("value"), glen.alias("g"), hlen.alias("h"), _before(glen).alias("gs"), _before(hlen).alias("hs"))
+
+    def of(p: Column) -> Column:
+        def span(_: Column, i: Column) -> Column:
+            start = p["gs"][i] + p["g"][i] + p["hs"][i]
+            return F.struct(start.alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"),
+                            (start + p["h"][i]).alias("end"), p["value"][i].alias("value"))
+
+        return F.transform(p["hit"], span)
+
+    return _let(parts, of)
 
 
 def _random_looking(value: Column) -> Column:

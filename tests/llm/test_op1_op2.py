@@ -132,3 +132,16 @@ def test_redact_cuts_the_union_of_overlapping_spans(spark):
     for k, t in enumerate(texts):  # what is left besides the marks is the text outside all spans
         outside = "".join(c for i, c in enumerate(t) if not any(s.start <= i < s.end for s in kept[k]))
         assert re.sub(r"\[(generic|access|assign)\]", "", got[k]) == outside
+
+
+def test_a_text_with_many_matches_takes_linear_time(spark):
+    import time
+    rng = random.Random(6)
+    run = lambda: "".join(rng.choices("0123456789abcdef", k=32))
+    texts = [(n, "x ".join(["", *(run() + " " for _ in range(n))])) for n in (10_000, 129, 128, 127, 65, 64, 63, 1, 0)]
+    began = time.time()
+    rows = op2.scan(spark.createDataFrame(texts, "doc_id long, text string").withColumn("source", F.lit("s"))).collect()
+    assert time.time() - began < 60
+    for r in rows:
+        text = dict(texts)[r.doc_id]
+        assert [(s.start, s.end) for s in r.spans if s.kind == "hex"] == [m.span() for m in re.finditer("[0-9a-f]{24,}", text)]
