@@ -52,6 +52,11 @@ def crc_mod_py(doc_id: int | None, mod: int) -> int:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % mod
 
 
+def hash_bound(share: float) -> int:
+    """The value up to which about ``share`` of all signed 64-bit hashes lie."""
+    return min(int(min(1.0, share) * 2**64) - 2**63, 2**63 - 1)
+
+
 def ceil_div(a: int, b: int) -> int:
     return -(-a // b)
 

@@ -6,7 +6,8 @@ margin wins), then one-versus-one linear support vector machines vote among the
 languages of that family; a family of one language needs no vote.
 
 The machines are fitted on a bounded sample (``SAMPLE`` training texts a
-language, ``SAMPLE_ALL`` in all, chosen by hash) and are a few hundred kilobytes;
+language, ``SAMPLE_ALL`` in all but 20 a language, ``MAX_LANGUAGES`` languages,
+chosen by hash, one text an id) and are a few hundred kilobytes;
 every whole text is then predicted in one narrow pass without a shuffle.
 
 Defined results: ``und`` with score 0 for a null text or one without a letter,
@@ -26,10 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowguard.llm.common import crc_mod, crc_mod_py, documents, steps
+from rowguard.llm.common import crc_mod, crc_mod_py, documents, hash_bound, steps
 
 DIMENSIONS = 4096
 SAMPLE, SAMPLE_ALL = 1000, 6000
+#: most languages that are learned, those with most training texts
+MAX_LANGUAGES = 64
 #: fixed values: language families by code; any other language is a family of its own
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is fy af lb yi",
@@ -42,12 +45,17 @@ FAMILIES = {
 }
 FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+#: letters, and number signs such as "½" and "Ⅷ", which are none
+LETTERLIKE = re.compile(r"[^\W\d_]")
 #: ASCII letters lower-cased, other ASCII a space, everything else kept
 _MAP = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
+def has_letter(text: str | None) -> bool:
+    return any(m.group().isalpha() for m in LETTERLIKE.finditer(text or ""))
+
+
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-gram codes of all texts in a row, and where each text begins.
 
@@ -131,19 +139,25 @@ def fit(docs: DataFrame, mod: int = 5, sample: int = SAMPLE, sample_all: int = S
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
     usable = rows.filter("doc_id IS NOT NULL AND lang IS NOT NULL").filter(crc_mod(F.col("doc_id"), mod) != 0)
-    known = sorted(r.lang for r in usable.select("lang").distinct().collect())
+    # the languages with most training texts; a code that fewer use than all of these is none to learn
+    usable = usable.select("doc_id", "lang").distinct()  # an id counts once, however often it repeats
+    known = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
     if not known:
         return None
     each = max(20, min(sample, sample_all // len(known)))
-    # a rank limit over a language is cut in every task before rows move
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = usable.select("doc_id", "lang").withColumn("r", F.row_number().over(order)).filter(F.col("r") <= each)
-    picked = rows.join(F.broadcast(ids.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
+    # the smallest hashes of a language: twice the share that is wanted, then the rank in it
+    h = F.xxhash64("doc_id")
+    share = F.create_map(*[F.lit(x) for r in known for x in (r.lang, hash_bound(2 * each / r.n))])
+    ids = usable.filter(h <= share[F.col("lang")])
+    order = Window.partitionBy("lang").orderBy(h, "doc_id")
+    ids = ids.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= each).select("doc_id", "lang")
+    # one text an id, however often the id repeats; at most each * languages ids
+    picked = rows.join(F.broadcast(ids), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("doc_id", "text", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, step_bytes=1 << 20):
             out = [(code, vector(t).tobytes()) for t, code in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist())
-                   if t and LETTER.search(t)]
+                   if has_letter(t)]
             yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in out], pa.string()), pa.array([v for _, v in out], pa.binary())],
                                              ["lang", "x"])
 
@@ -162,7 +176,7 @@ def identify(docs: DataFrame, model: Model | None, mod: int = 5, id_col: str = "
             ids = batch.column("doc_id").to_pylist()
             result = [(UNKNOWN, 0.0)] * len(ids)
             for i, text in enumerate(batch.column("text").to_pylist()):
-                if model is not None and text and LETTER.search(text):
+                if model is not None and has_letter(text):
                     margins = vector(text) @ model.weights[:-1] + model.weights[-1]
                     result[i] = model.predict(margins)
             yield pa.RecordBatch.from_arrays(

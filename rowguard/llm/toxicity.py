@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowguard.llm.common import crc_mod, crc_mod_py, documents, release, steps
+from rowguard.llm.common import crc_mod, crc_mod_py, documents, hash_bound, release, staged, steps
 
 #: labelled training rows of each class that the classifier is fitted on
 SAMPLE = 6000
@@ -333,8 +333,14 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 5, sample: int = SAMPLE)
     train = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
              .filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .filter(crc_mod(F.col("doc_id"), mod) != 0))
-    picked = [train.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for t in (0, 1)]
-    picked = docs.join(F.broadcast(picked[0].union(picked[1])), "doc_id")  # 2 * sample ids at most
+    n = {r.toxic: r["n"] for r in train.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    h = F.xxhash64("doc_id")
+    # the smallest hashes: twice the share that is wanted, then the order in it
+    few = {t: train.filter((F.col("toxic") == t) & (h <= hash_bound(2 * sample / max(n.get(t, 0), 1)))) for t in (0, 1)}
+    picked = few[0].orderBy(h, "doc_id").limit(sample).union(few[1].orderBy(h, "doc_id").limit(sample))  # 2 * sample ids at most
+    # one text an id, however often the id repeats
+    picked = docs.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic")
+    picked = staged(picked, "toxicity-sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         extract = Extractor(model)

@@ -3,7 +3,7 @@ import random
 import re
 import subprocess
 import sys
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -270,3 +270,43 @@ def test_stages_decide_rows_not_ids(spark, tmp_path):
     docs = spark.createDataFrame([(None, f"x {item} y", "a"), (7, f"x {item} y", "b"), (7, "clean words", "c"), (None, "clean words", "d"), (8, None, "e")], schema)
     kept = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()
     assert sorted((r.lang for r in kept)) == ["c", "d", "e"]
+
+
+@pytest.mark.parametrize("text", ["½ ² ③ Ⅷ", "12 ¼", "_ - 5"])
+def test_number_signs_are_no_letters(text):
+    assert not op9.has_letter(text) and op9.has_letter(text + " ª") and op9.has_letter("日") and not op9.has_letter(None)
+
+
+def test_a_repeated_id_and_many_codes_stay_bounded(spark, monkeypatch):
+    monkeypatch.setattr(op9, "MAX_LANGUAGES", 8)
+    train = spark.read.parquet(f"{SF2}/documents.parquet").select("doc_id", "text", "lang")
+    junk = spark.range(100_000, 105_000).selectExpr("id AS doc_id", "concat('junk ', id) AS text", "concat('j', id) AS lang")
+    hot = spark.range(100_000).selectExpr("1 AS doc_id", "concat('the word ', id) AS text", "'en' AS lang")
+    model = op9.fit(train.union(junk).union(hot))
+    assert len(model.languages) <= op9.MAX_LANGUAGES and {"en", "de", "fr", "es"} <= set(model.languages)
+    labels = spark.createDataFrame([(1, 0), (2, 1), (4, 1)], "doc_id long, toxic int")
+    docs = hot.select("doc_id", "text").union(spark.createDataFrame([(2, "bad stupid"), (4, "bad idiot")], "doc_id long, text string"))
+    assert op5.fit(docs, labels).weights is not None
+
+
+def test_hierarchical_vote_matches_a_plain_one(spark):
+    """Every prediction again, from the fitted machines, step by step in plain Python."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = op9.fit(docs)
+    squash = lambda m: 1 / (1 + np.exp(-2 * m))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in op9.identify(docs, model).collect():
+        if not op9.has_letter(texts[r.doc_id]):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        x = np.append(op9.vector(texts[r.doc_id]), 1).astype(np.float32)
+        margins = [float(x @ model.weights[:, k]) for k in range(model.weights.shape[1])]
+        best = max(range(model.n_family), key=lambda k: margins[k])
+        members, votes = model.members[model.families[best]], Counter()
+        for (i, j), m in zip(model.duels, margins[model.n_family:]):
+            if i in members and j in members and abs(m) > 1e-4:
+                votes[i if m > 0 else j] += 1
+        if len(members) == 1:
+            assert r.lang_pred == model.languages[members[0]] and abs(r.score - squash(margins[best])) < 1e-4
+        elif votes:
+            assert votes[model.languages.index(r.lang_pred)] == max(votes.values())
