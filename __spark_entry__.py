@@ -175,7 +175,7 @@ SCAN_RESULTS = " UNION ALL ".join([
             _outcome("(epoch_us(TIMESTAMP '2001-12-31 00:00:00') - epoch_us(s.newest)) / 60000000.0 >= 3153600"), SCAN_SRC),
     _metric("unit_price_avg", "avg_unit_price", "s.avg_up", "s.n", "s.n", "NULL",
             _outcome("s.avg_up < 1000 OR s.avg_up > 4000"), SCAN_SRC),
-    _metric("quantity_p90", "expression", "s.q90", "s.n", "s.n", "NULL", _outcome("s.q90 >= 60"), SCAN_SRC),
+    _metric("quantity_p90", "expression", "s.q90", "s.n", "s.n", "NULL", _outcome("s.q90 >= 44"), SCAN_SRC),
     _metric("line_duplicates", "duplicate_percent", "COALESCE(CAST(d.dup_rows AS DOUBLE) * 100.0 / d.rows_, 0.0)",
             "d.rows_", "d.considered", "d.dup_rows", _outcome("CAST(d.dup_rows AS DOUBLE) * 100.0 / d.rows_ >= 10"),
             _dups("lineitem", ["l_orderkey", "l_linenumber"], "d")),
@@ -250,7 +250,7 @@ SUITE_RESULTS = " UNION ALL ".join([
     _expect("order_found", "unexpected_count", "ne_order", "ne_order", "n", _ratio_ok("ne_order", "n", 1.0), SUITE_AGG),
     _expect("supplier_active", "unexpected_count", "ne_supp", "ne_supp", "n", _ratio_ok("ne_supp", "n", 1.0), SUITE_AGG),
     _expect("unit_price_mean", "avg", "avg_up", "NULL", "n", "avg_up BETWEEN 4000 AND 5000", SUITE_AGG),
-    _expect("price_p90", "quantile_disc", "p90", "NULL", "n", "p90 BETWEEN 0 AND 60", SUITE_AGG),
+    _expect("price_p90", "quantile_disc", "p90", "NULL", "n", "p90 BETWEEN 85000 AND 97500", SUITE_AGG),
     _expect("line_unique", "duplicate_rows", "dup_rows", "dup_rows", "considered",
             _ratio_ok("dup_rows", "considered", 0.9), SUITE_DUPS),
 ])
@@ -370,7 +370,7 @@ def oracle_sql() -> dict[str, str]:
         "WITH s AS (SELECT quantile_disc(l_extendedprice, 0.9) AS d90, quantile_cont(l_extendedprice, 0.9) AS c90, "
         "quantile_disc(l_quantity, 0.5) AS q50, quantile_disc(l_quantity, 0.9) AS q90 FROM lineitem) "
         "SELECT 'p90_disc' AS \"check\", 'quantile_disc' AS metric, ROUND(d90, 4) AS value, "
-        "COALESCE(d90 BETWEEN 0 AND 60, FALSE) AS success FROM s UNION ALL "
+        "COALESCE(d90 BETWEEN 85000 AND 92000, FALSE) AS success FROM s UNION ALL "
         "SELECT 'p90_cont', 'quantile_cont', ROUND(c90, 4), COALESCE(c90 BETWEEN 90000 AND 100000, FALSE) FROM s UNION ALL "
         "SELECT 'qty_quantiles', 'quantile_disc', ROUND(q50, 4), COALESCE(q50 BETWEEN 20 AND 30 AND q90 <= 44, FALSE) FROM s"
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 LOCAL_DEFAULTS = {
@@ -46,14 +47,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     a fresh scratch folder. Anywhere else such a folder would be invisible to
     the other machines, so an unset one is an error.
     """
-    configured = spark.sparkContext.getCheckpointDir()
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        context = spark.sparkContext
+    except PySparkException:  # a remote session has none; its server reads the setting itself
+        if not conf:
+            raise ValueError("spark.checkpoint.dir is not set; name a folder that all executors share") from None
+        return conf
+    configured = context.getCheckpointDir()
     if configured:
         return configured
-    conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
-        master = spark.sparkContext.master
+        master = context.master
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir is not set; name a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="rowguard-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(conf)
-    return spark.sparkContext.getCheckpointDir() or conf
+    context.setCheckpointDir(conf)
+    return context.getCheckpointDir() or conf

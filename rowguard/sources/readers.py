@@ -56,14 +56,17 @@ def read_csv(
     """SRC-3 / SRC-4: delimited text with a header.
 
     Prefer an explicit ``schema`` (inference is an extra full pass).
-    ``drop_malformed`` skips lines that do not fit the schema; with
+    ``drop_malformed`` skips lines that do not fit the schema (the inferred one,
+    if none is given), judged as whole lines whatever columns a query needs; with
     ``corrupt_column`` they are kept with their raw text in that column
     (PERMISSIVE mode) so they can be quarantined instead of lost.
     """
     r = spark.read.option("header", header)
     if schema is None:
-        r = r.option("inferSchema", True)
-        return r.option("mode", "DROPMALFORMED").csv(path) if drop_malformed else r.csv(path)
+        inferred = r.option("inferSchema", True).csv(path)
+        if not drop_malformed:
+            return inferred
+        schema, r = inferred.schema, spark.read.option("header", header)
     # Malformed lines are found through a corrupt-record column. Spark's CSV
     # reader parses only the columns a query needs, so a line would count as
     # malformed or not depending on later projections; the filter below
@@ -119,8 +122,27 @@ class Catalog:
         return cls(spark, {n: (lambda s, n=n: read_parquet(s, f"{root}/{n}.parquet")) for n in names})
 
     @classmethod
-    def jdbc(cls, spark: SparkSession, url: str, tables: Sequence[str], properties: Mapping[str, str]) -> Catalog:
-        return cls(spark, {t: (lambda s, t=t: read_jdbc(s, url, t, properties)) for t in tables})
+    def jdbc(
+        cls, spark: SparkSession, url: str, tables: Sequence[str], properties: Mapping[str, str],
+        partitioning: Mapping[str, Mapping[str, object]] | None = None,
+    ) -> Catalog:
+        """``partitioning``: by table, the partition options of :func:`read_jdbc`
+        (``partition_column``, bounds, ``num_partitions``, ``fetch_size``); a table
+        without them is read over one connection."""
+        unknown = set(partitioning or ()) - set(tables)
+        if unknown:
+            raise ValueError(f"partitioning of unknown tables: {sorted(unknown)}")
+        return cls(spark, {t: (lambda s, t=t: read_jdbc(s, url, t, properties, **(partitioning or {}).get(t, {}))) for t in tables})
+
+
+def one_per_key(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """A dimension before a left join: one row a key, so that a key that repeats does
+    not multiply fact rows (JON-1). Of several rows the one with the smallest
+    ``columns`` is taken; rows without a key are left out. A repeated key is one row
+    a task in the shuffle, and the join on the same keys needs no other one."""
+    named = [col(c).alias(c) for c in (*keys, *columns)]
+    picked = df.select(*named).where(all_not_null(keys)).groupBy(*keys).agg(F.min(F.struct(*columns)).alias("_row"))
+    return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in columns])
 
 
 def distinct_keys(df: DataFrame, columns: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:

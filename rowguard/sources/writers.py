@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import warnings
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,13 +32,21 @@ def save_path(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "par
     df.write.mode(mode).format(fmt).save(path)
 
 
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The configured checkpoint folder; a remote session has only the setting."""
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except PySparkException:
+        return spark.conf.get("spark.checkpoint.dir", None)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder the cluster names in
     ``spark.checkpoint.dir`` (cuts lineage; a lost executor does not force
     re-running the joins). Without a configured folder the frame is
     returned as is (each output then re-evaluates it; results are the
     same) - a machine-local folder is never chosen here."""
-    if not df.sparkSession.sparkContext.getCheckpointDir():
+    if not checkpoint_dir(df.sparkSession):
         warnings.warn("spark.checkpoint.dir is not set: outputs are computed without a checkpoint")
         return df
     return df.checkpoint(eager=True)

@@ -99,3 +99,33 @@ def test_partitioned_split_one_pass(spark, scratch):
     valid, bad = W.read_split(spark, f"{scratch}/split")
     assert sorted(r.id for r in valid.collect()) == [0, 2, 4, 6]
     assert bad.count() == 6 and "_dq_status" not in valid.columns
+
+
+def test_a_dimension_that_repeats_a_key_does_not_multiply_facts(spark):
+    dim = spark.createDataFrame([(1, "b"), (1, "a"), (2, None), (None, "z"), (2, "c")], "k int, v string")
+    one = R.one_per_key(dim, ["k"], ["v"])
+    assert sorted(one.collect(), key=str) == [(1, "a"), (2, None)]
+    facts = spark.createDataFrame([(1,), (1,), (3,), (None,)], "k int")
+    assert facts.join(one, "k", "left").count() == 4
+    two = R.one_per_key(dim.selectExpr("k", "v AS w", "1 AS x"), ["k", "x"], ["w"])
+    assert two.columns == ["k", "x", "w"] and two.count() == 2
+
+
+def test_malformed_lines_are_skipped_alike_for_every_projection(spark, scratch):
+    lines = ["a,b,c", "1,2,3", "4,5,x,y,z", "6,7", "8,9,10"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{scratch}/csv")
+    df = R.read_csv(spark, f"{scratch}/csv", drop_malformed=True)
+    whole = [r.a for r in df.collect()]
+    assert sorted(r.a for r in df.select("a").collect()) == sorted(whole) and df.count() == len(whole) and {1, 8} <= set(whole) and 4 not in whole
+
+
+def test_named_tables_take_partition_options(spark, monkeypatch):
+    import pytest
+    seen = {}
+    monkeypatch.setattr(R, "read_jdbc", lambda s, url, t, properties, **options: seen.update({t: options}) or s.range(1))
+    options = {"partition_column": "id", "lower_bound": 0, "upper_bound": 100, "num_partitions": 4}
+    cat = R.Catalog.jdbc(spark, "jdbc:x", ["a", "b"], {}, {"a": options})
+    cat["a"], cat["b"]
+    assert seen == {"a": options, "b": {}}
+    with pytest.raises(ValueError, match="unknown"):
+        R.Catalog.jdbc(spark, "jdbc:x", ["a"], {}, {"c": options})
