@@ -255,12 +255,9 @@ def _hashed(columns: Sequence[str]) -> list[Column]:
     return [F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit(len(columns)), *parts[::-1]).alias("h2")]
 
 
-def duplicate_stats_of(df: DataFrame, key_sets: Sequence[tuple[Sequence[str], bool]]) -> DataFrame:
-    """:func:`duplicate_stats` of several key sets of one frame: one row, the
-    i-th set's columns ending in ``_i``.
+def _tagged_groups(df: DataFrame, key_sets: Sequence[tuple[Sequence[str], bool]]) -> DataFrame:
+    """(s, h1, h2, complete, n): rows of every key of every set, by key hash.
 
-    Every row gives one tagged entry a set: its number and a fixed-width hash of
-    the key, so all sets share one scan and one shuffle, which moves no texts.
     A third hash, whose extremes are kept a group, confirms that a group is of one
     key: a group of two fails the query (chance below 1e-20 at 1e13 keys) rather
     than give a wrong count. Equal keys always meet.
@@ -272,11 +269,38 @@ def duplicate_stats_of(df: DataFrame, key_sets: Sequence[tuple[Sequence[str], bo
         complete = all_not_null(columns) if nulls_distinct else F.lit(True)
         parts = [x for c in columns for x in (col(c), col(c).isNull())]
         entries.append(F.struct(F.lit(i).alias("s"), *_hashed(columns), F.hash(F.lit(7), *parts).alias("h3"), complete.alias("complete")))
-    groups = (df.select(F.inline(F.array(*entries))).groupBy("s", "h1", "h2", "complete")
-              .agg(F.count(F.lit(1)).alias("n"), F.min("h3").alias("lo"), F.max("h3").alias("hi")))
-    one_key = F.when(F.col("lo") == F.col("hi"), F.col("n")).otherwise(
+    one_key = F.when(F.min("h3") == F.max("h3"), F.count(F.lit(1))).otherwise(
         F.raise_error(F.lit("two keys share a 128-bit hash")).cast("bigint"))
-    groups = groups.withColumn("n", one_key)
+    return df.select(F.inline(F.array(*entries))).groupBy("s", "h1", "h2", "complete").agg(one_key.alias("n"))
+
+
+def duplicate_hashes_of(df: DataFrame, key_sets: Sequence[tuple[Sequence[str], bool]]) -> DataFrame:
+    """(s, h1, h2, n) of the keys that occur more than once, all sets from one scan and shuffle."""
+    groups = _tagged_groups(df, key_sets)
+    return groups.where(F.col("complete") & (F.col("n") > 1)).select("s", "h1", "h2", "n")
+
+
+def mark_duplicates_of(
+    df: DataFrame, columns: Sequence[str], flagged: DataFrame, number: int, flag: str, hot_key_rows: int = HOT_KEY_ROWS,
+) -> DataFrame:
+    """:func:`mark_duplicates` from the shared ``duplicate_hashes_of``, by the set's number."""
+    names, own, size = [f"{flag}_k0", f"{flag}_k1"], [f"{flag}_o0", f"{flag}_o1"], f"{flag}_size"
+    # the set is told by an expression of the counted rows: a filter on its number alone
+    # would move below the shuffle, and every set would have one of its own
+    mine = flagged.where(F.when(F.col("n") > 1, F.col("s")) == number).select(
+        F.col("h1").alias(names[0]), F.col("h2").alias(names[1]), F.col("n").alias(size))
+    keyed = df.select("*", *[h.alias(o) for h, o in zip(_hashed(columns), own)])
+    return mark_keys(keyed, own, mine, names, size, flag, hot_key_rows=hot_key_rows, extra=[size]).drop(*own)
+
+
+def duplicate_stats_of(df: DataFrame, key_sets: Sequence[tuple[Sequence[str], bool]]) -> DataFrame:
+    """:func:`duplicate_stats` of several key sets of one frame: one row, the
+    i-th set's columns ending in ``_i``.
+
+    Every row gives one tagged entry a set: its number and a fixed-width hash of
+    the key, so all sets share one scan and one shuffle, which moves no texts.
+    """
+    groups = _tagged_groups(df, key_sets)
     out = []
     for i in range(len(key_sets)):
         own = F.col("s") == i

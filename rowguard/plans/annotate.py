@@ -20,8 +20,9 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowguard.checks import Rule, label, suite
+from rowguard.checks import Rule, Unique, label, suite
 from rowguard.functions.predicates import quote
+from rowguard.operators import keys as K
 
 ERRORS = "_errors"
 WARNINGS = "_warnings"
@@ -89,9 +90,16 @@ def _annotate(df: DataFrame, rules: Sequence[Rule], messages: str, obs: Observat
     rules = suite(rules)
     run = next(_counter)
     tags = [f"__rg{run}_{i}" for i in range(len(rules))]
-    work = df
+    work, uniques = df, [r.check for r in rules if type(r.check) is Unique]
+    # several uniqueness rules count their keys in one scan and shuffle
+    sets = list(dict.fromkeys((u.columns, u.nulls_distinct) for u in uniques))
+    shared = K.duplicate_hashes_of(df, sets) if len(sets) > 1 else None
     for rule, tag in zip(rules, tags):
-        work = rule.check.prepare(work, df, tag)
+        u = rule.check
+        if shared is not None and type(u) is Unique:
+            work = K.mark_duplicates_of(work, u.columns, shared, sets.index((u.columns, u.nulls_distinct)), tag, u.hot_key_rows)
+        else:
+            work = u.prepare(work, df, tag)
     empty = F.array().cast(ISSUES_DDL)
     errors, warnings = [], []
     flags = []

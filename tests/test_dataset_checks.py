@@ -181,3 +181,29 @@ def test_bitmap_index_equals_the_plain_foreign_key(spark):
     assert K.bitmap_index(spark.range(100_000), "id").count() == 5  # ids 1..32768 are the second bucket
     with pytest.raises(ValueError, match="integral"):
         rg.annotate(df, [rg.Rule("f", rg.ForeignKey(["k"], spark.createDataFrame([("a",)], "r string"), ["r"], bitmap=True))])
+
+
+def test_uniqueness_rules_share_their_scan_and_shuffle(spark, scratch):
+    df = spark.createDataFrame(ROWS + [(1, "a", None, None), (None, None, 1.0, "x"), (None, None, 1.0, "x")], FACT)
+    sets = [(("k1",), True), (("k1", "k2"), True), (("k1", "k2"), False), (("g",), True), (("k1",), True)]
+    rules = [rg.Rule(f"u{i}", rg.Unique(c, nulls_distinct=n)) for i, (c, n) in enumerate(sets)]
+    together = rg.annotate(df, rules)
+    assert together.columns == [*df.columns, "_errors", "_warnings"]
+    names = lambda a: sorted((tuple(r)[:-2], [e.name for e in r._errors]) for r in a.collect())
+    got = names(together.na.fill(-1.0, ["v"]).na.fill(-1, ["k1"]).na.fill("-", ["k2", "g"]))
+    for i, rule in enumerate(rules):
+        alone = names(rg.annotate(df, [rule]).na.fill(-1.0, ["v"]).na.fill(-1, ["k1"]).na.fill("-", ["k2", "g"]))
+        assert [bool(e) for _, e in alone] == [rule.name in e for _, e in got], rule.name
+    hot = [rg.Rule(f"h{i}", rg.Unique(c, nulls_distinct=n, hot_key_rows=1)) for i, (c, n) in enumerate(sets)]
+    assert {r.name: r.failed_rows for r in rg.check_results(rg.annotate(df, hot), hot).collect()} == {
+        f"h{i}": r.failed_rows for i, r in enumerate(sorted(rg.check_results(together, rules).collect(), key=lambda r: r.pos))}
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    many = [rg.Rule("a", rg.Unique(["l_orderkey", "l_linenumber"])), rg.Rule("b", rg.Unique(["l_partkey", "l_suppkey"])), rg.Rule("c", rg.Unique(["l_shipdate"]))]
+    out = rg.annotate(li, many)
+    out.write.format("noop").mode("overwrite").save()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = rg.annotate(li, many)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Generate inline") == 1 and "ReusedExchange" in plan and plan.count("FileScan") == 2
