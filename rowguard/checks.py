@@ -13,6 +13,7 @@ Any function ``df -> Column`` (a failing condition) is a check too, through
 from __future__ import annotations
 
 import dataclasses
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from typing import ClassVar
@@ -463,10 +464,11 @@ class Rule:
 
     The rule passes when the share of failing rows (percent of input rows)
     is ``<= max_failed_pct`` (``<`` with ``strict``). Default 0: no failing
-    row allowed.
+    row allowed. Without a name (``None``) it is called after its columns and
+    function, e.g. ``l_tax_is_not_greater_than``.
     """
 
-    name: str
+    name: str | None
     check: Check
     criticality: str = "error"
     dimension: str = ""
@@ -476,8 +478,11 @@ class Rule:
     def __post_init__(self):
         if self.criticality not in CRITICALITIES:
             raise ValueError(f"criticality must be one of {CRITICALITIES}")
+        if self.name is None:
+            words = [*map(str, self.check.input_columns()), self.check.function]
+            object.__setattr__(self, "name", re.sub(r"\W+", "_", "_".join(words)).strip("_").lower())
         if not self.name:
-            raise ValueError("a rule needs a name")
+            raise ValueError("a rule's name may not be empty")
 
 
 def suite(*groups: Iterable[Rule] | Rule) -> list[Rule]:

@@ -136,3 +136,16 @@ def test_annotating_twice_appends_issues(frame):
     assert second.columns.count("_errors") == 1
     rows = {r.k: (r.e, r.w) for r in second.select("k", issue_names().alias("e"), issue_names("_warnings").alias("w")).collect()}
     assert rows[3] == (["a", "b"], []) and rows[4] == ([], ["w"])  # NaN is not NULL
+
+
+def test_rules_without_a_name_are_called_after_their_check(spark):
+    import pytest
+    rules = rg.suite(rg.Rule(None, rg.NotNull("k")), rg.Rule(None, rg.NotGreaterThan("k", 1)), rg.Rule(None, rg.Unique(["k", "s"])))
+    assert [r.name for r in rules] == ["k_is_not_null", "k_is_not_greater_than", "k_s_is_unique"]
+    df = spark.createDataFrame([(2, "a"), (None, "b")], "k int, s string")
+    assert {r.name: r.failed_rows for r in rg.check_results(rg.annotate(df, rules), rules).collect()} == {
+        "k_is_not_null": 1, "k_is_not_greater_than": 1, "k_s_is_unique": 0}
+    with pytest.raises(ValueError):
+        rg.Rule("", rg.NotNull("k"))
+    with pytest.raises(ValueError, match="unique"):
+        rg.suite(rg.Rule(None, rg.NotNull("k")), rg.Rule(None, rg.NotNull("k")))
