@@ -502,6 +502,12 @@ def oracle_sql() -> dict[str, str]:
         f"CASE WHEN name IN ({strict}) THEN {_pct('failed_rows', 'row_count')} < allowed "
         f"ELSE {_pct('failed_rows', 'row_count')} <= allowed END AS passed FROM t"
     )
+    limits = ", ".join(f"('{p}', {450000.0 - 20000.0 * i})" for i, p in enumerate(
+        ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")))
+    q["table_sources"] = (
+        f"SELECT o_orderpriority, COUNT(*) AS rows, CAST(MIN(most) AS DOUBLE) AS most FROM orders JOIN (VALUES {limits}) v(priority, most) "
+        "ON o_orderpriority = priority WHERE o_totalprice > most GROUP BY o_orderpriority"
+    )
     q["failed_results"] = f'SELECT "check", metric, unexpected_pct FROM ({SUITE_RESULTS}) WHERE NOT success'
     cheap = f"COALESCE({UNIT_PRICE} < 1000, FALSE)"
     taxed = "COALESCE(l_discount >= 0.09 AND l_tax > 0.07, FALSE)"
