@@ -159,6 +159,7 @@ def mark_unmatched_direct(
 #: keys of one bucket of a bitmap index, as Spark's bitmap functions deal them
 BITMAP_KEYS = 32_768
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_NARROW = (*_INTEGRAL, T.FloatType, T.DoubleType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def bitmap_index(ref: DataFrame, ref_column: str, bucket: str = "bucket", bits: str = "bits") -> DataFrame:
@@ -298,8 +299,14 @@ def duplicate_stats_of(df: DataFrame, key_sets: Sequence[tuple[Sequence[str], bo
     i-th set's columns ending in ``_i``.
 
     Every row gives one tagged entry a set: its number and a fixed-width hash of
-    the key, so all sets share one scan and one shuffle, which moves no texts.
+    the key, so all sets share one scan and one shuffle, which moves no texts. A
+    single set of columns that are no wider than a hash is counted by its own keys.
     """
+    kinds = [df.select(col(c)).schema[0].dataType for columns, _ in key_sets for c in columns]
+    if len(key_sets) == 1 and len(kinds) <= 2 and all(isinstance(k, _NARROW) for k in kinds):
+        columns, nulls_distinct = key_sets[0]
+        one = duplicate_stats(df, columns, nulls_distinct)
+        return one.select(*[F.col(c).alias(f"{c}_0") for c in one.columns])
     groups = _tagged_groups(df, key_sets)
     out = []
     for i in range(len(key_sets)):
